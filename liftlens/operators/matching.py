@@ -48,7 +48,7 @@ def _log_grid(lo: float, hi: float, any_zero: bool, constant: float, min_width:
         return []
     step = math.log(1.0 + constant)
     count = math.floor((math.log(b) + step - math.log(a)) / step + 1e-10) + 1
-    cuts = [math.exp(math.log(a) + i * step) - shift for i in range(count)]
+    cuts = [lo] + [math.exp(math.log(a) + i * step) - shift for i in range(1, count)]
     return [c for i, c in enumerate(cuts) if i == 0 or c >= min_width]
 
 
@@ -67,12 +67,13 @@ def log_cutpoints(
         for i, c in enumerate(columns)])))
     shift = F.when(F.col("zero"), 1.0 - F.col("lo")).otherwise(F.lit(0.0))
     step = math.log(1.0 + constant)
-    shifted = stats.select("column_name", shift.alias("shift"),
+    shifted = stats.select("column_name", "lo", shift.alias("shift"),
                            (F.col("lo") + shift).alias("a"), (F.col("hi") + shift).alias("b"))
     last = F.floor((F.ln("b") + step - F.ln("a")) / step + 1e-10).cast("int")
     grid = shifted.where(F.col("a") > 0).select(
-        "column_name", "shift", "a", F.explode(F.sequence(F.lit(0), last)).alias("cut_no"))
-    cut = F.exp(F.ln("a") + F.col("cut_no") * step) - F.col("shift")
+        "column_name", "lo", "shift", "a", F.explode(F.sequence(F.lit(0), last)).alias("cut_no"))
+    cut = F.when(F.col("cut_no") == 0, F.col("lo")).otherwise(
+        F.exp(F.ln("a") + F.col("cut_no") * step) - F.col("shift"))
     return grid.select("column_name", "cut_no", cut.alias("cut")).where(
         (F.col("cut_no") == 0) | (F.col("cut") >= min_width))
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -64,6 +64,11 @@ def ingest(
     return Tables(population, universe, segment, windows, grain)
 
 
+def replace_segments(cfg: StudyConfig, segments: tuple[str, ...]) -> StudyConfig:
+    """The same study, reported by other segment columns."""
+    return replace(cfg, segments=segments)
+
+
 def cleaned_population(cfg: StudyConfig, tables: Tables) -> DataFrame:
     """Required columns, rows without nulls, whole-number KPIs."""
     wanted = shape.population_columns(cfg.kpi_names, cfg.covariates, tables.grain)
