@@ -12,6 +12,11 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def text(value: str) -> str:
+    """SQL literal of a string."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def q(name: str) -> Column:
     """Column by exact name; names may hold spaces, dots, % or backticks."""
     return F.col(quoted(name))

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from liftlens.functions.columns import q
+from liftlens.functions.columns import q, quoted
 from liftlens.operators.scale import exact_quantiles
 
 
@@ -49,12 +49,12 @@ def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFr
     ranked = [*order, *[c for c in rest if c not in set(order)]]
     if not ranked:
         return df.distinct()
-    first = F.min(F.struct(*[q(c) for c in ranked])).alias("__first")
+    first = f"min(struct({', '.join(quoted(c) for c in ranked)})) AS __first"
     return (
-        df.groupBy(*[q(k) for k in keys])
-        .agg(first)
-        .select(*[q(c) if c in set(keys) else F.col("__first").getField(c).alias(c)
-                  for c in df.columns])
+        df.groupBy(*keys)
+        .agg(F.expr(first))
+        .selectExpr(*[quoted(c) if c in set(keys) else f"__first.{quoted(c)} AS {quoted(c)}"
+                      for c in df.columns])
     )
 
 

@@ -14,7 +14,7 @@ from statistics import NormalDist
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from liftlens.functions.columns import Z_975, ci_text, q, significance
+from liftlens.functions.columns import Z_975, ci_text, q, quoted, significance, text
 from liftlens.operators.matching import with_stratum
 from liftlens.operators.scale import cut_lineage, running_sum
 
@@ -34,19 +34,22 @@ def confidence_interval(df: DataFrame, alpha: float = 0.05) -> DataFrame:
     )
 
 
-def _moments(df: DataFrame, keys, kpis, treat: str, weight: Column, squares: bool) -> DataFrame:
+def _moments(df: DataFrame, keys, kpis, treat: str, weight: str, squares: bool) -> DataFrame:
     """Arm totals per key: rows, and per KPI the weights and weighted outcomes (with
-    `squares` also those of squared weights). Rows without the KPI do not count for it."""
-    sums = [F.count_if(q(treat) == a).alias(f"n{a}") for a in (1, 0)]
+    `squares` also those of squared weights). Rows without the KPI do not count for it.
+    `weight` is SQL text."""
+    t = quoted(treat)
+    sums = [f"count_if({t} = {a}) AS n{a}" for a in (1, 0)]
     for i, k in enumerate(kpis):
-        y = q(k).cast("double")
+        y = f"CAST({quoted(k)} AS DOUBLE)"
         for a in (1, 0):
-            w = F.when((q(treat) == a) & y.isNotNull(), weight)
-            sums += [F.sum(w).alias(f"w{a}_{i}"), F.sum(w * y).alias(f"y{a}_{i}")]
+            cell = lambda e: f"sum(CASE WHEN {t} = {a} AND {y} IS NOT NULL THEN {e} END)"
+            sums += [f"{cell(weight)} AS w{a}_{i}", f"{cell(f'{weight} * {y}')} AS y{a}_{i}"]
             if squares:
-                sums += [F.sum(w * w).alias(f"v{a}_{i}"), F.sum(w * w * y).alias(f"u{a}_{i}"),
-                         F.sum(w * w * y * y).alias(f"z{a}_{i}")]
-    return df.groupBy(*[q(k) for k in keys]).agg(*sums)
+                ww = f"{weight} * {weight}"
+                sums += [f"{cell(ww)} AS v{a}_{i}", f"{cell(f'{ww} * {y}')} AS u{a}_{i}",
+                         f"{cell(f'{ww} * {y} * {y}')} AS z{a}_{i}"]
+    return df.groupBy(*[q(k) for k in keys]).agg(*[F.expr(e) for e in sums])
 
 
 def _merge(moments: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -56,66 +59,61 @@ def _merge(moments: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def _by_kpi(moments: DataFrame, keys, kpis, squares: bool) -> DataFrame:
     letters = "wyvuz" if squares else "wy"
-    rows = F.array(*[
-        F.struct(F.lit(k).alias("KPI"), *[
-            F.coalesce(F.col(f"{s}{a}_{i}"), F.lit(0.0)).alias(f"{s}{a}")
-            for s in letters for a in (1, 0)])
-        for i, k in enumerate(kpis)
-    ])
-    return moments.select(*[q(k) for k in keys], "n1", "n0", F.inline(rows))
+    rows = ", ".join(
+        f"struct({text(k)} AS KPI, " + ", ".join(
+            f"coalesce({s}{a}_{i}, 0D) AS {s}{a}" for s in letters for a in (1, 0)) + ")"
+        for i, k in enumerate(kpis))
+    return moments.selectExpr(*[quoted(k) for k in keys], "n1", "n0", f"inline(array({rows}))")
 
 
-def _score_sums(strata: DataFrame, squares: bool) -> DataFrame:
+def _score_sums(strata: DataFrame, keys, squares: bool) -> DataFrame:
     """Per stratum: a = sum(w dW dY), b = sum(w dW^2), and the squares of their terms, which
-    are the stratum itself (clusters) or each row (no clusters)."""
-    total = F.col("w1") + F.col("w0")
-    pbar = F.try_divide(F.col("w1"), total)
-    ybar = F.try_divide(F.col("y1") + F.col("y0"), total)
-    both = (F.col("w1") > 0) & (F.col("w0") > 0)
-    s = strata.withColumn("p", pbar).withColumn("m", ybar)
-    s = s.withColumn("a", F.when(both, F.col("y1") * (1 - F.col("p")) - F.col("y0") * F.col("p")))
-    s = s.withColumn("b", F.when(both, F.col("w1") * F.col("w0") / total))
+    are the stratum itself (clusters) or each row (no clusters). dW is 1 - p for treated and
+    -p for controls, with p and m the stratum's weighted means of treatment and outcome."""
+    keep = [quoted(k) for k in [*keys, "KPI"]] + ["n1", "n0"]
+    means = ["w1 / (w1 + w0) AS p", "(y1 + y0) / (w1 + w0) AS m"]
+    s = strata.selectExpr("*", "w1 > 0 AND w0 > 0 AS both").selectExpr(
+        "*", *[f"CASE WHEN both THEN {e.replace(' AS ', ' END AS ')}" for e in means])
+    first = ["y1 * (1 - p) - y0 * p AS a", "CASE WHEN both THEN w1 * w0 / (w1 + w0) END AS b"]
     if not squares:
-        return s.withColumns({
-            "aa": F.col("a") * F.col("a"), "ab": F.col("a") * F.col("b"),
-            "bb": F.col("b") * F.col("b"), "g": F.when(both, 1).otherwise(0),
-        })
-    dw = {1: 1 - F.col("p"), 0: -F.col("p")}
-    m = F.col("m")
-    spread = lambda a: F.col(f"z{a}") - 2 * m * F.col(f"u{a}") + m * m * F.col(f"v{a}")
-    lean = lambda a: F.col(f"u{a}") - m * F.col(f"v{a}")
-    arms = lambda f: F.when(both, f(1) + f(0))
-    return s.withColumns({
-        "aa": arms(lambda a: dw[a] * dw[a] * spread(a)),
-        "ab": arms(lambda a: dw[a] * dw[a] * dw[a] * lean(a)),
-        "bb": arms(lambda a: dw[a] * dw[a] * dw[a] * dw[a] * F.col(f"v{a}")),
-        "g": F.when(both, F.col("n1") + F.col("n0")).otherwise(0),
-    })
+        return s.selectExpr(*keep, "both", *first).selectExpr(
+            *keep, "a", "b", "a * a AS aa", "a * b AS ab", "b * b AS bb",
+            "CASE WHEN both THEN 1 ELSE 0 END AS g")
+
+    def arms(power: int, term: str) -> str:
+        treated, control = term.replace("#", "1"), term.replace("#", "0")
+        sign = "-" if power % 2 else "+"
+        return f"pow(1 - p, {power}) * ({treated}) {sign} pow(p, {power}) * ({control})"
+
+    return s.selectExpr(
+        *keep, *first,
+        arms(2, "z# - 2 * m * u# + m * m * v#") + " AS aa",
+        arms(3, "u# - m * v#") + " AS ab", arms(4, "v#") + " AS bb",
+        "CASE WHEN both THEN n1 + n0 ELSE 0 END AS g")
 
 
 def _estimate(sums: DataFrame, by: Sequence[str]) -> DataFrame:
     """Effect and error from group totals A, B, AA, AB, BB over G independent units."""
-    tau = F.try_divide(F.col("A"), F.col("B"))
-    spread = F.col("AA") - 2 * tau * F.col("AB") + tau * tau * F.col("BB")
-    factor = F.try_divide(F.col("G"), F.col("G") - 1)
-    error = F.try_divide(F.sqrt(F.greatest(spread, F.lit(0.0)) * factor), F.col("B"))
-    reason = F.when(F.col("n") < MIN_ROWS, f"fewer than {MIN_ROWS} rows").when(
-        F.col("B").isNull() | (F.col("B") <= 0), "no overlap")
-    return sums.select(
-        *[q(c) for c in by],
-        F.col("n").alias("n_rows"),
-        F.col("G").alias("n_clusters"),
-        tau.alias("Average_treatment_effect"),
-        error.alias("Standard_Error"),
-        reason.alias("reason"),
+    keep = [quoted(c) for c in by]
+    return sums.selectExpr(*keep, "n", "G", "B", "AA", "AB", "BB", "try_divide(A, B) AS tau"
+                           ).selectExpr(
+        *keep,
+        "n AS n_rows",
+        "G AS n_clusters",
+        "tau AS Average_treatment_effect",
+        """try_divide(sqrt(greatest(AA - 2 * tau * AB + tau * tau * BB, 0D)
+           * try_divide(G, G - 1)), B) AS Standard_Error""",
+        f"""CASE WHEN n < {MIN_ROWS} THEN 'fewer than {MIN_ROWS} rows'
+            WHEN B IS NULL OR B <= 0 THEN 'no overlap' END AS reason""",
     )
 
 
 def _finish(moments: DataFrame, by, cluster: str, kpis, squares: bool, keep_skipped: bool):
-    strata = _score_sums(_by_kpi(moments, [*by, cluster], kpis, squares), squares)
+    keys = [*by, cluster]
+    strata = _score_sums(_by_kpi(moments, keys, kpis, squares), keys, squares)
     sums = strata.groupBy(*[q(c) for c in by], "KPI").agg(
-        F.sum(F.col("n1") + F.col("n0")).alias("n"), F.sum("g").alias("G"),
-        *[F.sum(c).alias(c.upper()) for c in ("a", "b", "aa", "ab", "bb")])
+        F.expr("sum(n1 + n0) AS n"), F.expr("sum(g) AS G"),
+        *[F.expr(f"sum({c}) AS {c.upper()}") for c in ("a", "b", "aa", "ab", "bb")])
     out = _estimate(sums, [*by, "KPI"])
     return out if keep_skipped else out.where(F.col("reason").isNull())
 
@@ -144,7 +142,7 @@ def overlap_effect(
     """Effect of `treat` on every KPI per group, nuisance = weighted means of the stratum
     `cluster` inside the group. Errors are robust by stratum, or by row if not `clustered`.
     Groups of fewer than 5 rows or without overlap are skipped (or kept with a reason)."""
-    w = q(weight) if weight else F.lit(1.0)
+    w = quoted(weight) if weight else "1D"
     moments = _moments(df, [*by, cluster], kpis, treat, w, not clustered)
     out = _finish(moments, list(by), cluster, kpis, not clustered, keep_skipped)
     return out.join(_share_auc(moments, by), list(by)) if with_auc and by else out
@@ -170,21 +168,21 @@ def effect_by_segment(
 ) -> DataFrame:
     """Effects per treatment and segment value, and overall. Rows are first reduced to
     (treatment, segment values, stratum); only those totals are repeated per segment column."""
-    w = q(weight) if weight else F.lit(1.0)
+    w = quoted(weight) if weight else "1D"
     squares = not clustered
     cells = _moments(df, ["treatment_id", *segments, cluster], kpis, treat, w, squares)
     return _segment_effects(cells, kpis, cluster, segments, squares, with_auc, keep_skipped)
 
 
 def _segment_effects(cells: DataFrame, kpis, cluster: str, segments, squares, with_auc, keep):
-    groups = F.array(
-        F.struct(F.lit(OVERALL).alias("Segment_Name"), F.lit(OVERALL).alias("Segment")),
-        *[F.struct(F.lit(s).alias("Segment_Name"), q(s).cast("string").alias("Segment"))
-          for s in segments],
-    )
+    groups = ", ".join(
+        [f"struct('{OVERALL}' AS Segment_Name, '{OVERALL}' AS Segment)"]
+        + [f"struct({text(s)} AS Segment_Name, CAST({quoted(s)} AS STRING) AS Segment)"
+           for s in segments])
     by = ["treatment_id", "Segment_Name", "Segment"]
     kept = [c for c in cells.columns if c not in set(segments)]
-    moments = _merge(cells.select(*[q(c) for c in kept], F.inline(groups)), [*by, cluster])
+    moments = _merge(
+        cells.selectExpr(*[quoted(c) for c in kept], f"inline(array({groups}))"), [*by, cluster])
     moments = moments.where(F.col("Segment").isNotNull())
     out = _finish(moments, by, cluster, kpis, squares, keep)
     return out.join(_share_auc(moments, by), by) if with_auc else out
@@ -208,15 +206,15 @@ def cem_effects(
     """
     placed = with_stratum(df, covariates, rules)
     cells = cut_lineage(
-        _moments(placed, ["treatment_id", *segments, "subclass"], kpis, treat, F.lit(1.0), False))
+        _moments(placed, ["treatment_id", *segments, "subclass"], kpis, treat, "1D", False))
     both = cells.groupBy("subclass").agg(
         F.sum("n1").alias("__t"), F.sum("n0").alias("__c")
     ).where((F.col("__t") > 0) & (F.col("__c") > 0))
     ratio = both.agg(F.sum("__c") / F.sum("__t")).first()[0]
-    weight = F.col("__t") / F.col("__c") * F.lit(ratio).cast("double")
-    weighted = cells.join(both, "subclass").select(*[
-        (F.col(c) * weight).alias(c) if c[:2] in ("w0", "y0") and c not in set(segments)
-        else q(c) for c in cells.columns])
+    scaled = {f"{s}0_{i}" for s in "wy" for i in range(len(kpis))} - set(segments)
+    weighted = cells.join(both, "subclass").selectExpr(*[
+        f"{c} * (__t / __c * {ratio or 0.0!r}D) AS {c}" if c in scaled else quoted(c)
+        for c in cells.columns])
     return _segment_effects(weighted, kpis, "subclass", segments, False, False, keep_skipped)
 
 

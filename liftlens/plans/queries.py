@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from liftlens.functions.columns import period_status, q, snap_days, day_diff
+from liftlens.functions.columns import day_diff, period_status, q, quoted, snap_days
 from liftlens.operators import clean, effects, features, matching, models, periods, quality
 from liftlens.operators import report, shape, stats
 from liftlens.operators.scale import cut_lineage, shared_dir
@@ -28,8 +28,9 @@ DAILY_KPIS = {"Units": "sum", "Line Cents": "max"}
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Doubles to fixed digits, so that results compare across engines."""
-    return df.select(*[
-        F.round(q(c), digits).alias(c) if t == "double" else q(c) for c, t in df.dtypes])
+    return df.selectExpr(*[
+        f"round({quoted(c)}, {digits}) AS {quoted(c)}" if t == "double" else quoted(c)
+        for c, t in df.dtypes])
 
 
 def _raw(spark, sf):

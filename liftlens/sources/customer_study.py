@@ -7,6 +7,8 @@ and after it; customers without orders in a window have zero KPIs.
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,58 +58,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _day(text: str):
-    return F.lit(text).cast("timestamp_ntz")
-
-
 def raw_treatments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Treated customers with the window in which the treatment was taken; dates as text."""
-    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderpriority")
-    offers = F.array(
-        *[
-            F.struct(
-                F.lit(t.treatment_id).alias("OFFERING_ID"),
-                F.lit(t.label).alias("OFFERING_LABEL"),
-                F.lit(PRIORITY[t.treatment_id]).alias("priority"),
-                _day(t.start).alias("start"),
-                _day(t.end).alias("end"),
-            )
-            for t in CONFIG.treatments
-        ]
-    )
+    offers = ", ".join(
+        f"""struct('{t.treatment_id}' AS id, '{t.label}' AS label,
+        '{PRIORITY[t.treatment_id]}' AS priority, TIMESTAMP_NTZ '{t.start}' AS start,
+        TIMESTAMP_NTZ '{t.end}' AS end)""" for t in CONFIG.treatments)
     first, last = min(t.start for t in CONFIG.treatments), max(t.end for t in CONFIG.treatments)
-    hits = F.filter(
-        offers,
-        lambda o: (o["priority"] == F.col("o_orderpriority"))
-        & F.col("o_orderdate").between(o["start"], o["end"]),
-    )
-    us = lambda c: F.date_format(c, "MM-dd-yyyy")
+    us = lambda c: f"date_format({c}, 'MM-dd-yyyy')"
     return (
-        orders.where(F.col("o_orderdate").between(_day(first), _day(last)))
+        table(spark, sf_dir, "orders")
+        .where(f"o_orderdate BETWEEN TIMESTAMP_NTZ '{first}' AND TIMESTAMP_NTZ '{last}'")
         .where(F.col("o_orderpriority").isin(sorted(set(PRIORITY.values()))))
-        .select("o_custkey", "o_orderdate", F.explode(hits).alias("o"))
+        .selectExpr("o_custkey", "o_orderdate", f"""explode(filter(array({offers}), o ->
+            o.priority = o_orderpriority AND o_orderdate BETWEEN o.start AND o.end)) AS o""")
         .groupBy("o_custkey", "o")
         .agg(F.min("o_orderdate").alias("first"), F.max("o_orderdate").alias("last"))
-        .select(
-            F.col("o_custkey").cast("string").alias("EMP_ID"),
-            us(F.col("first")).alias("DATE_START_TREATMENT_TAKEN"),
-            us(F.col("last")).alias("DATE_END_TREATMENT_TAKEN"),
-            "o.OFFERING_LABEL",
-            "o.OFFERING_ID",
-            us(F.col("o.start")).alias("START_DATE"),
-            us(F.col("o.end")).alias("END_DATE"),
-        )
+        .selectExpr(
+            "CAST(o_custkey AS STRING) AS EMP_ID",
+            us("first") + " AS DATE_START_TREATMENT_TAKEN",
+            us("last") + " AS DATE_END_TREATMENT_TAKEN",
+            "o.label AS OFFERING_LABEL", "o.id AS OFFERING_ID",
+            us("o.start") + " AS START_DATE", us("o.end") + " AS END_DATE")
     )
 
 
 def _windows():
-    """Per treatment and measuring window: id, start of treatment, first and last day shown,
-    and the first day that counts (post windows count from the day after they open)."""
+    """Per treatment and measuring window: the treatment, the first and last day shown, and the
+    first day that counts (post windows count from the day after they open)."""
     for t in CONFIG.treatments:
-        start, end, one = _day(t.start), _day(t.end), F.expr("INTERVAL 1 DAY")
-        yield t, start, start - F.expr(f"INTERVAL {PRE_WINDOW} DAYS"), start - one, None
+        start, end = date.fromisoformat(t.start), date.fromisoformat(t.end)
+        first, last = start - timedelta(PRE_WINDOW), start - timedelta(1)
+        yield t, first, last, first
         for d in POST_WINDOWS:
-            yield t, start, end, end + F.expr(f"INTERVAL {d} DAYS"), end + one
+            yield t, end, end + timedelta(d), end + timedelta(1)
 
 
 def raw_population(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,43 +101,37 @@ def raw_population(spark: SparkSession, sf_dir: str) -> DataFrame:
     All windows come from one aggregate per customer, which shares its partitioning with
     the join to the customers; rows are only multiplied after it.
     """
-    orders = table(spark, sf_dir, "orders").select(
-        "o_custkey", "o_orderdate", "o_orderstatus",
-        F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"),
-    )
-    day, aggregates, rows = F.col("o_orderdate"), [], []
-    zero = lambda c: F.coalesce(c, F.lit(0).cast("bigint"))
-    numbers: dict[tuple, int] = {}
-    for t, alloc, first, last, counted_from in _windows():
+    aggregates, rows, numbers = [], [], {}
+    ntz = lambda d: f"TIMESTAMP_NTZ '{d}'"
+    for t, first, last, counted_from in _windows():
         known = len(numbers)
-        i = numbers.setdefault((t.start, t.end, str(last)), known)  # treatments share windows
-        inside = day.between(counted_from if counted_from is not None else first, last)
+        i = numbers.setdefault((t.start, t.end, last), known)  # treatments share windows
+        inside = f"o_orderdate BETWEEN {ntz(counted_from)} AND {ntz(last)}"
         if i == known:
             aggregates += [
-                F.sum(F.when(inside, F.col("cents"))).alias(f"cents{i}"),
-                F.count_if(inside).alias(f"n{i}"),
-                F.count_if(inside & (F.col("o_orderstatus") == "O")).alias(f"open{i}"),
-                F.count_if(day < alloc).alias(f"before{i}"),
+                f"sum(CASE WHEN {inside} THEN cents END) AS cents{i}",
+                f"count_if({inside}) AS n{i}",
+                f"count_if({inside} AND o_orderstatus = 'O') AS open{i}",
+                f"count_if(o_orderdate < {ntz(t.start)}) AS before{i}",
             ]
-        share = F.when(F.col(f"n{i}") > 0, F.expr(f"(100 * open{i}) div n{i}"))
         rows.append(
-            F.struct(
-                F.lit(t.treatment_id).alias("OFFERING_ID"),
-                first.alias("START_DATE"),
-                last.alias("END_DATE"),
-                zero(F.expr(f"cents{i} div 100")).alias("Order Value"),
-                zero(F.col(f"n{i}")).alias("Order Count"),
-                zero(share).alias("% Open Orders"),
-                F.col("c_acctbal").alias("ACCTBAL"),
-                zero(F.col(f"before{i}")).cast("double").alias("LIFETIME"),
-            )
+            f"""struct('{t.treatment_id}' AS OFFERING_ID, {ntz(first)} AS START_DATE,
+            {ntz(last)} AS END_DATE, coalesce(cents{i} div 100, 0L) AS `Order Value`,
+            coalesce(n{i}, 0L) AS `Order Count`,
+            coalesce(CASE WHEN n{i} > 0 THEN (100 * open{i}) div n{i} END, 0L)
+              AS `% Open Orders`,
+            c_acctbal AS ACCTBAL, CAST(coalesce(before{i}, 0L) AS DOUBLE) AS LIFETIME)"""
         )
-    measured = orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(*aggregates)
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
-    return (
-        customers.join(measured, "c_custkey", "left")
-        .select(F.col("c_custkey").cast("string").alias("EMP_ID"), F.inline(F.array(*rows)))
+    measured = (
+        table(spark, sf_dir, "orders")
+        .selectExpr("o_custkey AS c_custkey", "o_orderdate", "o_orderstatus",
+                    "CAST(round(o_totalprice * 100) AS BIGINT) AS cents")
+        .groupBy("c_custkey")
+        .agg(*[F.expr(a) for a in aggregates])
     )
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    return customers.join(measured, "c_custkey", "left").selectExpr(
+        "CAST(c_custkey AS STRING) AS EMP_ID", f"inline(array({', '.join(rows)}))")
 
 
 def raw_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
