@@ -31,6 +31,14 @@ def snap_days(days: Column, windows=(30, 60, 90), tolerance: int = 5) -> Column:
     return (out.otherwise(days) if out is not None else days).cast("int")
 
 
+def snap_limit(days: int, windows=(30, 60, 90), tolerance: int = 5) -> int:
+    """Largest offset that still snaps to at most `days`."""
+    for w in windows:
+        if w - tolerance <= days <= w + tolerance:
+            return w + tolerance if days >= w else w - tolerance - 1
+    return days
+
+
 def day_diff(later: Column, earlier: Column) -> Column:
     """Whole days from `earlier` to `later`, rounded towards minus infinity. Dates and times
     of day are compared apart, which is integer arithmetic on zone-free timestamps."""

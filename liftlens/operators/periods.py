@@ -7,7 +7,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from liftlens.functions.columns import day_diff, period_status, q, snap_days
+from liftlens.functions.columns import (
+    day_diff,
+    period_status,
+    q,
+    quoted,
+    snap_days,
+    snap_limit,
+)
 from liftlens.operators.scale import HotKeys, grouped_quantile, skew_join
 
 KEYS = ["emp_id", "treatment_id"]
@@ -96,49 +103,51 @@ def daily_windows(
     post_days: Sequence[int],
     hot: HotKeys | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Daily form: KPIs per employee and treatment over the last `d` days before the
-    allocation starts, and over the first `d` days from its end. Every window length is a
+    """Daily form as (before, after): `daily_periods` by status."""
+    both = daily_periods(population, treatment, kpis, pre_days, post_days, hot)
+    return tuple(both.where(F.col("status") == s).drop("status") for s in ("pre", "post"))
+
+
+def daily_periods(
+    population: DataFrame,
+    treatment: DataFrame,
+    kpis: Mapping[str, str],
+    pre_days: Sequence[int],
+    post_days: Sequence[int],
+    hot: HotKeys | None = None,
+) -> DataFrame:
+    """KPIs per employee and treatment over the last `d` days before the allocation starts
+    (`pre`), and over the first `d` days from its end (`post`). Every window length is a
     condition inside one aggregate, so rows are read and shuffled once."""
     rows = _dated(population, treatment, "date", hot)
-    before = snap_days(F.col("__days"))
-    since_end = day_diff(F.col("date"), F.col("treatment_allocated_end_date"))
-    return (
-        _windowed(rows, kpis, {d: (F.col("__days") > 0) & (before <= d) for d in pre_days}),
-        _windowed(rows, kpis, {d: (F.col("__days") <= 0) & since_end.between(0, d)
-                               for d in post_days}),
-    )
+    rows = rows.withColumn(
+        "__late", day_diff(F.col("date"), F.col("treatment_allocated_end_date")))
+    windows = {("pre", d): f"__days BETWEEN 1 AND {snap_limit(d)}" for d in pre_days}
+    windows |= {("post", d): f"__days <= 0 AND __late BETWEEN 0 AND {d}" for d in post_days}
+    return _windowed(rows, kpis, windows)
 
 
-def _windowed(rows: DataFrame, kpis: Mapping[str, str], windows: Mapping[int, Column]):
+def _windowed(rows: DataFrame, kpis: Mapping[str, str], windows: Mapping[tuple, str]):
+    columns = [*KEYS, *kpis, "start_date", "end_date", "date_diff", "status"]
     if any(fn == "median" for fn in kpis.values()):
-        tagged = rows.select("*", F.explode(F.array_compact(F.array(
-            *[F.when(cond, F.lit(d)) for d, cond in windows.items()]))).alias("date_diff_window"))
-        tagged = tagged.withColumnRenamed("date_diff_window", "date_diff")
-        return aggregate_kpis(tagged, [*KEYS, "date_diff"], kpis, "date")
-    rows = rows.where(_any(windows.values()))
+        tags = F.array(*[F.when(F.expr(cond), F.struct(F.lit(s).alias("status"),
+                                               F.lit(d).alias("date_diff")))
+                         for (s, d), cond in windows.items()])
+        tagged = rows.select("*", F.inline(F.array_compact(tags)))
+        return aggregate_kpis(tagged, [*KEYS, "status", "date_diff"], kpis, "date").select(
+            *[q(c) for c in columns])
     aggregates, structs = [], []
-    for d, cond in windows.items():
-        aggregates += [AGGREGATES[fn](F.when(cond, q(k))).alias(f"{d}:{k}")
-                       for k, fn in kpis.items()]
-        aggregates += [
-            F.min(F.when(cond, F.col("date"))).alias(f"{d}:start"),
-            F.max(F.when(cond, F.col("date"))).alias(f"{d}:end"),
-        ]
-        structs.append(F.struct(
-            *[q(f"{d}:{k}").alias(k) for k in kpis],
-            q(f"{d}:start").alias("start_date"),
-            q(f"{d}:end").alias("end_date"),
-            F.lit(d).alias("date_diff"),
-        ))
+    for i, ((status, d), cond) in enumerate(windows.items()):
+        inside = lambda c: F.expr(f"CASE WHEN {cond} THEN {quoted(c)} END")
+        aggregates += [AGGREGATES[fn](inside(k)).alias(f"{i}:{k}") for k, fn in kpis.items()]
+        aggregates += [F.min(inside("date")).alias(f"{i}:start"),
+                       F.max(inside("date")).alias(f"{i}:end")]
+        values = [f"`{i}:{k.replace('`', '``')}` AS {quoted(k)}" for k in kpis]
+        structs.append(f"struct({', '.join(values)}, `{i}:start` AS start_date, "
+                       f"`{i}:end` AS end_date, {d} AS date_diff, '{status}' AS status)")
     wide = rows.groupBy(*KEYS).agg(*aggregates)
-    return wide.select(*KEYS, F.inline(F.array(*structs))).where(F.col("start_date").isNotNull())
-
-
-def _any(conditions) -> Column:
-    out = F.lit(False)
-    for c in conditions:
-        out = out | c
-    return out
+    long = wide.selectExpr(*KEYS, f"inline(array({', '.join(structs)}))")
+    return long.where(F.col("start_date").isNotNull())
 
 
 def at_horizon(outcome: DataFrame, days: int, min_rows: int = 11) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import math
 import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
@@ -17,21 +18,31 @@ COLLECT_ROWS = 100_000  # most distinct values that may sort in one task or on t
 HOT_KEYS = 64
 
 
+_LOCAL: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder; only where none is configured (tests) a fresh local one."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
     current = spark.sparkContext.getCheckpointDir()
-    return current or tempfile.mkdtemp(prefix="liftlens-")
+    if current:
+        return current
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL:
+        _LOCAL[app] = tempfile.mkdtemp(prefix="liftlens-")
+    return _LOCAL[app]
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise `df` in the shared checkpoint folder; it survives the loss of executors."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+    """Write `df` once as a table in the shared folder and read it back. It survives the loss
+    of executors, is computed a single time (an RDD checkpoint computes its last stage
+    twice), and later passes prune columns and know its size."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/liftlens/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
@@ -274,7 +285,7 @@ def grouped_quantile(
 ) -> DataFrame:
     """Exact quantile per group, for groups of any size: values are counted first, then
     ranked by `running_sum`, and only the two neighbours of the target rank are kept."""
-    counts = (
+    counts = cut_lineage(
         df.where(q(value).isNotNull())
         .groupBy(*keys, q(value).cast("double").alias("__x"))
         .agg(F.count("*").alias("c"))

@@ -80,20 +80,20 @@ def base_frame(spark: SparkSession, sf: str) -> DataFrame:
 
 def cem_flagship(spark, sf):
     """Exact matching on order value fifths, market and region; effects overall and by market."""
-    rows = base_frame(spark, sf)
+    rows = cut_lineage(base_frame(spark, sf))
     found = effects.cem_effects(rows, ["post_kpi"], "w", ["pre_kpi", "MARKET", "REGION"],
                                 {"pre_kpi": "q5"}, ["MARKET"])
     return rounded(effects.as_effect_table(found), 3)
 
 
 def cem_weights(spark, sf):
-    rows = base_frame(spark, sf)
+    rows = cut_lineage(base_frame(spark, sf))
     matched = matching.cem_match(rows, "w", ["pre_kpi", "MARKET", "REGION"], {"pre_kpi": "q5"})
     return rounded(matched.select("EMP_ID", "w", "subclass", "weights"), 9)
 
 
 def balance_smd(spark, sf):
-    rows = base_frame(spark, sf)
+    rows = cut_lineage(base_frame(spark, sf))
     matched = matching.cem_match(rows, "w", ["pre_kpi", "MARKET", "REGION"], {"pre_kpi": "q5"})
     return rounded(matching.balance(rows, matched, "w", ["pre_kpi"]), 4)
 
@@ -206,10 +206,8 @@ def pre_post_split(spark, sf):
 def daily_windows(spark, sf):
     tables = _tables(spark, sf, written=False)
     treatment = cut_lineage(study.cleaned_treatment(CFG, tables))
-    pre, post = periods.daily_windows(
-        source.daily_population(spark, sf), treatment, DAILY_KPIS, (90, 360), (30, 60, 90))
-    tag = lambda df, name: df.select(F.lit(name).alias("status"), "*")
-    return tag(pre, "pre").unionByName(tag(post, "post"))
+    daily = cut_lineage(source.daily_population(spark, sf))
+    return periods.daily_periods(daily, treatment, DAILY_KPIS, (90, 360), (30, 60, 90))
 
 
 def sufficiency(spark, sf):
@@ -490,7 +488,8 @@ def feature_importance(spark, sf):
 
 def tuned_propensity(spark, sf):
     rows = _features(spark, sf)
-    table, _ = models.tune(rows, GROUP, [*KPIS, "ACCTBAL", "LIFETIME"], "f1", draws=1, folds=2)
+    table, _ = models.tune(rows, GROUP, [*KPIS, "ACCTBAL", "LIFETIME"], "f1", draws=2, folds=2,
+                           at_most={"maxDepth": 4, "maxIter": 10, "numTrees": 10})
     return table
 
 
