@@ -39,16 +39,16 @@ def _moments(df: DataFrame, keys, kpis, treat: str, weight: str, squares: bool)
     `squares` also those of squared weights). Rows without the KPI do not count for it.
     `weight` is SQL text."""
     t = quoted(treat)
-    sums = [f"count_if({t} = {a}) AS n{a}" for a in (1, 0)]
+    sums = [f"count_if({t} = {a}) AS __n{a}" for a in (1, 0)]
     for i, k in enumerate(kpis):
         y = f"CAST({quoted(k)} AS DOUBLE)"
         for a in (1, 0):
             cell = lambda e: f"sum(CASE WHEN {t} = {a} AND {y} IS NOT NULL THEN {e} END)"
-            sums += [f"{cell(weight)} AS w{a}_{i}", f"{cell(f'{weight} * {y}')} AS y{a}_{i}"]
+            sums += [f"{cell(weight)} AS __w{a}_{i}", f"{cell(f'{weight} * {y}')} AS __y{a}_{i}"]
             if squares:
                 ww = f"{weight} * {weight}"
-                sums += [f"{cell(ww)} AS v{a}_{i}", f"{cell(f'{ww} * {y}')} AS u{a}_{i}",
-                         f"{cell(f'{ww} * {y} * {y}')} AS z{a}_{i}"]
+                sums += [f"{cell(ww)} AS __v{a}_{i}", f"{cell(f'{ww} * {y}')} AS __u{a}_{i}",
+                         f"{cell(f'{ww} * {y} * {y}')} AS __z{a}_{i}"]
     return df.groupBy(*[q(k) for k in keys]).agg(*[F.expr(e) for e in sums])
 
 
@@ -61,50 +61,54 @@ def _by_kpi(moments: DataFrame, keys, kpis, squares: bool) -> DataFrame:
     letters = "wyvuz" if squares else "wy"
     rows = ", ".join(
         f"struct({text(k)} AS KPI, " + ", ".join(
-            f"coalesce({s}{a}_{i}, 0D) AS {s}{a}" for s in letters for a in (1, 0)) + ")"
+            f"coalesce(__{s}{a}_{i}, 0D) AS __{s}{a}" for s in letters for a in (1, 0)) + ")"
         for i, k in enumerate(kpis))
-    return moments.selectExpr(*[quoted(k) for k in keys], "n1", "n0", f"inline(array({rows}))")
+    return moments.selectExpr(
+        *[quoted(k) for k in keys], "__n1", "__n0", f"inline(array({rows}))")
 
 
 def _score_sums(strata: DataFrame, keys, squares: bool) -> DataFrame:
     """Per stratum: a = sum(w dW dY), b = sum(w dW^2), and the squares of their terms, which
     are the stratum itself (clusters) or each row (no clusters). dW is 1 - p for treated and
     -p for controls, with p and m the stratum's weighted means of treatment and outcome."""
-    keep = [quoted(k) for k in [*keys, "KPI"]] + ["n1", "n0"]
-    means = ["w1 / (w1 + w0) AS p", "(y1 + y0) / (w1 + w0) AS m"]
-    s = strata.selectExpr("*", "w1 > 0 AND w0 > 0 AS both").selectExpr(
-        "*", *[f"CASE WHEN both THEN {e.replace(' AS ', ' END AS ')}" for e in means])
-    first = ["y1 * (1 - p) - y0 * p AS a", "CASE WHEN both THEN w1 * w0 / (w1 + w0) END AS b"]
+    keep = [quoted(k) for k in [*keys, "KPI"]] + ["__n1", "__n0"]
+    s = strata.selectExpr("*", "__w1 > 0 AND __w0 > 0 AS __both").selectExpr(
+        "*", "CASE WHEN __both THEN __w1 / (__w1 + __w0) END AS __p",
+        "CASE WHEN __both THEN (__y1 + __y0) / (__w1 + __w0) END AS __m")
+    first = ["__y1 * (1 - __p) - __y0 * __p AS __a",
+             "CASE WHEN __both THEN __w1 * __w0 / (__w1 + __w0) END AS __b"]
     if not squares:
-        return s.selectExpr(*keep, "both", *first).selectExpr(
-            *keep, "a", "b", "a * a AS aa", "a * b AS ab", "b * b AS bb",
-            "CASE WHEN both THEN 1 ELSE 0 END AS g")
+        return s.selectExpr(*keep, "__both", *first).selectExpr(
+            *keep, "__a", "__b", "__a * __a AS __aa", "__a * __b AS __ab", "__b * __b AS __bb",
+            "CASE WHEN __both THEN 1 ELSE 0 END AS __g")
 
     def arms(power: int, term: str) -> str:
         treated, control = term.replace("#", "1"), term.replace("#", "0")
         sign = "-" if power % 2 else "+"
-        return f"pow(1 - p, {power}) * ({treated}) {sign} pow(p, {power}) * ({control})"
+        return f"pow(1 - __p, {power}) * ({treated}) {sign} pow(__p, {power}) * ({control})"
 
     return s.selectExpr(
         *keep, *first,
-        arms(2, "z# - 2 * m * u# + m * m * v#") + " AS aa",
-        arms(3, "u# - m * v#") + " AS ab", arms(4, "v#") + " AS bb",
-        "CASE WHEN both THEN n1 + n0 ELSE 0 END AS g")
+        arms(2, "__z# - 2 * __m * __u# + __m * __m * __v#") + " AS __aa",
+        arms(3, "__u# - __m * __v#") + " AS __ab", arms(4, "__v#") + " AS __bb",
+        "CASE WHEN __both THEN __n1 + __n0 ELSE 0 END AS __g")
+
+
+TOTALS = ("a", "b", "aa", "ab", "bb")
 
 
 def _estimate(sums: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Effect and error from group totals A, B, AA, AB, BB over G independent units."""
+    """Effect and error from group totals of `_score_sums` over __g independent units."""
     keep = [quoted(c) for c in by]
-    return sums.selectExpr(*keep, "n", "G", "B", "AA", "AB", "BB", "try_divide(A, B) AS tau"
-                           ).selectExpr(
+    return sums.selectExpr("*", "try_divide(__a, __b) AS __tau").selectExpr(
         *keep,
-        "n AS n_rows",
-        "G AS n_clusters",
-        "tau AS Average_treatment_effect",
-        """try_divide(sqrt(greatest(AA - 2 * tau * AB + tau * tau * BB, 0D)
-           * try_divide(G, G - 1)), B) AS Standard_Error""",
-        f"""CASE WHEN n < {MIN_ROWS} THEN 'fewer than {MIN_ROWS} rows'
-            WHEN B IS NULL OR B <= 0 THEN 'no overlap' END AS reason""",
+        "__n AS n_rows",
+        "__g AS n_clusters",
+        "__tau AS Average_treatment_effect",
+        """try_divide(sqrt(greatest(__aa - 2 * __tau * __ab + __tau * __tau * __bb, 0D)
+           * try_divide(__g, __g - 1)), __b) AS Standard_Error""",
+        f"""CASE WHEN __n < {MIN_ROWS} THEN 'fewer than {MIN_ROWS} rows'
+            WHEN __b IS NULL OR __b <= 0 THEN 'no overlap' END AS reason""",
     )
 
 
@@ -112,20 +116,19 @@ def _finish(moments: DataFrame, by, cluster: str, kpis, squares: bool, keep_skip
     keys = [*by, cluster]
     strata = _score_sums(_by_kpi(moments, keys, kpis, squares), keys, squares)
     sums = strata.groupBy(*[q(c) for c in by], "KPI").agg(
-        F.expr("sum(n1 + n0) AS n"), F.expr("sum(g) AS G"),
-        *[F.expr(f"sum({c}) AS {c.upper()}") for c in ("a", "b", "aa", "ab", "bb")])
+        F.expr("sum(__n1 + __n0) AS __n"), F.expr("sum(__g) AS __g"),
+        *[F.expr(f"sum(__{c}) AS __{c}") for c in TOTALS])
     out = _estimate(sums, [*by, "KPI"])
     return out if keep_skipped else out.where(F.col("reason").isNull())
 
 
 def _share_auc(moments: DataFrame, by: Sequence[str]) -> DataFrame:
     """AUC of the treated share of each stratum as a propensity, per group."""
-    share = F.col("n1") / (F.col("n1") + F.col("n0"))
-    scores = moments.groupBy(*[q(c) for c in by], share.alias("__s")).agg(
-        F.sum("n1").cast("double").alias("pos"), F.sum("n0").cast("double").alias("neg"))
-    wins = F.col("pos") * (F.col("before_neg") + F.col("neg") / 2)
-    return running_sum(scores, by, "__s", ["neg"]).groupBy(*[q(c) for c in by]).agg(
-        F.try_divide(F.sum(wins), F.sum("pos") * F.sum("neg")).alias("auc"))
+    share = F.expr("__n1 / (__n1 + __n0)").alias("__s")
+    scores = moments.groupBy(*[q(c) for c in by], share).agg(
+        F.expr("CAST(sum(__n1) AS DOUBLE) AS __pos"), F.expr("CAST(sum(__n0) AS DOUBLE) AS __neg"))
+    return running_sum(scores, by, "__s", ["__neg"]).groupBy(*[q(c) for c in by]).agg(F.expr(
+        """try_divide(sum(__pos * (before___neg + __neg / 2)), sum(__pos) * sum(__neg)) AS auc"""))
 
 
 def overlap_effect(
@@ -208,10 +211,10 @@ def cem_effects(
     cells = cut_lineage(
         _moments(placed, ["treatment_id", *segments, "subclass"], kpis, treat, "1D", False))
     both = cells.groupBy("subclass").agg(
-        F.sum("n1").alias("__t"), F.sum("n0").alias("__c")
+        F.sum("__n1").alias("__t"), F.sum("__n0").alias("__c")
     ).where((F.col("__t") > 0) & (F.col("__c") > 0))
     ratio = both.agg(F.sum("__c") / F.sum("__t")).first()[0]
-    scaled = {f"{s}0_{i}" for s in "wy" for i in range(len(kpis))} - set(segments)
+    scaled = {f"__{s}0_{i}" for s in "wy" for i in range(len(kpis))}
     weighted = cells.join(both, "subclass").selectExpr(*[
         f"{c} * (__t / __c * {ratio or 0.0!r}D) AS {c}" if c in scaled else quoted(c)
         for c in cells.columns])
@@ -230,33 +233,35 @@ def residual_effect(
     """The same effect from given row residuals (for instance of cross-fitted forests),
     centred per group. Five sums per cluster and their products per group are enough: the
     centring constants enter afterwards, so no second pass or join is needed."""
-    w, y, d = q(weight), q(dy), q(dw)
-    v = {"s": w, "w": w * d, "y": w * y, "x": w * d * y, "d": w * d * d}
-    per_cluster = df.groupBy(*[q(c) for c in by], q(cluster)).agg(
-        F.count("*").alias("n"), *[F.sum(e).alias(k) for k, e in v.items()])
-    names = list(v)
+    w, y, d = quoted(weight), quoted(dy), quoted(dw)
+    terms = {"s": w, "w": f"{w} * {d}", "y": f"{w} * {y}", "x": f"{w} * {d} * {y}",
+             "d": f"{w} * {d} * {d}"}
+    keep = [q(c) for c in by]
+    per_cluster = df.groupBy(*keep, q(cluster)).agg(
+        F.count("*").alias("__n"), *[F.expr(f"sum({e}) AS __{k}") for k, e in terms.items()])
+    names = list(terms)
     pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
-    g = per_cluster.groupBy(*[q(c) for c in by]).agg(
-        F.sum("n").alias("n"), F.count("*").alias("G"),
-        *[F.sum(k).alias(f"t_{k}") for k in names],
-        *[F.sum(F.col(a) * F.col(b)).alias(f"p_{a}{b}") for a, b in pairs])
-    mw, my = F.col("t_w") / F.col("t_s"), F.col("t_y") / F.col("t_s")
-    ca = {"s": mw * my, "w": -my, "y": -mw, "x": F.lit(1.0), "d": F.lit(0.0)}
-    cb = {"s": mw * mw, "w": -2 * mw, "y": F.lit(0.0), "x": F.lit(0.0), "d": F.lit(1.0)}
-
-    def total(c):
-        return sum((c[k] * F.col(f"t_{k}") for k in names[1:]), c["s"] * F.col("t_s"))
-
-    def product(c, e):
-        out = F.lit(0.0)
-        for a, b in pairs:
-            both = c[a] * e[b] if a == b else c[a] * e[b] + c[b] * e[a]
-            out = out + both * F.col(f"p_{a}{b}")
-        return out
-
-    sums = g.select(
-        *[q(c) for c in by], "n", "G", total(ca).alias("A"), total(cb).alias("B"),
-        product(ca, ca).alias("AA"), product(ca, cb).alias("AB"), product(cb, cb).alias("BB"))
+    groups = per_cluster.groupBy(*keep).agg(
+        F.sum("__n").alias("__n"), F.count("*").alias("__g"),
+        *[F.expr(f"sum(__{k}) AS __t_{k}") for k in names],
+        *[F.expr(f"sum(__{a} * __{b}) AS __p_{a}{b}") for a, b in pairs])
+    groups = groups.selectExpr("*", "__t_w / __t_s AS __mw", "__t_y / __t_s AS __my")
+    # centred sums as linear forms in the five terms
+    forms = {"a": {"s": "__mw * __my", "w": "-__my", "y": "-__mw", "x": "1D"},
+             "b": {"s": "__mw * __mw", "w": "-2 * __mw", "d": "1D"}}
+
+    def total(f: dict) -> str:
+        return " + ".join(f"({e}) * __t_{k}" for k, e in f.items())
+
+    def product(f: dict, g: dict) -> str:
+        return " + ".join(f"({e}) * ({h}) * __p_{min(k, m, key=names.index)}"
+                          f"{max(k, m, key=names.index)}"
+                          for k, e in f.items() for m, h in g.items())
+
+    a, b = forms["a"], forms["b"]
+    sums = groups.selectExpr(
+        *[quoted(c) for c in by], "__n", "__g", total(a) + " AS __a", total(b) + " AS __b",
+        product(a, a) + " AS __aa", product(a, b) + " AS __ab", product(b, b) + " AS __bb")
     out = _estimate(sums, by)
     return out if keep_skipped else out.where(F.col("reason").isNull())
 

@@ -267,19 +267,19 @@ def design_strata(
     packed = {n: _packed(index, sizes, r) for n, r in search.items()}
     width = max(len(p) for p in packed.values())
     structs = ", ".join(
-        f"struct({n} AS design, "
-        + ", ".join(f"{w} AS key{i}" for i, w in enumerate(p + ["0L"] * (width - len(p))))
+        f"struct({n} AS __design, "
+        + ", ".join(f"{w} AS __key{i}" for i, w in enumerate(p + ["0L"] * (width - len(p))))
         + ")"
         for n, p in packed.items())
     t, sums = quoted(treat), []
     for i, x in enumerate(numeric):
         sums += [F.expr(f"sum(CASE WHEN {t} = {a} THEN CAST({quoted(x)} AS DOUBLE) END)")
-                 .alias(f"x{a}_{i}") for a in (1, 0)]
+                 .alias(f"__x{a}_{i}") for a in (1, 0)]
     return (
         binned.select("*", F.expr(f"inline(array({structs}))"))
-        .groupBy("design", *[q(c) for c in dict.fromkeys([*pool, *exact])],
-                 *[f"key{w}" for w in range(width)])
-        .agg(F.expr(f"count_if({t} = 1)").alias("t"), F.expr(f"count_if({t} = 0)").alias("c"),
+        .groupBy("__design", *[q(c) for c in dict.fromkeys([*pool, *exact])],
+                 *[f"__key{w}" for w in range(width)])
+        .agg(F.expr(f"count_if({t} = 1)").alias("__t"), F.expr(f"count_if({t} = 0)").alias("__c"),
              *sums)
     )
 
@@ -307,13 +307,13 @@ def candidate_balance(
         *[F.stddev_samp(F.when(q(treat) == 1, q(x).cast("double"))).alias(f"s{i}")
           for i, x in enumerate(numeric)],
     ).first()
-    both = (F.col("t") > 0) & (F.col("c") > 0)
-    sums = parts.groupBy("design").agg(
-        F.coalesce(F.sum(F.when(both, F.col("t"))), F.lit(0)).alias("T"),
-        F.coalesce(F.sum(F.when(both, F.col("c"))), F.lit(0)).alias("C"),
-        F.sum(F.when(both, F.col("t") * F.col("t") / F.col("c"))).alias("tt_c"),
-        *[F.sum(F.when(both, F.col(f"x1_{i}"))).alias(f"m1_{i}") for i in range(len(numeric))],
-        *[F.sum(F.when(both, F.col("t") / F.col("c") * F.col(f"x0_{i}"))).alias(f"m0_{i}")
+    both = (F.col("__t") > 0) & (F.col("__c") > 0)
+    sums = parts.groupBy("__design").agg(
+        F.coalesce(F.sum(F.when(both, F.col("__t"))), F.lit(0)).alias("T"),
+        F.coalesce(F.sum(F.when(both, F.col("__c"))), F.lit(0)).alias("C"),
+        F.sum(F.when(both, F.col("__t") * F.col("__t") / F.col("__c"))).alias("tt_c"),
+        *[F.sum(F.when(both, F.col(f"__x1_{i}"))).alias(f"m1_{i}") for i in range(len(numeric))],
+        *[F.sum(F.when(both, F.col("__t") / F.col("__c") * F.col(f"__x0_{i}"))).alias(f"m0_{i}")
           for i in range(len(numeric))],
     )
     smd = [
@@ -327,13 +327,13 @@ def candidate_balance(
         for i, (s, x) in enumerate(zip(smd, numeric))])))
     info = df.sparkSession.createDataFrame(
         [(d.number, member[d.number], d.strategy, d.name) for d in search],
-        "candidate_no int, design int, Match_Num string, Cutpoint string")
+        "candidate_no int, __design int, Match_Num string, Cutpoint string")
     ess = F.col("T") + F.try_divide(F.col("T") * F.col("T"), F.col("tt_c"))
     matched = F.when(F.col("Match_Num") == "match_result1",
                      (F.col("T") + F.col("C")).cast("double")).otherwise(F.coalesce(ess, F.lit(0.0)))
     return (
         sums.withColumn("worst", worst)
-        .join(F.broadcast(info), "design")
+        .join(F.broadcast(info), "__design")
         .select(
             "candidate_no", "Match_Num", "Cutpoint",
             F.lit(spread["n"]).cast("bigint").alias("NumOriginal"),

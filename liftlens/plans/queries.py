@@ -337,11 +337,11 @@ def match_candidates(spark, sf):
     rows = _rows(spark, sf)
     search = matching.designs(rows, COVARIATES)
     parts = matching.design_strata(rows, GROUP, COVARIATES, {d.number: d.rules for d in search})
-    both = (F.col("t") > 0) & (F.col("c") > 0)
-    return parts.groupBy(F.col("design").alias("candidate_no")).agg(
+    both = (F.col("__t") > 0) & (F.col("__c") > 0)
+    return parts.groupBy(F.col("__design").alias("candidate_no")).agg(
         F.count("*").alias("strata"), F.count_if(both).alias("usable_strata"),
-        F.coalesce(F.sum(F.when(both, F.col("t"))), F.lit(0)).alias("treated"),
-        F.coalesce(F.sum(F.when(both, F.col("c"))), F.lit(0)).alias("controls"))
+        F.coalesce(F.sum(F.when(both, F.col("__t"))), F.lit(0)).alias("treated"),
+        F.coalesce(F.sum(F.when(both, F.col("__c"))), F.lit(0)).alias("controls"))
 
 
 def candidate_balance(spark, sf):
