@@ -240,41 +240,55 @@ def exact_quantiles(
 
 
 def _bracketed(df: DataFrame, n: int, probs: Sequence[float], limit: int) -> list[float]:
-    df = df.where(F.col("x").isNotNull())
-    result = []
-    for p in probs:
-        position = p * (n - 1)
-        low, high = math.floor(position), math.ceil(position)
-        inside, below, size, accuracy = df, 0, n, 10_000
-        while True:
+    """Quantiles of column `x` by brackets around each rank. Every round is two aggregates
+    for all open ranks together: a sketch that proposes brackets and counts that prove them.
+    The values left in the proven brackets are counted in one last, small job."""
+    x, accuracy = F.col("x"), 10_000
+    df = df.where(x.isNotNull())
+    positions = [p * (n - 1) for p in probs]
+    inside = [None] * len(probs)  # proven bracket of each rank: (lo, hi, rows below, rows in it)
+    todo = list(range(len(probs)))
+    while todo:
+        sketches = []
+        for i in todo:
+            lo, hi, below, size = inside[i] or (None, None, 0, n)
             pad = 3.0 / accuracy
-            ranks = [(low - below) / size - pad, (high - below + 1) / size + pad]
-            ranks = [min(1.0, max(0.0, r)) for r in ranks]
-            lo, hi = inside.agg(
-                F.percentile_approx("x", F.array(*[F.lit(r) for r in ranks]), accuracy)
-            ).first()[0]
-            kept = inside.where(F.col("x").between(lo, hi))
-            seen = inside.agg(
-                F.count_if(F.col("x") < lo).alias("below"),
-                F.count_if(F.col("x").between(lo, hi)).alias("m"),
-                F.approx_count_distinct(
-                    F.when(F.col("x").between(lo, hi), F.col("x"))
-                ).alias("d"),
-            ).first()
-            if not (below + seen["below"] <= low and high < below + seen["below"] + seen["m"]):
-                accuracy *= 4  # the sketch missed the rank; ask it for more
-                continue
-            inside, below, size = kept, below + seen["below"], seen["m"]
-            if seen["d"] <= limit:
-                break
-        counts = inside.groupBy("x").count().collect()  # few distinct values, by the test above
-        values = {}
-        reached = below
-        for r in sorted(counts, key=lambda r: r["x"]):
-            for rank in (low, high):
-                if reached <= rank < reached + r["count"]:
-                    values[rank] = r["x"]
-            reached += r["count"]
+            ranks = [(math.floor(positions[i]) - below) / size - pad,
+                     (math.ceil(positions[i]) - below + 1) / size + pad]
+            value = x if lo is None else F.when(x.between(lo, hi), x)
+            sketches.append(F.percentile_approx(
+                value, F.array(*[F.lit(min(1.0, max(0.0, r))) for r in ranks]), accuracy
+            ).alias(f"b{i}"))
+        proposed = df.agg(*sketches).first()
+        counts = []
+        for i in todo:
+            lo, hi = proposed[f"b{i}"]
+            counts += [F.count_if(x < lo).alias(f"l{i}"),
+                       F.count_if(x.between(lo, hi)).alias(f"m{i}"),
+                       F.approx_count_distinct(F.when(x.between(lo, hi), x)).alias(f"d{i}")]
+        seen = df.agg(*counts).first()
+        still = []
+        for i in todo:
+            below, size = seen[f"l{i}"], seen[f"m{i}"]
+            if below <= math.floor(positions[i]) and math.ceil(positions[i]) < below + size:
+                inside[i] = (*proposed[f"b{i}"], below, size)
+                if seen[f"d{i}"] > limit:
+                    still.append(i)
+            else:
+                still.append(i)
+                accuracy *= 4  # a sketch missed its rank; ask for more
+        todo = still
+    wanted = F.lit(False)
+    for lo, hi, _, _ in inside:
+        wanted = wanted | x.between(lo, hi)
+    left = sorted((r["x"], r["count"]) for r in df.where(wanted).groupBy("x").count().collect())
+    result = []
+    for position, (lo, hi, reached, _) in zip(positions, inside):
+        low, high, values = math.floor(position), math.ceil(position), {}
+        for value, count in left:
+            if lo <= value <= hi:
+                values |= {k: value for k in (low, high) if reached <= k < reached + count}
+                reached += count
         a, b = values[low], values[high]
         result.append(a if a == b else (high - position) * a + (position - low) * b)
     return result
