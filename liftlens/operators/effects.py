@@ -20,6 +20,7 @@ from liftlens.operators.scale import cut_lineage, running_sum
 
 OVERALL = "Overall"
 MIN_ROWS = 5
+NOISE = 1e-12  # a squared error below this share of its terms is rounding: the fit is exact
 
 
 def confidence_interval(df: DataFrame, alpha: float = 0.05) -> DataFrame:
@@ -100,13 +101,17 @@ TOTALS = ("a", "b", "aa", "ab", "bb")
 def _estimate(sums: DataFrame, by: Sequence[str]) -> DataFrame:
     """Effect and error from group totals of `_score_sums` over __g independent units."""
     keep = [quoted(c) for c in by]
-    return sums.selectExpr("*", "try_divide(__a, __b) AS __tau").selectExpr(
+    spread = "__aa - 2 * __tau * __ab + __tau * __tau * __bb"
+    noise = f"{NOISE!r}D * (__aa + __tau * __tau * __bb)"
+    tau = sums.selectExpr("*", "try_divide(__a, __b) AS __tau")
+    return tau.selectExpr(
+        "*", f"CASE WHEN {spread} > {noise} THEN {spread} ELSE 0D END AS __spread"
+    ).selectExpr(
         *keep,
         "__n AS n_rows",
         "__g AS n_clusters",
         "__tau AS Average_treatment_effect",
-        """try_divide(sqrt(greatest(__aa - 2 * __tau * __ab + __tau * __tau * __bb, 0D)
-           * try_divide(__g, __g - 1)), __b) AS Standard_Error""",
+        "try_divide(sqrt(__spread * try_divide(__g, __g - 1)), __b) AS Standard_Error",
         f"""CASE WHEN __n < {MIN_ROWS} THEN 'fewer than {MIN_ROWS} rows'
             WHEN __b IS NULL OR __b <= 0 THEN 'no overlap' END AS reason""",
     )

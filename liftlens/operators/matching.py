@@ -293,8 +293,9 @@ def candidate_balance(
     """One row per design: rows matched (raw and effective), match share, and the largest
     standardised mean difference with its covariate.
 
-    Differences are (treated mean - weighted control mean) / s.d. of all treated. Categories
-    match exactly, so their differences are 0 by construction and are not computed.
+    Differences are (treated mean - weighted control mean) / s.d. of all treated; of equal ones
+    (to nine decimals) the first covariate is named. Categories match exactly, so their
+    differences are 0 by construction and are not computed.
     """
     search = list(search or designs(df, covariates))
     numeric, _ = split_covariates(df, covariates)
@@ -322,7 +323,8 @@ def candidate_balance(
         for i in range(len(numeric))
     ]
     worst = F.array_max(F.array_compact(F.array(*[
-        F.when(s.isNotNull(), F.struct(F.abs(s).alias("size"), F.lit(-i).alias("first"),
+        F.when(s.isNotNull(), F.struct(F.round(F.abs(s), 9).alias("size"),
+                                       F.lit(-i).alias("first"),
                                        s.alias("smd"), F.lit(x).alias("name")))
         for i, (s, x) in enumerate(zip(smd, numeric))])))
     info = df.sparkSession.createDataFrame(

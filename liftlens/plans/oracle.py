@@ -130,6 +130,7 @@ def _candidates() -> str:
     infos = ", ".join(f"({i}, '{s}', '{n}')" for i, s, n, _ in designs)
     rules = ", ".join(f"({i}, '{c}', '{r.get(c, 'sturges')}')"
                       for i, _, _, r in designs for c in NUM)
+    places = ", ".join(f"('{c}', {i})" for i, c in enumerate(NUM))
     long = " UNION ALL ".join(
         f"SELECT emp_id || '/' || treatment_id AS rid, \"Control/Test_group\" AS w, "
         f"\"MARKET\" || '/' || \"REGION\" AS cat, '{c}' AS covariate, \"{c}\"::DOUBLE AS x "
@@ -176,6 +177,7 @@ totals AS (SELECT candidate_no, count(*) AS strata,
     coalesce(sum(c) FILTER (t > 0 AND c > 0), 0)::BIGINT AS controls,
     sum(t * t / c::DOUBLE) FILTER (t > 0 AND c > 0) AS tt_c
   FROM strata GROUP BY candidate_no),
+places(covariate, place) AS (VALUES {places}),
 spread AS (SELECT covariate, stddev_samp(x) AS sd FROM long_ WHERE w = 1 GROUP BY covariate),
 weighted AS (SELECT p.candidate_no, l.covariate, l.x, l.w,
     CASE WHEN l.w = 1 THEN 1 ELSE s.t / s.c::DOUBLE END AS wt
@@ -186,8 +188,8 @@ smds AS (SELECT candidate_no, covariate,
     (sum(x * wt) FILTER (w = 1) / sum(wt) FILTER (w = 1)
      - sum(x * wt) FILTER (w = 0) / sum(wt) FILTER (w = 0)) / any_value(sd) AS smd
   FROM weighted JOIN spread USING (covariate) GROUP BY candidate_no, covariate),
-worst AS (SELECT candidate_no, arg_max(smd, abs(smd)) AS smd, arg_max(covariate, abs(smd)) AS name
-  FROM smds GROUP BY candidate_no),
+worst AS (SELECT candidate_no, smd, covariate AS name FROM smds JOIN places USING (covariate)
+  QUALIFY row_number() OVER (PARTITION BY candidate_no ORDER BY round(abs(smd), 9) DESC, place) = 1),
 candidates AS (SELECT candidate_no, strategy AS "Match_Num", i.name AS "Cutpoint",
     (SELECT count(*) FROM rows_) AS "NumOriginal",
     CASE WHEN strategy = 'match_result1' THEN treated + controls
