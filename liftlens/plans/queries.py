@@ -488,7 +488,7 @@ def feature_importance(spark, sf):
 
 def tuned_propensity(spark, sf):
     rows = _features(spark, sf)
-    table, _ = models.tune(rows, GROUP, [*KPIS, "ACCTBAL", "LIFETIME"], "f1", draws=2, folds=2,
+    table, _ = models.tune(rows, GROUP, [*KPIS, "ACCTBAL", "LIFETIME"], "f1", draws=1, folds=2,
                            at_most={"maxDepth": 4, "maxIter": 10, "numTrees": 10})
     return table
 
