@@ -3,7 +3,10 @@ running sums in global order and exact quantiles without a single-task group."""
 
 from __future__ import annotations
 
+import atexit
 import math
+import re
+import shutil
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -22,16 +25,19 @@ _LOCAL: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; only where none is configured (tests) a fresh local one."""
+    """The folder that driver and executors share, from spark.checkpoint.dir. Only where it is
+    unset and driver and executors are one process, a local folder does; a cluster without a
+    shared folder is an error, as its tasks would write to disks of their own."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = configured or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
+    if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL:
         _LOCAL[app] = tempfile.mkdtemp(prefix="liftlens-")
+        atexit.register(shutil.rmtree, _LOCAL[app], ignore_errors=True)
     return _LOCAL[app]
 
 
@@ -40,11 +46,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     of executors, is computed a single time (an RDD checkpoint computes its last stage
     twice), and later passes prune columns and know its size."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/liftlens/{uuid.uuid4().hex}"
+    app = spark.sparkContext.applicationId
+    path = f"{shared_dir(spark)}/liftlens/{app}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_tables(spark: SparkSession) -> None:
+    """Delete the tables that this application has written to the shared folder."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(
+        f"{shared_dir(spark)}/liftlens/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     return df.limit(rows + 1).count() <= rows
 
