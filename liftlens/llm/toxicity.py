@@ -234,12 +234,15 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
     if not all(totals):
         return None
     sample = cut_lineage(sample)
-    table = counted(sample).groupBy("gram", "cell").agg(F.sum("n").alias("n")).toPandas()
-    keys, at = np.unique(table["gram"].to_numpy().astype(np.uint64), return_inverse=True)
+    # as many rows as the bounded sample has forms
+    table = counted(sample).groupBy("gram", "cell").agg(F.sum("n").alias("n")).toArrow()
+    gram, cell, n = (table.column(c).to_numpy() for c in ("gram", "cell", "n"))
+    keys, at = np.unique(gram.astype(np.uint64), return_inverse=True)
     if not len(keys):
         return None
     counts = np.zeros((PARTS, 2, len(keys)))
-    counts[table["cell"].to_numpy() // 2, table["cell"].to_numpy() % 2, at] = table["n"].to_numpy()
+    counts[cell // 2, cell % 2, at] = n
+    del table, gram, cell, n, at
     models = [Model(*ratios(keys, counts.sum(axis=0) - counts[p]), []) for p in range(PARTS)]
     shared = docs.sparkSession.sparkContext.broadcast(models)
 
@@ -254,13 +257,13 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(x), pa.list_(pa.float64())), pa.array(cells % 2)], names=["x", "y"])
 
-    rows = sample.mapInArrow(run, "x array<double>, y int").toPandas()
+    rows = sample.mapInArrow(run, "x array<double>, y int").toArrow()
     model = Model(*ratios(keys, counts.sum(axis=0)), [-2.0, 0.0, 2.0, 0.0])
-    y = rows["y"].to_numpy().astype(float)
+    y = rows.column("y").to_numpy().astype(float)
     if 0 < y.sum() < len(y):
         share = [totals[c] / (y == c).sum() for c in (0, 1)]
         weight = np.where(y == 1, share[1], share[0])
-        model.weights = logistic(np.stack(rows["x"].to_numpy()), y, weight * len(y) / weight.sum()).tolist()
+        model.weights = logistic(np.array(rows.column("x").to_pylist()), y, weight * len(y) / weight.sum()).tolist()
     return model
 
 
