@@ -101,7 +101,7 @@ def ranked(slots: DataFrame, bits: int) -> DataFrame:
         "sid", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
     inside = Window.partitionBy("sid", "part").orderBy("slot")
     return slots.withColumn("row", F.row_number().over(inside) - 1).join(
-        starts, ["sid", "part"]).select(
+        starts.hint("merge"), ["sid", "part"]).select(
         "slot", "sid", (F.col("start") + F.col("row")).alias("rank"))
 
 
@@ -122,6 +122,7 @@ def placed(sized: DataFrame, per: DataFrame, n: int) -> DataFrame:
     earlier = inside.rowsBetween(Window.unboundedPreceding, -1)
     docs = docs.select("*", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("inner"),
                        F.row_number().over(inside).alias("row"))
+    starts = starts.hint("merge")  # as many rows as ranges: too many to broadcast at scale
     return docs.join(starts, F.col("source").eqNullSafe(F.col("s")) & (F.col("part") == F.col("p"))) \
         .withColumn("start", F.col("part_start") + F.col("inner")).drop("s", "p", "inner", "part_start")
 
@@ -161,7 +162,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS,
     bits = max(1, math.ceil(math.log2(points))) if points > 1 else 1
     cut = pieces(placed(sized, per, n), block_words)
     plan = schedule(quotas, bits)
-    return cut.join(plan, ["sid", "rank"], "left")
+    return cut.join(plan.hint("merge"), ["sid", "rank"], "left")
 
 
 def words_taken(mixed: DataFrame) -> DataFrame:
