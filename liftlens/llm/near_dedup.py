@@ -7,10 +7,10 @@ proportional to the total weight, so a set keeps about k ln k darts whatever its
 belongs to one of k coordinates, and the earliest per coordinate is the signature. Equal
 coordinates of two sets have the probability of their weighted Jaccard similarity.
 
-Bands of four coordinates are joined. In each bucket members are compared with its least member
-(a star instead of all pairs); those not similar to it go on, with the least of them as the next
-leader for the whole bucket, until everybody has led or joined a leader. Similar pairs are then
-confirmed on the shingle sets. Exact copies are one node throughout.
+Bands of four coordinates are joined. In each bucket all members are compared with the most
+central one (a star instead of all pairs); members that this leaves in different components are
+compared with each other where a bound on what their sets share allows a similarity of 0.8. The
+comparison is exact, on the shingle sets. Exact copies are one node throughout.
 
 Defined results: null texts and texts without words are in a class of their own and have no
 links; texts with one to four words are a single shingle; equal texts are one class whatever
@@ -163,18 +163,20 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
     return by_batch(docs.select("node", "text"), run, "node binary, shingles array<long>")
 
 
-def similar(a: str, b: str):
-    both = F.size(F.array_intersect(a, b))
-    union = F.size(a) + F.size(b) - both
-    return both * SIMILARITY[1] >= union * SIMILARITY[0]
-
-
-def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose shingle sets are similar. A node in very many pairs is spread by
-    the skew handling of the two joins, which need nothing of a key together."""
+def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) with the sizes of their shingle sets (na, nb), what they share (both)
+    and whether they are similar. A node in very many pairs is spread by the skew handling of
+    the joins, which need nothing of a key together."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    return pairs.join(left, "a").join(right, "b").where(similar("sa", "sb")).select("a", "b")
+    both = F.size(F.array_intersect("sa", "sb")).alias("both")
+    out = pairs.join(left, "a").join(right, "b").select(
+        "a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), both)
+    return out.withColumn("similar", reaches(F.col("both"), F.col("na") + F.col("nb")))
+
+
+def reaches(both, sizes):
+    return both * SIMILARITY[1] >= (sizes - both) * SIMILARITY[0]
 
 
 def one_text_each(wanted: DataFrame, docs: DataFrame) -> DataFrame:
@@ -189,41 +191,53 @@ def one_text_each(wanted: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def links(signed: DataFrame, docs: DataFrame) -> DataFrame:
-    """Confirmed pairs (a, b) of nodes, enough to connect what is similar.
+    """Similar pairs (a, b) of nodes that connect everything similar within the buckets.
 
-    `signed` is written already. Rounds of leaders run until no bucket has a member that
-    neither led nor joined a leader. A bucket still open after a round gets twice the leaders."""
+    In each bucket the most central member (whose keys are the most common) is compared with
+    all others. What that connects is one component; members of different components are then
+    compared with each other, but only where the sets can still be similar: what two sets share
+    is at most the smaller of their parts inside the centre's set plus the smaller of their
+    parts outside it."""
     nodes = signed.where("node is not null").groupBy("node").agg(
         F.first("keys").alias("keys"), F.min("doc_id").alias("doc_id"))
     members = nodes.select("node", F.explode("keys").alias("key"))
-    shared = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    shared = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     members = cut_lineage(members.join(shared, "key"))
-    wanted = members.select("node").distinct().join(nodes.select("node", "doc_id"), "node")
-    sets = cut_lineage(shingle_sets(one_text_each(wanted, docs)))
-    found, open_members, tried, salts = None, members, None, 1
-    while True:
-        salt = F.pmod(F.xxhash64("node"), F.lit(salts))
-        leaders = open_members.groupBy("key", salt).agg(F.min("node").alias("leader"))
-        leaders = cut_lineage(leaders.select("key", "leader"))
-        salts *= 2
-        pairs = members.join(leaders, "key").where("node != leader").select(
-            F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")
-        ).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = cut_lineage(pairs)
-        if pairs.isEmpty():
-            return found if found is not None else pairs
-        good = cut_lineage(confirmed(pairs, sets))
-        found = good if found is None else found.union(good)
-        tried = pairs if tried is None else tried.union(pairs)
-        joined = found.select(F.col("a").alias("node"), F.col("b").alias("leader")).union(
-            found.select(F.col("b").alias("node"), F.col("a").alias("leader")))
-        done = leaders.select("key", F.col("leader").alias("node")).union(
-            leaders.join(joined, "leader").select("key", "node")).distinct()
-        open_members = cut_lineage(open_members.join(done, ["key", "node"], "left_anti"))
-        if open_members.isEmpty():
-            return found
+    common = members.groupBy("node").agg(F.sum("n").alias("common"))
+    sets = cut_lineage(shingle_sets(one_text_each(
+        common.select("node").join(nodes.select("node", "doc_id"), "node"), docs)))
+    centres = members.join(common, "node").groupBy("key").agg(
+        F.max(F.struct("common", "node")).alias("top")).select(
+        "key", F.col("top.node").alias("centre"))
+    members = cut_lineage(members.select("key", "node").join(centres, "key"))
+    first = cut_lineage(compared(members.where("node != centre").select(
+        F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), sets))
+    found = first.where("similar").select("a", "b")
+    roots = components(found)
+    # members with the size of their set and of its part inside the centre's
+    facts = first.select(F.col("a").alias("centre"), F.col("b").alias("node"),
+                         F.col("nb").alias("n"), F.col("both").alias("inside"))
+    itself = first.select(F.col("a").alias("centre"), F.col("a").alias("node"),
+                          F.col("na").alias("n"), F.col("na").alias("inside")).distinct()
+    placed = members.join(facts.union(itself), ["centre", "node"]).join(roots, "node", "left")
+    placed = placed.withColumn("root", F.coalesce("root", "node"))
+    of_centre = F.col("node") == F.col("centre")
+    mixed_keys = placed.groupBy("key").agg(
+        F.max(F.when(of_centre, F.col("root"))).alias("main"),
+        (F.min("root") != F.max("root")).alias("open")).where("open").select("key", "main")
+    placed = cut_lineage(placed.join(mixed_keys, "key").select(
+        "key", "node", "n", "inside", "root", (F.col("root") == F.col("main")).alias("in_main")))
+    x = placed.where("not in_main").alias("x")
+    y = placed.alias("y")
+    at_most = (F.least("x.inside", "y.inside")
+               + F.least(F.expr("x.n - x.inside"), F.expr("y.n - y.inside")))
+    left_over = x.join(y, F.expr("x.key = y.key and x.root != y.root "
+                                 "and (y.in_main or x.node < y.node)")
+                       & reaches(at_most, F.expr("x.n + y.n")))
+    pairs = left_over.select(F.least("x.node", "y.node").alias("a"),
+                             F.greatest("x.node", "y.node").alias("b")).distinct()
+    second = cut_lineage(compared(pairs, sets).where("similar").select("a", "b"))
+    return found.union(second)
 
 
 def grouped(docs: DataFrame, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from liftlens.llm import decontaminate, mixing, near_dedup, secrets, toxicity
+from liftlens.llm import (
+    decontaminate, language_id, mixing, near_dedup, neighbours, secrets, suffix_dedup,
+    suffix_tree_lm, token_counts, toxicity)
 from liftlens.llm.common import table
 
 
@@ -10,24 +12,46 @@ def op1_mix_sources(spark, sf_dir):
     return mixing.words_taken(mixing.mix(table(spark, sf_dir, "documents")))
 
 
+def op2_token_counts(spark, sf_dir):
+    return token_counts.count(table(spark, sf_dir, "documents"))
+
+
 def op3_secret_scan(spark, sf_dir):
     return secrets.digest(table(spark, sf_dir, "documents"))
 
 
+def op4_repeated_strings(spark, sf_dir):
+    return suffix_dedup.removed(table(spark, sf_dir, "documents"))
+
+
 def op5_benchmark_leaks(spark, sf_dir):
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_suffix_tree_scores(spark, sf_dir):
+    return suffix_tree_lm.scores(table(spark, sf_dir, "documents"))
+
+
 def op7_near_duplicates(spark, sf_dir):
     return near_dedup.classes(table(spark, sf_dir, "documents"))
 
 
+def op8_nearest_vectors(spark, sf_dir):
+    return neighbours.search(table(spark, sf_dir, "embeddings"))
+
+
+def op9_language(spark, sf_dir):
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark, sf_dir):
     return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_mix_sources, op3_secret_scan, op5_benchmark_leaks, op7_near_duplicates, op10_toxicity)}
+    op1_mix_sources, op2_token_counts, op3_secret_scan, op4_repeated_strings,
+    op5_benchmark_leaks, op6_suffix_tree_scores, op7_near_duplicates, op8_nearest_vectors,
+    op9_language, op10_toxicity)}
 
 ORACLE = {
     "op1_mix_sources": r"""
