@@ -1,10 +1,10 @@
 """Nearest vectors by inner product, through collision-counting hashing.
 
 Each hash function is a single random projection, kept as a sorted array. A query's windows on
-all projections are centred at its own values and grow by virtual rehashing: every round doubles
-their width, no table is built anew. A vector that collides with the query in enough windows is a
+all projections are centred at its own values and grow by virtual rehashing: every round widens them
+by a factor, no table is built anew. A vector that collides with the query in enough windows is a
 candidate; candidates are verified with their exact inner product. A query stops growing once its
-candidates are a set share of the block beyond the wanted number.
+candidates are several times the wanted number and a share of the block.
 
 Inner products become distances by one more dimension that brings every vector to the largest
 norm. Rows are dealt to blocks of bounded size by a hash; each task indexes every row of its
@@ -28,9 +28,11 @@ from liftlens.operators.scale import cut_lineage
 EVERY = 20  # queries: ids divisible by this
 NEAREST = 20
 PROJECTIONS = 64
-THRESHOLD = 0.6  # share of the windows in which a candidate collides
-SHARE = 0.1  # of a block, to be verified beyond the wanted number
-FIRST_WINDOW = 0.2  # in standard deviations of a projection
+THRESHOLD = 0.7  # share of the windows in which a candidate collides
+SHARE = 0.03  # of a block, to be verified beyond AHEAD times the wanted number
+AHEAD = 4
+FIRST_WINDOW = 0.8  # in standard deviations of a projection
+GROWTH = 1.3  # of the windows in each round
 BLOCK = 8192  # rows
 QUERY_BLOCK = 8192  # queries broadcast at once
 
@@ -54,47 +56,54 @@ def matrix(column, width: int) -> np.ndarray:
 
 
 class Index:
-    """Sorted projections of one block of vectors."""
+    """Sorted projections of one block of vectors, and each vector's place in them."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, norm: float, seed: int = 7):
-        self.ids, self.vectors = ids, vectors
+        self.ids, self.vectors, self.norm = ids, vectors, norm
         rng = np.random.default_rng(seed)
         self.lines = rng.standard_normal((vectors.shape[1] + 1, PROJECTIONS))
-        self.norm = norm
         rest = np.sqrt(np.maximum(norm**2 - (vectors**2).sum(axis=1), 0.0))
-        values = np.column_stack([vectors, rest]) @ self.lines
-        self.order = np.argsort(values, axis=0, kind="stable").T.astype(np.int32).copy()
-        self.sorted = np.take_along_axis(values.T, self.order.astype(np.int64), axis=1)
-        self.width = FIRST_WINDOW * max(float(values.std(axis=0).mean()), 1e-12)
-
-    def nearest(self, query_id: int, query: np.ndarray, k: int):
-        n = len(self.ids)
-        scaled = query * (self.norm / np.sqrt((query**2).sum()))
-        centre = np.append(scaled, 0.0) @ self.lines
-        counts = np.zeros(n, np.int32)
-        done = np.array([np.searchsorted(s, c) for s, c in zip(self.sorted, centre)])
-        low, high = done.copy(), done.copy()
-        wanted = min(n, k + 1 + int(SHARE * n))
-        width, need = self.width, int(np.ceil(THRESHOLD * PROJECTIONS))
-        while True:
-            parts = []
+        values = (np.column_stack([vectors, rest]) @ self.lines).T
+        order = np.argsort(values, axis=1, kind="stable")
+        self.sorted = np.take_along_axis(values, order, axis=1)
+        self.places = np.empty(values.shape, np.uint16)  # a block has fewer rows than 2^16
+        np.put_along_axis(self.places, order, np.arange(len(ids), dtype=np.uint16)[None, :], axis=1)
+        self.width = FIRST_WINDOW * max(float(values.std(axis=1).mean()), 1e-12)
+
+    def candidates(self, queries: np.ndarray, wanted: int):
+        """(number of the query, places of its candidates), round by round. A vector collides on
+        a projection if its place lies between the ends of the query's window there."""
+        scale = self.norm / np.sqrt((queries**2).sum(axis=1))
+        centres = (queries * scale[:, None]) @ self.lines[:-1]
+        need = int(np.ceil(THRESHOLD * PROJECTIONS))
+        active, width = np.arange(len(queries)), self.width
+        while len(active):
+            ends = np.empty((2, len(active), PROJECTIONS), np.int64)
             for p in range(PROJECTIONS):
-                a = np.searchsorted(self.sorted[p], centre[p] - width)
-                b = np.searchsorted(self.sorted[p], centre[p] + width, side="right")
-                a, b = min(a, low[p]), max(b, high[p])
-                parts += [self.order[p, a:low[p]], self.order[p, high[p]:b]]
-                low[p], high[p] = a, b
-            counts += np.bincount(np.concatenate(parts), minlength=n).astype(np.int32)
-            found = np.flatnonzero(counts >= need)
-            if len(found) >= wanted:
-                break
-            width *= 2
-        score = (self.vectors[found] * query).sum(axis=1)
-        ids = self.ids[found]
-        other = ids != query_id
-        score, ids = score[other], ids[other]
-        best = np.lexsort((ids, -score))[:k]
-        return ids[best], score[best]
+                ends[0, :, p] = np.searchsorted(self.sorted[p], centres[active, p] - width)
+                ends[1, :, p] = np.searchsorted(self.sorted[p], centres[active, p] + width, "right")
+            still = []
+            for q, low, high in zip(active, *ends):
+                # below the window the difference wraps round to a large number
+                inside = (self.places - low.astype(np.uint16)[:, None]) \
+                    < (high - low).astype(np.uint16)[:, None]
+                found = np.flatnonzero(inside.sum(axis=0, dtype=np.uint8) >= need)
+                if len(found) >= wanted:
+                    yield q, found
+                else:
+                    still.append(q)
+            active, width = np.array(still, int), width * GROWTH
+
+    def nearest(self, query_ids: np.ndarray, queries: np.ndarray, k: int):
+        """(query number, ids, scores) of the verified candidates, the best k of each query."""
+        n = len(self.ids)
+        for q, found in self.candidates(queries, min(n, AHEAD * k + 1 + int(SHARE * n))):
+            score = (self.vectors[found] * queries[q]).sum(axis=1)
+            ids = self.ids[found]
+            other = ids != query_ids[q]
+            score, ids = score[other], ids[other]
+            best = np.lexsort((ids, -score))[:k]
+            yield query_ids[q], ids[best], score[best]
 
 
 def search(vectors: DataFrame, every: int = EVERY, k: int = NEAREST,
@@ -121,10 +130,11 @@ def search(vectors: DataFrame, every: int = EVERY, k: int = NEAREST,
             for at in range(0, len(ids), 2 * block):
                 index = Index(ids[at:at + 2 * block], own[at:at + 2 * block], norm)
                 out = ([], [], [])
-                for query_id, query in shared.value:
-                    q = np.zeros(width)
-                    q[:len(query)] = query
-                    near, score = index.nearest(query_id, q, k)
+                query_ids = np.array([i for i, _ in shared.value])
+                asked = np.zeros((len(query_ids), width))
+                for row, (_, query) in zip(asked, shared.value):
+                    row[:len(query)] = query
+                for query_id, near, score in index.nearest(query_ids, asked, k):
                     for target, x in zip(out, (np.full(len(near), query_id), near, score)):
                         target.append(x)
                 yield pa.RecordBatch.from_arrays(
