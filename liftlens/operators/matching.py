@@ -359,12 +359,6 @@ def select_match(candidates: DataFrame, require_green: bool = False) -> DataFram
     return candidates.agg(best.alias("b")).where(F.col("b").isNotNull()).select("b.*")
 
 
-def best_design(df: DataFrame, treat: str, covariates: Sequence[str], **kw) -> Design | None:
-    search = designs(df, covariates)
-    row = select_match(candidate_balance(df, treat, covariates, search), **kw).first()
-    return next((d for d in search if row and d.number == row["candidate_no"]), None)
-
-
 def balance(df: DataFrame, matched: DataFrame, treat: str, covariates: Sequence[str]) -> DataFrame:
     """Balance of given matched rows per numeric covariate: means by arm (weighted), the
     standardised difference with the s.d. of all treated in `df`, and its tier."""
@@ -373,7 +367,7 @@ def balance(df: DataFrame, matched: DataFrame, treat: str, covariates: Sequence[
                       for i, x in enumerate(numeric)]).first()
 
     def mean(x: str, arm: int) -> Column:
-        weight = F.when(q(treat) == arm, F.col("weights"))
+        weight = F.when((q(treat) == arm) & q(x).isNotNull(), F.col("weights"))
         return F.try_divide(F.sum(weight * q(x)), F.sum(weight))
 
     sums = matched.agg(*[mean(x, a).alias(f"m{a}_{i}")
@@ -386,11 +380,3 @@ def balance(df: DataFrame, matched: DataFrame, treat: str, covariates: Sequence[
             F.try_divide(F.col(f"m1_{i}") - F.col(f"m0_{i}"),
                          F.lit(spread[f"s{i}"]).cast("double")).alias("smd"),
         ) for i, x in enumerate(numeric)]))).withColumn("Category", balance_tier(F.col("smd")))
-
-
-def match_counts(matched: DataFrame, treat: str) -> DataFrame:
-    """Rows, sum of weights and effective sample size by arm."""
-    w = F.col("weights")
-    return matched.groupBy(q(treat).alias("arm")).agg(
-        F.count("*").alias("n"), F.sum(w).alias("sum_weights"),
-        (F.sum(w) * F.sum(w) / F.sum(w * w)).alias("ess"))

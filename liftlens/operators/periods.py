@@ -41,19 +41,6 @@ def _allocations(treatment: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def with_periods(
-    population: DataFrame, treatment: DataFrame, date: str, hot: HotKeys | None = None
-) -> DataFrame:
-    """Population rows with their allocation window, snapped days before it and status.
-
-    Allocations without population rows have no date and would drop out of both periods,
-    so the join is inner; hot employees are salted.
-    """
-    joined = _dated(population, treatment, date, hot)
-    joined = joined.withColumn("date_diff", snap_days(F.col("__days"))).drop("__days")
-    return joined.withColumn("Status", period_status(F.col("date_diff")))
-
-
 def _dated(population: DataFrame, treatment: DataFrame, date: str, hot: HotKeys | None):
     """Rows with their allocation window and `__days` before its start. Snapping keeps the
     sign, so `__days > 0` is the plain form of the status `pre`."""
@@ -150,22 +137,15 @@ def _windowed(rows: DataFrame, kpis: Mapping[str, str], windows: Mapping[tuple,
     return long.where(F.col("start_date").isNotNull())
 
 
-def at_horizon(outcome: DataFrame, days: int, min_rows: int = 11) -> DataFrame:
-    """Outcome rows of one horizon, or none at all if there are fewer than `min_rows`."""
-    rows = outcome.where(F.col("date_diff") == days)
-    enough = rows.limit(min_rows).count() >= min_rows  # stops once it has seen that many
-    return rows if enough else rows.limit(0)
+def at_horizon(outcome: DataFrame, days: int) -> DataFrame:
+    """Outcome rows of one horizon, however few."""
+    return outcome.where(F.col("date_diff") == days)
 
 
 def treated_only(df: DataFrame, flag: str = "Control/Test_group") -> DataFrame:
     return df.where(q(flag) == 1)
 
 
-def min_group(df: DataFrame, keys: Sequence[str], n: int = 5) -> DataFrame:
-    """Groups with at least n rows, as (keys, n)."""
-    return df.groupBy(*[q(k) for k in keys]).agg(F.count("*").alias("n")).where(F.col("n") >= n)
-
-
 def sufficiency(
     pre: DataFrame,
     post: DataFrame,

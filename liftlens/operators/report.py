@@ -19,10 +19,13 @@ ATE = "Average_treatment_effect"
 def finalize_effects(effects: DataFrame, names: DataFrame, project: str) -> DataFrame:
     """Effects for publication: treatment label for id, project name, negative effects shown
     as 0 (with error 0 and interval [0,0]), two decimals half-even. The unclamped effect
-    stays in `raw_effect`. `names` is (treatment_id, treatment_label)."""
-    shown = F.greatest(F.col(ATE), F.lit(0.0))
+    stays in `raw_effect`. `names` is (treatment_id, treatment_label); of several labels of an id
+    the first in order is shown."""
+    # an effect that is not known stays unknown
+    shown = F.when(F.col(ATE).isNotNull(), F.greatest(F.col(ATE), F.lit(0.0)))
     none = shown == 0
-    labelled = lookup_join(effects, names, ["treatment_id"])
+    one_each = names.groupBy("treatment_id").agg(F.min("treatment_label").alias("treatment_label"))
+    labelled = lookup_join(effects, one_each, ["treatment_id"])
     return labelled.select(
         "treatment_label", "KPI", "Segment_Name", "Segment",
         F.bround(shown, 2).alias(ATE),

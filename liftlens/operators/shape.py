@@ -39,12 +39,6 @@ def population_columns(kpis: Sequence[str], covariates: Sequence[str], grain: st
     return ["emp_id", *period, "treatment_id", *kpis, *covariates]
 
 
-def columns_matching(df: DataFrame, pattern: str, keep: bool = True) -> DataFrame:
-    """Columns whose names match a regular expression (or those that do not)."""
-    hit = re.compile(pattern)
-    return df.select(*[q(c) for c in df.columns if bool(hit.search(c)) == keep])
-
-
 def covariates(df: DataFrame, reserved: Sequence[str]) -> list[str]:
     """Matching covariates: all columns but the reserved ones and every outcome that has a
     `_pre` twin."""

@@ -54,15 +54,11 @@ def vif(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "feature string, vif double")
 
 
-def vif_prune(
-    df: DataFrame, columns: Sequence[str], limit: float = 5.0, min_cells: int = 1_000_000
-) -> list[str]:
+def vif_prune(df: DataFrame, columns: Sequence[str], limit: float = 5.0) -> list[str]:
     """Columns left after dropping the worst until every inflation is below `limit`. Keys and
-    the treated flag are not passed in. Tables below `min_cells` cells are left as they are."""
+    the treated flag are not passed in. The result does not depend on the table's size."""
     keep = list(columns)
     g, _ = gram_matrix(df, keep)
-    if df.count() * len(df.columns) < min_cells:
-        return keep
     while len(keep) > 1:
         values = _vif(g)
         worst = int(np.argmax(values))
@@ -99,12 +95,12 @@ def holdout_split(
     classes = [r[0] for r in df.select(q(stratify)).distinct().limit(101).collect()]
     if len(classes) > 100:
         raise ValueError("stratify needs a label with few classes")
-    per_class = df.select(*[F.when(q(stratify) == F.lit(c), F.col("__h")).alias(f"h{i}")
+    per_class = df.select(*[F.when(q(stratify).eqNullSafe(F.lit(c)), F.col("__h")).alias(f"h{i}")
                             for i, c in enumerate(classes)])
     cuts = exact_quantiles(per_class, {f"h{i}": [frac] for i in range(len(classes))})
     is_test = F.lit(0)
     for i, c in enumerate(classes):
-        is_test = F.when(q(stratify) == F.lit(c),
+        is_test = F.when(q(stratify).eqNullSafe(F.lit(c)),
                          (F.col("__h") < F.lit(cuts[f"h{i}"][0])).cast("int")).otherwise(is_test)
     return df.withColumn("is_test", is_test).drop("__h")
 

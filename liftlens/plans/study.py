@@ -41,6 +41,8 @@ class Shaped:
     population: DataFrame
     hot: HotKeys
 
+ROW = "__row"  # tells rows of one person apart
+
 
 def ingest(
     cfg: StudyConfig, population: DataFrame, treatment: DataFrame, segment: DataFrame,
@@ -177,21 +179,30 @@ def run(
     treated = models.propensity(feature_table, inputs)
     save("classification_output", treated.predictions, ("treatment_id",))
     save("treatment_names", shape.treatment_names(s.treatment))
-    fits = []
+    fits, skipped = [], []
     for days in cfg.post_days:
         rows = cut_lineage(outcome_rows(cfg, tables, s, days))
         if rows.isEmpty():
+            skipped.append((f"regression {days} days", "no outcome rows"))
             continue
-        wide = rows
+        inputs_from = rows.columns
+        # people may have several rows, so predictions come back by row
+        rows = wide = cut_lineage(rows.withColumn(ROW, F.monotonically_increasing_id()))
         for kpi in cfg.kpi_names:
-            model_inputs = models.kpi_features(rows.columns, cfg.kpi_names, GROUP)
+            model_inputs = models.kpi_features(inputs_from, cfg.kpi_names, GROUP)
             fit = models.kpi_model(rows, kpi, model_inputs)
             fits.append((days, kpi, fit.score))
             wide = wide.join(
-                fit.predictions.select("emp_id", "treatment_id", q(f"{kpi} predictions")),
-                ["emp_id", "treatment_id"])
-        save(f"regression_output_{days}days", features.drop_all_null(wide), ("treatment_id",))
+                fit.predictions.select(ROW, q(f"{kpi} predictions")), ROW)
+        save(f"regression_output_{days}days", features.drop_all_null(wide.drop(ROW)),
+             ("treatment_id",))
+    spark = population.sparkSession
     rows = cut_lineage(outcome_rows(cfg, tables, s))
+    if rows.isEmpty():
+        skipped.append(("matching", "no outcome rows at the longest horizon"))
+    save("skipped", spark.createDataFrame(skipped, "step string, reason string"))
+    if rows.isEmpty():
+        return paths
     found, candidates = matched_effects(cfg, rows)
     save("match_info", candidates)
     save("effects", found)
@@ -201,7 +212,6 @@ def run(
     overall, by_segment = report.overall_effects(final), report.segment_effects(final)
     save("overall_effects", overall)
     save("segment_effects", by_segment)
-    spark = rows.sparkSession
     r2_rows = spark.createDataFrame(fits, "days int, KPI string, r2 double")
     save("model_report", report.model_report(
         treated.predictions, GROUP, treated.score, r2_rows, treated.importance))

@@ -10,13 +10,18 @@ from pyspark.sql import types as T
 CORRUPT = "_corrupt_record"
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header and a stated schema: no inference pass over the data. Lines that do
-    not fit keep their text in `_corrupt_record`."""
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType, multiline: bool = False
+) -> DataFrame:
+    """CSV with a header and a stated schema: no inference pass over the data. Quotes inside
+    quoted text are doubled. Lines that do not fit keep their text in `_corrupt_record`.
+    `multiline` reads texts with line breaks, one task per file."""
     full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     return (
         spark.read.schema(full)
         .option("header", True)
+        .option("escape", '"')
+        .option("multiLine", multiline)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(path)
@@ -29,7 +34,7 @@ def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", True).csv(path)
+    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
 
 
 def write_parquet(

@@ -5,6 +5,8 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry_module
+from liftlens.plans.oracle import ORACLE
+from liftlens.plans.queries import QUERIES
 from tests.compare import difference, duck
 
 SF = "/root/testdata/sf0.001"
@@ -18,14 +20,15 @@ def con():
 
 
 def test_only_fitted_models_lack_sql():
-    assert set(entry_module.queries()) - set(entry_module.oracle_sql()) == FITTED
+    assert set(QUERIES) - set(ORACLE) == FITTED
+    assert set(QUERIES) <= set(entry_module.queries())
 
 
 def test_entry_has_rows(spark):
     assert entry_module.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(set(entry_module.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, con, name):
     df = entry_module.queries()[name](spark, SF)
     assert difference(df, con, entry_module.oracle_sql()[name]) is None
