@@ -9,7 +9,8 @@ coordinates of two sets have the probability of their weighted Jaccard similarit
 
 Bands of four coordinates are joined. In each bucket all members are compared with the most
 central one (a star instead of all pairs); members that this leaves in different components are
-compared with each other where a bound on what their sets share allows a similarity of 0.8. The
+compared with each other where they share a shingle that the centre lacks, or where a bound on
+what they share inside the centre's set allows a similarity of 0.8; no other pair reaches it. The
 comparison is exact, on the shingle sets. Exact copies are one node throughout.
 
 Defined results: null texts and texts without words are in a class of their own and have no
@@ -163,15 +164,15 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
     return by_batch(docs.select("node", "text"), run, "node binary, shingles array<long>")
 
 
-def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def compared(pairs: DataFrame, sets: DataFrame, *more) -> DataFrame:
     """The pairs (a, b) with the sizes of their shingle sets (na, nb), what they share (both)
-    and whether they are similar. A node in very many pairs is spread by the skew handling of
-    the joins, which need nothing of a key together."""
+    and whether they are similar; `more` columns may be made of the sets sa and sb. A node in very
+    many pairs is spread by the skew handling of the joins, which need nothing of a key together."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb")).alias("both")
     out = pairs.join(left, "a").join(right, "b").select(
-        "a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), both)
+        "a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), both, *more)
     return out.withColumn("similar", reaches(F.col("both"), F.col("na") + F.col("nb")))
 
 
@@ -194,10 +195,11 @@ def links(signed: DataFrame, docs: DataFrame) -> DataFrame:
     """Similar pairs (a, b) of nodes that connect everything similar within the buckets.
 
     In each bucket the most central member (whose keys are the most common) is compared with
-    all others. What that connects is one component; members of different components are then
-    compared with each other, but only where the sets can still be similar: what two sets share
-    is at most the smaller of their parts inside the centre's set plus the smaller of their
-    parts outside it."""
+    all others. What that connects is one component; members of different components may still
+    be similar. What two sets share is at most the smaller of their parts inside the centre's set
+    plus the smaller of their parts outside it, so such a pair either shares a shingle that the
+    centre lacks, or its parts inside the centre's set suffice alone. Only these pairs are
+    compared."""
     nodes = signed.where("node is not null").groupBy("node").agg(
         F.first("keys").alias("keys"), F.min("doc_id").alias("doc_id"))
     members = nodes.select("node", F.explode("keys").alias("key"))
@@ -209,35 +211,57 @@ def links(signed: DataFrame, docs: DataFrame) -> DataFrame:
     centres = members.join(common, "node").groupBy("key").agg(
         F.max(F.struct("common", "node")).alias("top")).select(
         "key", F.col("top.node").alias("centre"))
-    members = cut_lineage(members.select("key", "node").join(centres, "key"))
+    members = members.select("key", "node").join(centres, "key")
     first = cut_lineage(compared(members.where("node != centre").select(
-        F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), sets))
+        F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), sets,
+        F.array_except("sb", "sa").alias("outside")))
     found = first.where("similar").select("a", "b")
     roots = components(found)
-    # members with the size of their set and of its part inside the centre's
-    facts = first.select(F.col("a").alias("centre"), F.col("b").alias("node"),
-                         F.col("nb").alias("n"), F.col("both").alias("inside"))
-    itself = first.select(F.col("a").alias("centre"), F.col("a").alias("node"),
-                          F.col("na").alias("n"), F.col("na").alias("inside")).distinct()
-    placed = members.join(facts.union(itself), ["centre", "node"]).join(roots, "node", "left")
-    placed = placed.withColumn("root", F.coalesce("root", "node"))
-    of_centre = F.col("node") == F.col("centre")
-    mixed_keys = placed.groupBy("key").agg(
-        F.max(F.when(of_centre, F.col("root"))).alias("main"),
-        (F.min("root") != F.max("root")).alias("open")).where("open").select("key", "main")
-    placed = cut_lineage(placed.join(mixed_keys, "key").select(
-        "key", "node", "n", "inside", "root", (F.col("root") == F.col("main")).alias("in_main")))
-    x = placed.where("not in_main").alias("x")
-    y = placed.alias("y")
-    at_most = (F.least("x.inside", "y.inside")
-               + F.least(F.expr("x.n - x.inside"), F.expr("y.n - y.inside")))
-    left_over = x.join(y, F.expr("x.key = y.key and x.root != y.root "
-                                 "and (y.in_main or x.node < y.node)")
-                       & reaches(at_most, F.expr("x.n + y.n")))
-    pairs = left_over.select(F.least("x.node", "y.node").alias("a"),
-                             F.greatest("x.node", "y.node").alias("b")).distinct()
-    second = cut_lineage(compared(pairs, sets).where("similar").select("a", "b"))
-    return found.union(second)
+    # each centre and its members, with the size of a member's set and of its part inside
+    own = F.coalesce("root", "node").alias("root")
+    placed = first.select(F.col("a").alias("centre"), F.col("b").alias("node"),
+                          F.col("nb").alias("n"), F.col("both").alias("inside"), "outside")
+    placed = placed.join(roots, "node", "left").select("centre", "node", "n", "inside", "outside", own)
+    main = first.select(F.col("a").alias("node")).distinct().join(roots, "node", "left").select(
+        F.col("node").alias("centre"), F.coalesce("root", "node").alias("main"))
+    placed = placed.join(main, "centre").withColumn("in_main", F.col("root") == F.col("main"))
+    some_open = placed.where("not in_main").select("centre").distinct()
+    placed = cut_lineage(placed.join(some_open, "centre"))
+    return found.union(left_over(placed, sets))
+
+
+def left_over(placed: DataFrame, sets: DataFrame) -> DataFrame:
+    """Similar pairs of different components around the same centre, neither of which is it.
+
+    `placed`: centre, node, n, inside, outside, root, in_main."""
+    facts = placed.select("centre", "node", "n", "inside", "root", "in_main")
+    within = F.expr("x.root != y.root and not x.in_main and (y.in_main or x.node < y.node)")
+    sizes = F.expr("x.n + y.n")
+    inside = F.least("x.inside", "y.inside")
+    outside = F.least(F.expr("x.n - x.inside"), F.expr("y.n - y.inside"))
+    # With the rarest shingles around the centre first, the first fifth and one more of two
+    # sets have one in common if the sets are similar by shingles outside. Those of one node or of
+    # the main component alone come before all others, and make no pairs.
+    shingles = placed.select(*facts.columns, F.explode("outside").alias("shingle"))
+    some = shingles.groupBy("centre", "shingle").agg(
+        F.count("*").alias("k"), F.every("in_main").alias("all_main")).where(
+        "k > 1 and not all_main").select("centre", "shingle", "k")
+    of_node = Window.partitionBy("centre", "node")
+    place = (F.col("n") - F.col("inside") - F.count("*").over(of_node)
+             + F.row_number().over(of_node.orderBy("k", "shingle")))
+    shingles = shingles.join(some, ["centre", "shingle"]).withColumn("place", place)
+    shingles = cut_lineage(shingles.where("place <= floor(n / 5) + 1").drop("k", "place"))
+    x, y = shingles.alias("x"), shingles.alias("y")
+    by_shingle = x.join(y, F.expr("x.centre = y.centre and x.shingle = y.shingle") & within
+                        & reaches(inside + outside, sizes))
+    # a node whose part inside suffices for no size around the centre has no partner there
+    enough = facts.join(facts.groupBy("centre").agg(F.min("n").alias("least_n")), "centre")
+    enough = cut_lineage(enough.where(reaches(F.col("inside"), F.col("n") + F.col("least_n"))))
+    x, y = enough.alias("x"), enough.alias("y")
+    by_inside = x.join(y, F.expr("x.centre = y.centre") & within & reaches(inside, sizes))
+    ends = [F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")]
+    pairs = by_shingle.select(*ends).union(by_inside.select(*ends)).distinct()
+    return cut_lineage(compared(pairs, sets).where("similar").select("a", "b"))
 
 
 def grouped(docs: DataFrame, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
