@@ -132,7 +132,7 @@ def _share_auc(moments: DataFrame, by: Sequence[str]) -> DataFrame:
     share = F.expr("__n1 / (__n1 + __n0)").alias("__s")
     scores = moments.groupBy(*[q(c) for c in by], share).agg(
         F.expr("CAST(sum(__n1) AS DOUBLE) AS __pos"), F.expr("CAST(sum(__n0) AS DOUBLE) AS __neg"))
-    return running_sum(scores, by, "__s", ["__neg"]).groupBy(*[q(c) for c in by]).agg(F.expr(
+    return running_sum(cut_lineage(scores), by, "__s", ["__neg"]).groupBy(*[q(c) for c in by]).agg(F.expr(
         """try_divide(sum(__pos * (before___neg + __neg / 2)), sum(__pos) * sum(__neg)) AS auc"""))
 
 

@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 
 from liftlens.functions.columns import balance_tier, bin_of, q, quoted
 from liftlens.operators.scale import (
-    HOT_KEYS,
     HotKeys,
     cut_lineage,
     exact_quantiles,
     key_hash64,
+    most_hot_keys,
     quantile_sizes,
     skew_join,
     task_count,
@@ -202,8 +202,9 @@ def cem_match(
 def _hot_strata(counted: DataFrame, keys: Sequence[str], min_rows: int = 100_000) -> HotKeys:
     """The largest strata; their sizes are known from the counts."""
     size = F.col("n_treated") + F.col("n_control")
+    most = most_hot_keys(task_count(counted.sparkSession))
     top = counted.select(key_hash64(keys).alias("h"), size.alias("n")).orderBy(
-        F.desc("n"), "h").limit(HOT_KEYS).collect()
+        F.desc("n"), "h").limit(most).collect()
     total = counted.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
     hot = HotKeys()
     hot.add(keys, [(r["h"], r["n"]) for r in top], max(total, 1),

@@ -18,7 +18,6 @@ from liftlens.functions.columns import q
 
 BROADCAST_ROWS = 100_000  # most rows of a narrow lookup table that may be broadcast
 COLLECT_ROWS = 100_000  # most distinct values that may sort in one task or on the driver
-HOT_KEYS = 64
 
 
 _LOCAL: dict[str, str] = {}
@@ -71,6 +70,11 @@ def task_count(spark: SparkSession) -> int:
     )
 
 
+def most_hot_keys(tasks: int) -> int:
+    """How many keys can each fill more than two average tasks, and some more."""
+    return max(64, tasks // 2)
+
+
 class HotKeys:
     """Key sets and, for each, the hashes of its hot keys and the salts the hottest needs."""
 
@@ -96,14 +100,16 @@ def find_hot_keys(
     df: DataFrame, *key_sets: Sequence[str], min_rows: int = 100_000
 ) -> HotKeys:
     """Keys which alone would fill more than two average tasks. One pass over the key columns
-    with a bounded sketch per key set (at most 64 keys each). The counts only steer salting;
+    with a bounded sketch per key set. The counts only steer salting;
     results never depend on them. Rows that descend one to one from `df` by filters and
     lookups may use the same answer."""
     names = [f"h{i}" for i in range(len(key_sets))]
+    most = most_hot_keys(task_count(df.sparkSession))
+    tracked = max(10_000, 8 * most)
     row = (
         df.select(*[key_hash64(k).alias(n) for k, n in zip(key_sets, names)])
         .agg(F.count("*").alias("n"),
-             *[F.expr(f"approx_top_k({n}, {HOT_KEYS}, 10000)").alias(n) for n in names])
+             *[F.expr(f"approx_top_k({n}, {most}, {tracked})").alias(n) for n in names])
         .first()
     )
     found = HotKeys()
@@ -154,34 +160,19 @@ def lookup_join(
     return skew_join(big, small, keys, how)
 
 
-def _splitters(df: DataFrame, order: str, buckets: int) -> list:
-    """Boundary values from a hash-ordered sample of the distinct values. They only place
-    the bucket borders; the result is exact for any choice."""
-    sample = (
-        df.select(q(order).alias("v"))
-        .distinct()
-        .orderBy(F.xxhash64("v"))
-        .limit(32 * buckets)
-        .collect()
-    )
-    values = [r["v"] for r in sample if r["v"] is not None]
-    values.sort(key=lambda v: v.encode("utf-8") if isinstance(v, str) else v)
-    step = max(1, len(values) // buckets)
-    return values[step::step]
-
-
 def running_sum(
     df: DataFrame,
     by: Sequence[str],
     order: str,
     values: Sequence[str],
     limit: int = COLLECT_ROWS,
-    buckets: int = 256,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Add `before_<v>`: the sum of v over the rows of the group that sort before this row.
 
-    `df` holds each (by, order) once. Beyond `limit` rows the order is cut into range
-    buckets: totals per bucket give offsets, and each bucket is ordered on its own.
+    `df` holds each (by, order) once; it is read twice. Rows are dealt to `buckets` ranges
+    of (by, order), by default one for every `limit` rows, so large groups take many. Totals per
+    range give offsets, and each range is ordered on its own. One range needs no offsets.
     """
     by = list(by)
 
@@ -192,22 +183,25 @@ def running_sum(
 
     groups = [q(b) for b in by] or [F.lit(0)]
     names = [f"before_{v}" for v in values]
-    if fits_broadcast(df, limit):
+    size = df.count()
+    ranges = (buckets if buckets and size > limit else None) or math.ceil(size / limit)
+    if ranges <= 1:
         return df.select("*", *before(groups, order, names, values))
-    cuts = F.array(*[F.lit(c) for c in _splitters(df, order, buckets)])
-    bucket = F.size(F.filter(cuts, lambda c: c <= q(order)))
-    rows = df.withColumn("__bucket", bucket)
-    totals = rows.groupBy(*by, "__bucket").agg(*[F.sum(q(v)).alias(f"__t_{v}") for v in values])
+    # written, so that the borders and with them the ranges stay as they are
+    rows = cut_lineage(df.repartitionByRange(ranges, *[q(c) for c in [*by, order]])
+                       .withColumn("__range", F.spark_partition_id()))
+    totals = rows.groupBy(*by, "__range").agg(*[F.sum(q(v)).alias(f"__t_{v}") for v in values])
     offsets = totals.select(
-        *by,
-        "__bucket",
-        *before(groups, "__bucket", [f"__o_{v}" for v in values], [f"__t_{v}" for v in values]),
+        *[q(b).alias(f"__b{i}") for i, b in enumerate(by)], F.col("__range").alias("__r"),
+        *before(groups, "__range", [f"__o_{v}" for v in values], [f"__t_{v}" for v in values]),
     )
     within = rows.select(
-        "*", *before([*groups, q("__bucket")], order, [f"__w_{v}" for v in values], values)
+        "*", *before([*groups, q("__range")], order, [f"__w_{v}" for v in values], values)
     )
-    joined = within.join(offsets, [*by, "__bucket"])
-    return joined.select(
+    same = F.col("__range") == F.col("__r")
+    for i, b in enumerate(by):
+        same = same & q(b).eqNullSafe(F.col(f"__b{i}"))
+    return within.join(offsets, same).select(
         *[q(c) for c in df.columns],
         *[(q(f"__w_{v}") + q(f"__o_{v}")).alias(f"before_{v}") for v in values],
     )
@@ -282,7 +276,7 @@ def _bracketed(df: DataFrame, n: int, probs: Sequence[float], limit: int) -> lis
                        F.count_if(x.between(lo, hi)).alias(f"m{i}"),
                        F.approx_count_distinct(F.when(x.between(lo, hi), x)).alias(f"d{i}")]
         seen = df.agg(*counts).first()
-        still = []
+        still, missed = [], False
         for i in todo:
             below, size = seen[f"l{i}"], seen[f"m{i}"]
             if below <= math.floor(positions[i]) and math.ceil(positions[i]) < below + size:
@@ -291,7 +285,9 @@ def _bracketed(df: DataFrame, n: int, probs: Sequence[float], limit: int) -> lis
                     still.append(i)
             else:
                 still.append(i)
-                accuracy *= 4  # a sketch missed its rank; ask for more
+                missed = True
+        if missed:
+            accuracy *= 4  # a sketch missed its rank; ask for more
         todo = still
     wanted = F.lit(False)
     for lo, hi, _, _ in inside:

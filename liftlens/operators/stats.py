@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from liftlens.functions.columns import q
-from liftlens.operators.scale import exact_quantiles, running_sum
+from liftlens.operators.scale import cut_lineage, exact_quantiles, running_sum
 
 HASH_RANGE = 4294967296
 
@@ -162,7 +162,7 @@ def auc(df: DataFrame, y: str, score: str, by: Sequence[str] = (), **kw) -> Data
         .agg(F.sum(F.when(q(y) == 1, 1.0).otherwise(0.0)).alias("pos"),
              F.sum(F.when(q(y) == 1, 0.0).otherwise(1.0)).alias("neg"))
     )
-    ranked = running_sum(counts, by, "__s", ["neg"], **kw)
+    ranked = running_sum(cut_lineage(counts), by, "__s", ["neg"], **kw)
     wins = F.col("pos") * (F.col("before_neg") + F.col("neg") / 2)
     return _grouped(ranked, by).agg(
         F.try_divide(F.sum(wins), F.sum("pos") * F.sum("neg")).alias("auc"))

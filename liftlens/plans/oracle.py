@@ -14,6 +14,7 @@ def rnd(expr: str, digits: int) -> str:
 
 
 KPI = ["Order Value", "Order Count", "% Open Orders"]
+SEGMENTS = ["MARKET", "NATION", "REGION"]
 NUM = ["Order Value_pre", "Order Count_pre", "ACCTBAL", "LIFETIME"]
 Z = "1.959963984540054"
 
@@ -287,7 +288,7 @@ def effect_columns(digits: int = 3) -> str:
 
 SEGMENT_FIT = "\n".join([
     STUDY, SHAPED, ROWS, halves(), MATCHED, long_kpis("matched"),
-    spread_segments("kl", ["MARKET", "REGION"]),
+    spread_segments("kl", SEGMENTS),
     fit("sl", ["treatment_id", "Segment_Name", "Segment", "KPI"])])
 
 FINAL = f"""
@@ -507,8 +508,8 @@ def _arbitrate() -> str:
     keys = ", ".join(f'a."{c}"' for c in g)
     return query(
         STUDY, SHAPED, ROWS, halves(), MATCHED, weighted,
-        long_kpis("matched", "kl"), spread_segments("kl", ["MARKET"], "sl"), fit("sl", g, "fa"),
-        long_kpis("wsub", "wk"), spread_segments("wk", ["MARKET"], "ws"),
+        long_kpis("matched", "kl"), spread_segments("kl", SEGMENTS, "sl"), fit("sl", g, "fa"),
+        long_kpis("wsub", "wk"), spread_segments("wk", SEGMENTS, "ws"),
         fit("ws", g, "fb", clustered=False), auc("sl", "auca"), auc("ws", "aucb"),
         select=f"""
 SELECT {keys}, {rnd(choose('a.tau', 'b.tau'), 3)} AS "Average_treatment_effect",
@@ -635,6 +636,7 @@ SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS price
     "one_hot": query(STUDY, select='SELECT emp_id AS "EMP_ID", ' + ", ".join(
         f"""("{c}" = '{v}')::INT AS "{c}_{v}" """ for c, vs in (
             ("MARKET", ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")),
+            ("NATION", [f"NATION_{i}" for i in range(25)]),
             ("REGION", ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"))) for v in vs)
         + " FROM seg"),
     "union_distinct": """
@@ -683,6 +685,20 @@ d AS (SELECT *, a * (b * c - bc * bc) - ab * (ab * c - bc * ac) + ac * (ab * bc
 SELECT 'l_quantity' AS feature, round(a * (b * c - bc * bc) / det, 6) AS vif FROM d UNION ALL
 SELECT 'l_extendedprice', round(b * (a * c - ac * ac) / det, 6) FROM d UNION ALL
 SELECT 'l_discount', round(c * (a * b - ab * ab) / det, 6) FROM d"""),
+    "vif_prune": """
+WITH g AS (SELECT sum(l_quantity * l_quantity) AS a, sum(l_extendedprice * l_extendedprice) AS b,
+  sum(l_discount * l_discount) AS c, sum(l_quantity * l_extendedprice) AS ab,
+  sum(l_quantity * l_discount) AS ac, sum(l_extendedprice * l_discount) AS bc FROM lineitem),
+d AS (SELECT *, a * (b * c - bc * bc) - ab * (ab * c - bc * ac) + ac * (ab * bc - b * ac) AS det FROM g),
+v AS (SELECT 1 AS i, 'l_quantity' AS feature, a * (b * c - bc * bc) / det AS vif FROM d UNION ALL
+  SELECT 2, 'l_extendedprice', b * (a * c - ac * ac) / det FROM d UNION ALL
+  SELECT 3, 'l_discount', c * (a * b - ab * ab) / det FROM d),
+worst AS (SELECT i FROM v WHERE vif >= 5 ORDER BY vif DESC, i LIMIT 1),
+pairs AS (SELECT 1 AS i, 2 AS j, a * b / (a * b - ab * ab) AS vif FROM g UNION ALL
+  SELECT 1, 3, a * c / (a * c - ac * ac) FROM g UNION ALL
+  SELECT 2, 3, b * c / (b * c - bc * bc) FROM g),
+next AS (SELECT p.i, p.j FROM pairs p, worst w WHERE w.i NOT IN (p.i, p.j) AND p.vif >= 5)
+SELECT feature FROM v WHERE i NOT IN (SELECT i FROM worst) AND i NOT IN (SELECT i FROM next)""",
     "holdout_split": f"""
 SELECT c_custkey, c_mktsegment, ({_HASH} < 0.33::DOUBLE * 4294967296)::INT AS is_test FROM customer""",
     "holdout_stratified": f"""

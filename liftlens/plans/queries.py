@@ -258,7 +258,7 @@ def drop_all_null(spark, sf):
 
 def one_hot(spark, sf):
     segment = source.raw_segments(spark, sf)
-    return features.one_hot(segment, ["MARKET", "REGION"]).drop("NATION")
+    return features.one_hot(segment, ["MARKET", "NATION", "REGION"])
 
 
 def union_distinct(spark, sf):
@@ -371,8 +371,7 @@ def effect_by_treatment(spark, sf):
 
 
 def effect_by_segment(spark, sf):
-    found = effects.cem_effects(_rows(spark, sf), KPIS, GROUP, COVARIATES, HALVES,
-                                ["MARKET", "REGION"])
+    found = effects.cem_effects(_rows(spark, sf), KPIS, GROUP, COVARIATES, HALVES, CFG.segments)
     return rounded(found, 3)
 
 
@@ -382,20 +381,19 @@ def effect_ci(spark, sf):
 
 def _effect_table(spark, sf):
     return effects.as_effect_table(effects.cem_effects(
-        _rows(spark, sf), KPIS, GROUP, COVARIATES, HALVES, ["MARKET", "REGION"]))
+        _rows(spark, sf), KPIS, GROUP, COVARIATES, HALVES, CFG.segments))
 
 
 def effect_arbitrate(spark, sf):
     """Matched fit against the fit weighted by a fixed score, per treatment and segment."""
     rows = _rows(spark, sf)
     scores = rows.select("emp_id", "treatment_id", _score().alias("probability"))
-    cfg = study.replace_segments(CFG, ("MARKET",))
-    return rounded(study.arbitrated_effects(cfg, rows, scores, HALVES, COVARIATES), 3)
+    return rounded(study.arbitrated_effects(CFG, rows, scores, HALVES, COVARIATES), 3)
 
 
 def effect_forest(spark, sf):
     rows = _rows(spark, sf)
-    return study.forest_effects(CFG, rows, HALVES, COVARIATES, ["Order Value"])
+    return study.forest_effects(CFG, rows, HALVES, COVARIATES)
 
 
 # --- models -----------------------------------------------------------------------------
@@ -418,6 +416,14 @@ def vif(spark, sf):
     return rounded(stats.vif(lines, ["l_quantity", "l_extendedprice", "l_discount"]), 6)
 
 
+def vif_prune(spark, sf):
+    """The columns that stay when the most inflated one leaves until all are below the limit."""
+    lines = source.table(spark, sf, "lineitem").select(
+        "l_quantity", "l_extendedprice", "l_discount")
+    kept = stats.vif_prune(lines, lines.columns)
+    return spark.createDataFrame([(c,) for c in kept], "feature string")
+
+
 def holdout_split(spark, sf):
     customers = source.table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
     return stats.holdout_split(customers, "c_custkey")
@@ -553,10 +559,10 @@ def parquet_roundtrip(spark, sf):
     """A partitioned output and the outputs of two runs, read back as one table."""
     path = f"{shared_dir(spark)}/parquet-{uuid.uuid4().hex}"
     segment = source.raw_segments(spark, sf)
-    region = F.col("REGION")
-    io.write_parquet(segment.where(region < "B"), f"{path}/by_market", ["MARKET"])
-    io.write_parquet(segment.where(region == "EUROPE"), f"{path}/run1")
-    io.write_parquet(segment.where(region == "MIDDLE EAST"), f"{path}/run2")
+    part = F.pmod(F.xxhash64("EMP_ID"), F.lit(3))  # null has a hash too
+    io.write_parquet(segment.where(part == 0), f"{path}/by_market", ["MARKET"])
+    io.write_parquet(segment.where(part == 1), f"{path}/run1")
+    io.write_parquet(segment.where(part == 2), f"{path}/run2")
     runs = io.read_parquet(spark, f"{path}/run1", f"{path}/run2")
     return runs.unionByName(io.read_parquet(spark, f"{path}/by_market"))
 
@@ -574,7 +580,7 @@ QUERIES = {
         select_match,
         effect_overall, effect_by_treatment, effect_by_segment, effect_ci, effect_arbitrate,
         effect_forest,
-        vif, holdout_split, holdout_stratified, confusion_pct, f1_accuracy, r2_by_kpi,
+        vif, vif_prune, holdout_split, holdout_stratified, confusion_pct, f1_accuracy, r2_by_kpi,
         auc_rank_sum, outcome_fit_corr, propensity_scores, kpi_predictions, feature_importance,
         tuned_propensity,
         final_effects, rank_segments, top_insights, top_per_group, best_treatment_per_kpi,
