@@ -271,16 +271,18 @@ def residual_effect(
     return out if keep_skipped else out.where(F.col("reason").isNull())
 
 
-def arbitrate(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Per group keep fit `a` (matched) if its propensity AUC is higher, else fit `b`."""
+def arbitrate(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Per group keep fit `a` (matched) if its propensity AUC is higher, else fit `b`. With
+    `how` "full" a group that has one fit keeps that one."""
     values = ["Average_treatment_effect", "Standard_Error", "auc", "n_rows"]
 
     def packed(df: DataFrame, name: str):
         return df.select(*[q(k) for k in keys], F.struct(*values).alias(name))
 
-    pick = F.when(F.col("a.auc") > F.col("b.auc"), F.col("a")).otherwise(F.col("b"))
-    fit = F.when(F.col("a.auc") > F.col("b.auc"), "matched").otherwise("weighted")
-    joined = packed(a, "a").join(packed(b, "b"), list(keys))
+    takes_a = F.col("b").isNull() | (F.col("a.auc") > F.col("b.auc"))
+    pick = F.when(takes_a, F.col("a")).otherwise(F.col("b"))
+    fit = F.when(takes_a, "matched").otherwise("weighted")
+    joined = packed(a, "a").join(packed(b, "b"), list(keys), how)
     return joined.select(*[q(k) for k in keys], pick.alias("p"), fit.alias("fit"),
                          F.col("a.auc").alias("auc_matched"), F.col("b.auc").alias("auc_weighted")
                          ).select(*[q(k) for k in keys], "p.*", "fit", "auc_matched",

@@ -115,16 +115,21 @@ def matching_covariates(cfg: StudyConfig, rows: DataFrame) -> list[str]:
     return shape.covariates(rows, ["emp_id", "treatment_id", GROUP])
 
 
+def best_design(rows: DataFrame, covariates: list[str]) -> tuple[matching.Design, DataFrame]:
+    """The design with the highest match share, and the table of all candidates."""
+    search = matching.designs(rows, covariates)
+    candidates = cut_lineage(matching.candidate_balance(rows, GROUP, covariates, search))
+    best = matching.select_match(candidates).first()["candidate_no"]
+    return next(d for d in search if d.number == best), candidates
+
+
 def matched_effects(
     cfg: StudyConfig, rows: DataFrame, covariates: list[str] | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Search the designs once for all KPIs, match by the best one, and measure effects per
     treatment and segment. Returns (effects, candidate table)."""
     covariates = covariates or matching_covariates(cfg, rows)
-    search = matching.designs(rows, covariates)
-    candidates = cut_lineage(matching.candidate_balance(rows, GROUP, covariates, search))
-    best = matching.select_match(candidates).first()["candidate_no"]
-    design = next(d for d in search if d.number == best)
+    design, candidates = best_design(rows, covariates)
     found = effects.cem_effects(
         rows, cfg.kpi_names, GROUP, covariates, design.rules, cfg.segments)
     return effects.as_effect_table(found), candidates
@@ -132,10 +137,11 @@ def matched_effects(
 
 def arbitrated_effects(
     cfg: StudyConfig, rows: DataFrame, scores: DataFrame, design: Mapping,
-    covariates: list[str],
+    covariates: list[str], how: str = "inner",
 ) -> DataFrame:
     """Per treatment and segment: the fit on matched rows, or the propensity-weighted fit on
-    all rows, whichever tells treated from control better."""
+    all rows, whichever tells treated from control better. With `how` "full" a group that has
+    only one fit stays."""
     matched = matching.cem_match(rows, GROUP, covariates, design)
     a = effects.effect_by_segment(
         matched, cfg.kpi_names, GROUP, "subclass", cfg.segments, with_auc=True)
@@ -143,7 +149,7 @@ def arbitrated_effects(
         features.attach_weights(rows, scores), covariates, design)
     b = effects.effect_by_segment(
         placed, cfg.kpi_names, GROUP, "subclass", cfg.segments, clustered=False, with_auc=True)
-    return effects.arbitrate(a, b, ["KPI", "treatment_id", "Segment_Name", "Segment"])
+    return effects.arbitrate(a, b, ["KPI", "treatment_id", "Segment_Name", "Segment"], how)
 
 
 def forest_effects(
@@ -179,6 +185,11 @@ def run(
     treated = models.propensity(feature_table, inputs)
     save("classification_output", treated.predictions, ("treatment_id",))
     save("treatment_names", shape.treatment_names(s.treatment))
+    save("eligibility", s.eligibility)
+    save("segment_codes", shape.label_codes(tables.segment, cfg.segments))
+    save("validation_report", quality.validation_report(
+        cfg, shape.rename_columns(treatment, cfg.treatment_columns), s.treatment,
+        tables.population, s.pre, s.post, tables.windows, s.eligibility))
     fits, skipped = [], []
     for days in cfg.post_days:
         rows = cut_lineage(outcome_rows(cfg, tables, s, days))
@@ -203,8 +214,16 @@ def run(
     save("skipped", spark.createDataFrame(skipped, "step string, reason string"))
     if rows.isEmpty():
         return paths
-    found, candidates = matched_effects(cfg, rows)
+    covariates = matching_covariates(cfg, rows)
+    design, candidates = best_design(rows, covariates)
     save("match_info", candidates)
+    save("matched_rows", matching.cem_match(rows, GROUP, covariates, design.rules))
+    # one score per person and treatment, who may have several rows
+    scores = treated.predictions.groupBy("emp_id", "treatment_id").agg(
+        F.avg("probability").alias("probability"))
+    chosen = cut_lineage(arbitrated_effects(cfg, rows, scores, design.rules, covariates, "full"))
+    save("arbitration", chosen)
+    found = effects.as_effect_table(chosen)
     save("effects", found)
     names = shape.treatment_names(s.treatment).withColumnRenamed(
         "treatment_label_taken", "treatment_label")

@@ -7,7 +7,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from liftlens.operators import clean, features, models, periods, quality, shape, stats
+from liftlens.operators import clean, effects, features, models, periods, quality, shape, stats
 from liftlens.operators.scale import cut_lineage
 from liftlens.plans import study
 from liftlens.sources import customer_study as source
@@ -146,6 +146,17 @@ def test_whole_study(spark, tmp_path):
     assert overall.where("Average_treatment_effect < 0").isEmpty()
     assert {r[0] for r in overall.select("KPI").distinct().collect()} <= set(source.CONFIG.kpis)
     assert read("segment_effects").where("Segment = 'Overall'").isEmpty()
+    chosen = read("arbitration")
+    assert chosen.groupBy("KPI", "treatment_id", "Segment_Name", "Segment").count().where(
+        "count > 1").isEmpty()
+    assert chosen.where("fit NOT IN ('matched', 'weighted') OR Average_treatment_effect IS NULL"
+                        ).isEmpty()
+    assert read("effects").count() == chosen.count() > 0
+    assert read("matched_rows").where("weights IS NULL").isEmpty()
+    assert {r[0] for r in read("validation_report").select("check_id").distinct().collect()} >= {
+        "kpis_configured", "sufficiency", "two_groups"}
+    assert {r[0] for r in read("segment_codes").select("Segment_Name").distinct().collect()
+            } == set(source.CONFIG.segments)
     assert read("match_info").count() == len(study.matching.designs(
         read("regression_output_720days"),
         [c for c in study.matching_covariates(source.CONFIG, read("regression_output_720days"))
@@ -157,6 +168,17 @@ def test_whole_study(spark, tmp_path):
     assert {"best_treatment", "no_impact", "significant"} <= kinds
 
 
+def test_group_with_one_fit_stays_if_asked(spark):
+    schema = ("g string, Average_treatment_effect double, Standard_Error double, auc double, "
+              "n_rows long")
+    a = spark.createDataFrame([("x", 1.0, 0.1, 0.9, 5), ("y", 2.0, 0.1, 0.5, 5)], schema)
+    b = spark.createDataFrame([("x", 3.0, 0.1, 0.6, 5), ("z", 4.0, 0.1, None, 5)], schema)
+    fits = lambda how: {r["g"]: (r["fit"], r["Average_treatment_effect"])
+                        for r in effects.arbitrate(a, b, ["g"], how).collect()}
+    assert fits("inner") == {"x": ("matched", 1.0)}
+    assert fits("full") == {"x": ("matched", 1.0), "y": ("matched", 2.0), "z": ("weighted", 4.0)}
+
+
 def test_report_of_missing_treatment_and_null_rows(spark):
     df = spark.createDataFrame([(1, None, 3), (None, 2, 3), (1, 2, None), (1, 2, 3)],
                                "a int, b int, c int")
