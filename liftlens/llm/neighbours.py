@@ -29,8 +29,8 @@ EVERY = 20  # queries: ids divisible by this
 NEAREST = 20
 PROJECTIONS = 64
 THRESHOLD = 0.7  # share of the windows in which a candidate collides
-SHARE = 0.03  # of a block, to be verified beyond AHEAD times the wanted number
-AHEAD = 12
+SHARE = 0.35  # of a block, to be verified beyond AHEAD times the wanted number
+AHEAD = 24
 FIRST_WINDOW = 0.8  # in standard deviations of a projection
 GROWTH = 1.3  # of the windows in each round
 BLOCK = 8192  # rows

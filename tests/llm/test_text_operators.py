@@ -12,6 +12,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -260,6 +261,32 @@ def test_nearest_vectors(spark):
     assert neighbours.search(vectors.limit(0)).count() == 0
 
 
+def recall(vectors, every):
+    """Mean and least share of the true nearest 20 that the default search finds."""
+    own = vectors.collect()
+    ids = np.array([r["vec_id"] for r in own])
+    x = np.array([r["embedding"] for r in own], float)
+    got = {}
+    for r in neighbours.search(vectors, every=every).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    shares = []
+    for i in np.flatnonzero(ids % every == 0):
+        score = np.where(ids == ids[i], -np.inf, x @ x[i])
+        shares.append(len(set(ids[np.lexsort((ids, -score))[:20]]) & got[ids[i]]) / 20)
+    return np.mean(shares), min(shares)
+
+
+def test_nearest_vectors_recall_with_default_blocks(spark):
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    assert recall(table, 20)[0] >= 0.95
+    x = np.array([r["embedding"] for r in table.collect()])
+    rng = np.random.default_rng(4)
+    many = x[rng.integers(0, len(x), 20_000)] + rng.normal(0, x.std() / 2, (20_000, x.shape[1]))
+    several = spark.createDataFrame(
+        pa.table({"vec_id": np.arange(20_000), "embedding": list(many)}))
+    assert recall(several, 400)[0] >= 0.95
+
+
 def test_language(spark, odd, monkeypatch):
     monkeypatch.setattr(language_id, "STEPS", 200)
     docs = documents(spark)
