@@ -17,6 +17,12 @@ suffixes is avoided in three steps:
    in one interval of prefixes of length o and in one of suffixes of length LENGTH - o. All such
    strings of an anchor contain it, so what they cover is one span.
 
+The anchors of a hash with more than `HOT_ROWS` are not brought to one task. They are grouped by
+the bytes that matter for a range of o: those that are equal settle each other, and one stands for
+all; those that share no string with another are done; the others go on with each half of the range.
+In one text only the first two anchors with equal surroundings are kept, as the others are covered
+by what these two prove; so a long periodic text has few anchors.
+
 Instead of a Burrows-Wheeler transform of all bytes, with one refinement round per byte of common
 prefix, this merges the transform's order at the anchors alone, with the bytes before each suffix
 in place of the transform's column (README.md says why).
@@ -29,6 +35,7 @@ not read.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +51,8 @@ LENGTH = 200
 GRAM = 64  # a power of two
 STRETCH = LENGTH - GRAM + 1  # positions of a gram in a string of LENGTH
 TASK_ROWS = 1 << 16
+HOT_ROWS = TASK_ROWS // 4  # anchors of one hash that are still worked on in one task
+SLICE = 1 << 12  # anchors handed on at once
 _TABLE = mixed(np.arange(1, 257, dtype=np.uint64))
 EMPTY = hashlib.sha256(b"").hexdigest()
 
@@ -66,17 +75,52 @@ def sliding(values: np.ndarray, width: int, function) -> np.ndarray:
     return function(out[:len(out) - rest], out[rest:]) if rest else out
 
 
-def anchors(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and hashes of the anchors; none in texts shorter than LENGTH."""
+def anchors(text: bytes) -> tuple[np.ndarray, np.ndarray, list]:
+    """Positions and hashes of the anchors, and the (start, stop) that anchors left out cover; none
+    in texts shorter than LENGTH."""
     if len(text) < LENGTH:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    h = gram_hashes(np.frombuffer(text, np.uint8))
+        return np.empty(0, np.int64), np.empty(0, np.uint64), []
+    data = np.frombuffer(text, np.uint8)
+    h = gram_hashes(data)
     least = sliding(h, STRETCH, np.minimum)
     pad = np.zeros(STRETCH - 1, np.uint64)
     # the largest of the minima of all stretches that hold a position
     reached = sliding(np.concatenate([pad, least, pad]), STRETCH, np.maximum)
     at = np.flatnonzero(h == reached)
-    return at, h[at]
+    out = third(data, h, at)
+    left_out = at[out]
+    at = at[~out]
+    if not len(left_out):
+        return at, h[at], []
+    start, stop = left_out - STRETCH + 1, left_out + LENGTH
+    new = np.flatnonzero(np.concatenate([[True], start[1:] > stop[:-1]]))
+    last = np.concatenate([new[1:] - 1, [len(stop) - 1]])
+    return at, h[at], [{"start": a, "stop": b}
+                       for a, b in zip(start[new].tolist(), stop[last].tolist())]
+
+
+def third(data: np.ndarray, h: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether two earlier anchors of the text have the same bytes around them, all of them."""
+    out = np.zeros(len(at), bool)
+    inner = np.flatnonzero((at >= STRETCH - 1) & (at + LENGTH <= len(data)))
+    own = np.sort(h[at[inner]])
+    if not (own[2:] == own[:-2]).any():
+        return out
+    width = STRETCH - 1 + LENGTH
+    begin = at[inner] - STRETCH + 1
+    key = np.zeros(len(inner), np.uint64)
+    for offset in [*range(0, width - GRAM, GRAM), width - GRAM]:
+        key = key * _TABLE[1] + h[begin + offset]
+    order = np.argsort(key, kind="stable")
+    same = np.flatnonzero(key[order][1:] == key[order][:-1])
+    around = np.lib.stride_tricks.sliding_window_view(data, width)
+    equal = np.zeros(len(order), bool)  # to the one before
+    for i in range(0, len(same), SLICE):
+        part = same[i:i + SLICE]
+        equal[part + 1] = (around[begin[order[part]]]
+                           == around[begin[order[part + 1]]]).all(axis=1)
+    out[inner[order[np.flatnonzero(equal[2:] & equal[1:-1]) + 2]]] = True
+    return out
 
 
 def words_of(parts: list[bytes], width: int) -> np.ndarray:
@@ -160,7 +204,8 @@ def repeats(first, left, right, left_length, right_length, shards):
 
 
 def anchored(docs: DataFrame) -> DataFrame:
-    """doc_id, node (digest), n_bytes, sha256, and the anchors' positions and hashes."""
+    """doc_id, node (digest), n_bytes, sha256, the anchors' positions and hashes, and what those
+    left out cover."""
 
     def run(batches):
         for batch in batches:
@@ -173,32 +218,43 @@ def anchored(docs: DataFrame) -> DataFrame:
                     ids, pa.array([hashlib.md5(t).digest() for t in texts], pa.binary()),
                     pa.array([len(t) for t in texts], pa.int64()),
                     pa.array([hashlib.sha256(t).hexdigest() for t in texts]),
-                    pa.array([p for p, _ in found], pa.list_(pa.int64())),
-                    pa.array([h.view(np.int64) for _, h in found], pa.list_(pa.int64())),
-                ], names=["doc_id", "node", "n_bytes", "sha256", "places", "hashes"])
+                    pa.array([p for p, _, _ in found], pa.list_(pa.int64())),
+                    pa.array([h.view(np.int64) for _, h, _ in found], pa.list_(pa.int64())),
+                    pa.array([c for _, _, c in found], pa.list_(pa.struct(
+                        [("start", pa.int64()), ("stop", pa.int64())]))),
+                ], names=["doc_id", "node", "n_bytes", "sha256", "places", "hashes", "covered"])
 
     return docs.select("doc_id", "text").mapInArrow(
         run, "doc_id long, node binary, n_bytes long, sha256 string, places array<long>, "
-             "hashes array<long>")
+             "hashes array<long>, covered array<struct<start: long, stop: long>>")
 
 
 def surroundings(texts: DataFrame) -> DataFrame:
     """hash, node, place, left (reversed) and right bytes of every anchor in `places`."""
 
     def run(batches):
+        kinds = (pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary())
+        names = ["hash", "node", "place", "left", "right"]
+        rows = []
+
+        def out():
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                rows = []
                 for node, text, places, hashes in zip(*(c.to_pylist() for c in part.columns)):
                     data = text.encode()
-                    rows += [(h, node, p, data[max(0, p - STRETCH + 1):p][::-1],
-                              data[p:p + LENGTH]) for p, h in zip(places, hashes)]
-                if rows:
-                    kinds = (pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary())
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-                        names=["hash", "node", "place", "left", "right"])
+                    for i in range(0, len(places), SLICE):
+                        rows += [(h, node, p, data[max(0, p - STRETCH + 1):p][::-1],
+                                  data[p:p + LENGTH])
+                                 for p, h in zip(places[i:i + SLICE], hashes[i:i + SLICE])]
+                        if len(rows) >= SLICE:
+                            yield out()
+                            rows.clear()
+        if rows:
+            yield out()
 
     return texts.select("node", "text", "places", "hashes").mapInArrow(
         run, "hash long, node binary, place long, left binary, right binary")
@@ -206,8 +262,12 @@ def surroundings(texts: DataFrame) -> DataFrame:
 
 def repeated_spans(around: DataFrame) -> DataFrame:
     """node, start, stop: the bytes around an anchor that repeated strings cover."""
-    rows = cut_lineage(around)
-    parts = max(task_count(rows.sparkSession), -(-rows.count() // TASK_ROWS))
+    around = cut_lineage(around)
+    hot = cut_lineage(around.groupBy("hash").agg(F.count("*").alias("n")).where(
+        F.col("n") > HOT_ROWS).select("hash"))  # at most one for HOT_ROWS anchors
+    some_hot = not hot.isEmpty()
+    rows = around.join(F.broadcast(hot), "hash", "left_anti") if some_hot else around
+    parts = max(task_count(rows.sparkSession), -(-around.count() // TASK_ROWS))
 
     def run(batches):
         first, node, place, left, right, shards = [], [], [], [], [], [0]
@@ -234,7 +294,46 @@ def repeated_spans(around: DataFrame) -> DataFrame:
             pa.array(place[some] - low[some] + LENGTH, pa.int64()),
         ], names=["node", "start", "stop"])
 
-    return rows.repartition(parts, "hash").mapInArrow(run, "node binary, start long, stop long")
+    spans = rows.repartition(parts, "hash").mapInArrow(run, "node binary, start long, stop long")
+    return spans.union(hot_spans(around.join(F.broadcast(hot), "hash", "left_semi"))) \
+        if some_hot else spans
+
+
+def hot_spans(around: DataFrame) -> DataFrame:
+    """What `repeated_spans` gives, by grouping alone, so that a hash may have any number of
+    anchors. Each row has a range of o, from `low` to `high`, and only the bytes that matter for it;
+    it has strings from LENGTH - length(right) to length(left) bytes before the anchor. `asked`
+    is false if the row is settled and only serves to find repeats in others."""
+    whole = "length(left) + length(right) >= %d" % LENGTH
+    digest = "md5(concat(encode(concat_ws(',', hash, low, length({0})), 'UTF-8'), {0}, {1}))"
+    level = around.selectExpr("hash", "node", "place", "left", "right", "0 AS low",
+                              f"{STRETCH - 1} AS high", "true AS asked").where(whole)
+    found = []
+    while True:
+        level = cut_lineage(level.withColumn("own", F.expr(digest.format("left", "right"))))
+        if level.isEmpty():
+            break
+        alike = cut_lineage(level.groupBy("own").agg(
+            F.count("*").alias("n"), F.first(F.struct(*level.columns)).alias("row")))
+        settled = level.where("asked").join(
+            alike.where("n > 1").select("own"), "own", "left_semi")
+        found.append(settled.selectExpr(
+            "node", "place - length(left) AS start", "place + length(right) AS stop"))
+        stand = alike.where("row.low < row.high").selectExpr("n", "row.*").withColumn(
+            "asked", F.expr("asked AND n = 1")).withColumn("shared", F.expr(digest.format(
+                "substring(left, 1, low)", f"substring(right, 1, {LENGTH} - high)")))
+        stand = cut_lineage(stand.drop("n", "own"))
+        open_ = stand.groupBy("shared").agg(
+            F.count("*").alias("n"), F.max("asked").alias("any")).where("n > 1 AND any")
+        halves = stand.join(open_.select("shared"), "shared", "left_semi").selectExpr(
+            "hash", "node", "place", "left", "right", "asked",
+            "inline(array(struct(low AS low, (low + high) div 2 AS high), "
+            "struct((low + high) div 2 + 1 AS low, high AS high)))")
+        level = halves.selectExpr(
+            "hash", "node", "place", "substring(left, 1, CAST(high AS INT)) AS left",
+            f"substring(right, 1, CAST({LENGTH} - low AS INT)) AS right",
+            "CAST(low AS INT) AS low", "CAST(high AS INT) AS high", "asked").where(whole)
+    return reduce(DataFrame.union, found)
 
 
 def cut(texts: DataFrame) -> DataFrame:
@@ -265,7 +364,8 @@ def removed(docs: DataFrame) -> DataFrame:
     rows = cut_lineage(anchored(docs))
     nodes = rows.groupBy("node").agg(
         F.first("places").alias("places"), F.first("hashes").alias("hashes"),
-        F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
+        F.first("covered").alias("covered"), F.min("doc_id").alias("doc_id"),
+        F.count("*").alias("copies"))
     each = nodes.select("node", F.explode(F.arrays_zip("places", "hashes")).alias("x")).select(
         "node", F.col("x.places").alias("place"), F.col("x.hashes").alias("hash"))
     twice = each.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
@@ -275,7 +375,8 @@ def removed(docs: DataFrame) -> DataFrame:
     wanted = cut_lineage(wanted.join(stands, "node"))
     texts = one_text_each(wanted, docs).join(wanted.select("node", "places", "hashes"), "node")
     # texts with copies go whole, and only serve to find repeats in others
-    spans = repeated_spans(surroundings(texts)).join(
+    covered = nodes.select("node", F.inline("covered"))
+    spans = repeated_spans(surroundings(texts)).union(covered).join(
         stands.where("copies = 1").select("node", "doc_id"), "node")
     spans = cut_lineage(spans.groupBy("node", "doc_id").agg(
         F.collect_set(F.struct("start", "stop")).alias("spans")))

@@ -152,6 +152,33 @@ def test_repeated_strings(spark, odd):
     assert suffix_dedup.removed(odd.limit(0)).count() == 0
 
 
+def test_repeated_strings_of_hot_hashes(spark, odd, monkeypatch):
+    """With the anchors of every hash grouped, not brought to one task: a shared passage in other
+    surroundings, near copies, texts that begin and end within the passage."""
+    monkeypatch.setattr(suffix_dedup, "HOT_ROWS", 1)
+    rng = np.random.default_rng(5)
+    letters = lambda n: "".join(rng.choice(list("abcdefgh "), n))
+    passage = letters(700)
+    texts = [letters(int(rng.integers(0, 400))) + passage + letters(300) for _ in range(30)]
+    texts += [passage[i:i + 250] for i in range(0, 400, 50)] + [passage[:i] + "#" + passage[i + 1:]
+                                                                 for i in range(0, 700, 30)]
+    made = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    short = odd.where("doc_id is null or doc_id != 9")
+    for docs in (made, documents(spark).limit(80), short):
+        want = removed_by_force([r["text"] for r in docs.collect()])
+        assert sorted(tuple(r)[1:] for r in suffix_dedup.removed(docs).collect()) == want
+
+
+def test_periodic_texts_have_few_anchors(spark):
+    for unit in ("x", "ab", "0123456789" * 7):
+        at, _, covered = suffix_dedup.anchors(("begin " + unit * (300_000 // len(unit))).encode())
+        assert len(at) < 2000 and len(covered) == 1
+    texts = ["x" * 3000 + "tail" * 90, "head " * 3 + "x" * 2500, "ab" * 900 + "x" * 190, "x" * 199]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = removed_by_force(texts)
+    assert sorted(tuple(r)[1:] for r in suffix_dedup.removed(docs).collect()) == want
+
+
 def test_tiling_finds_reordered_passages():
     item = [f"i{i}" for i in range(30)]
     text = "before " + " ".join(item[15:]) + " between them " + " ".join(item[:15]) + " after"
