@@ -172,10 +172,12 @@ def effect_by_segment(
     weight: str | None = "weights",
     clustered: bool = True,
     with_auc: bool = False,
-    keep_skipped: bool = False,
+    keep_skipped: bool = True,
 ) -> DataFrame:
     """Effects per treatment and segment value, and overall. Rows are first reduced to
-    (treatment, segment values, stratum); only those totals are repeated per segment column."""
+    (treatment, segment values, stratum); only those totals are repeated per segment column.
+    Groups of fewer than 5 rows or without overlap are kept with a reason, or skipped if not
+    `keep_skipped`."""
     w = quoted(weight) if weight else "1D"
     squares = not clustered
     cells = _moments(df, ["treatment_id", *segments, cluster], kpis, treat, w, squares)
@@ -203,7 +205,7 @@ def cem_effects(
     covariates: Sequence[str],
     rules: Mapping,
     segments: Sequence[str],
-    keep_skipped: bool = False,
+    keep_skipped: bool = True,
 ) -> DataFrame:
     """`effect_by_segment` of `cem_match`, without making the matched rows.
 
@@ -233,7 +235,7 @@ def residual_effect(
     dw: str,
     weight: str,
     cluster: str,
-    keep_skipped: bool = False,
+    keep_skipped: bool = True,
 ) -> DataFrame:
     """The same effect from given row residuals (for instance of cross-fitted forests),
     centred per group. Five sums per cluster and their products per group are enough: the
@@ -289,9 +291,9 @@ def arbitrate(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str = "inner
                                   "auc_weighted")
 
 
-def as_effect_table(effects: DataFrame) -> DataFrame:
-    """The published columns, with numeric bounds beside the interval text."""
+def as_effect_table(effects: DataFrame, *more: str) -> DataFrame:
+    """The published columns, with numeric bounds beside the interval text, and `more`."""
     return confidence_interval(effects).select(
         "KPI", "treatment_id", "Segment_Name", "Segment", "Average_treatment_effect",
-        "Standard_Error", "ci_low", "ci_high", "CI", "Significance")
+        "Standard_Error", "ci_low", "ci_high", "CI", "Significance", *more)
 

@@ -82,7 +82,7 @@ def cem_flagship(spark, sf):
     """Exact matching on order value fifths, market and region; effects overall and by market."""
     rows = cut_lineage(base_frame(spark, sf))
     found = effects.cem_effects(rows, ["post_kpi"], "w", ["pre_kpi", "MARKET", "REGION"],
-                                {"pre_kpi": "q5"}, ["MARKET"])
+                                {"pre_kpi": "q5"}, ["MARKET"], keep_skipped=False)
     return rounded(effects.as_effect_table(found), 3)
 
 
@@ -371,7 +371,8 @@ def effect_by_treatment(spark, sf):
 
 
 def effect_by_segment(spark, sf):
-    found = effects.cem_effects(_rows(spark, sf), KPIS, GROUP, COVARIATES, HALVES, CFG.segments)
+    found = effects.cem_effects(_rows(spark, sf), KPIS, GROUP, COVARIATES, HALVES, CFG.segments,
+                                keep_skipped=False)  # as in its SQL
     return rounded(found, 3)
 
 
@@ -381,7 +382,7 @@ def effect_ci(spark, sf):
 
 def _effect_table(spark, sf):
     return effects.as_effect_table(effects.cem_effects(
-        _rows(spark, sf), KPIS, GROUP, COVARIATES, HALVES, CFG.segments))
+        _rows(spark, sf), KPIS, GROUP, COVARIATES, HALVES, CFG.segments, keep_skipped=False))
 
 
 def effect_arbitrate(spark, sf):

@@ -42,6 +42,7 @@ class Shaped:
     hot: HotKeys
 
 ROW = "__row"  # tells rows of one person apart
+EFFECT_KEYS = ["KPI", "treatment_id", "Segment_Name", "Segment"]
 
 
 def ingest(
@@ -132,7 +133,7 @@ def matched_effects(
     design, candidates = best_design(rows, covariates)
     found = effects.cem_effects(
         rows, cfg.kpi_names, GROUP, covariates, design.rules, cfg.segments)
-    return effects.as_effect_table(found), candidates
+    return effects.as_effect_table(found, "reason"), candidates
 
 
 def arbitrated_effects(
@@ -142,14 +143,38 @@ def arbitrated_effects(
     """Per treatment and segment: the fit on matched rows, or the propensity-weighted fit on
     all rows, whichever tells treated from control better. With `how` "full" a group that has
     only one fit stays."""
+    a, b = both_fits(cfg, rows, scores, design, covariates)
+    known = F.col("reason").isNull()
+    return effects.arbitrate(a.where(known), b.where(known), EFFECT_KEYS, how)
+
+
+def both_fits(
+    cfg: StudyConfig, rows: DataFrame, scores: DataFrame, design: Mapping, covariates: list[str],
+) -> tuple[DataFrame, DataFrame]:
+    """The fit on matched rows and the propensity-weighted fit on all rows, each with the groups
+    that have no effect, and why."""
     matched = matching.cem_match(rows, GROUP, covariates, design)
     a = effects.effect_by_segment(
-        matched, cfg.kpi_names, GROUP, "subclass", cfg.segments, with_auc=True)
+        matched, cfg.kpi_names, GROUP, "subclass", cfg.segments, with_auc=True, keep_skipped=True)
     placed = matching.with_stratum(
         features.attach_weights(rows, scores), covariates, design)
     b = effects.effect_by_segment(
-        placed, cfg.kpi_names, GROUP, "subclass", cfg.segments, clustered=False, with_auc=True)
-    return effects.arbitrate(a, b, ["KPI", "treatment_id", "Segment_Name", "Segment"], how)
+        placed, cfg.kpi_names, GROUP, "subclass", cfg.segments, clustered=False, with_auc=True,
+        keep_skipped=True)
+    return a, b
+
+
+def skipped_groups(a: DataFrame, b: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The groups of both fits that have no effect in `chosen`, with the rows and the reason of
+    each fit; a group without matched rows has only those of the weighted fit."""
+    facts = lambda df, name: df.select(
+        *EFFECT_KEYS, F.col("n_rows").alias(f"n_rows_{name}"),
+        F.col("reason").alias(f"reason_{name}"))
+    both = facts(a, "matched").join(facts(b, "weighted"), EFFECT_KEYS, "full")
+    left = both.join(chosen.select(*EFFECT_KEYS), EFFECT_KEYS, "left_anti")
+    return left.withColumn(
+        "reason_matched", F.coalesce("reason_matched", F.lit("no matched rows"))).withColumn(
+        "reason", F.coalesce("reason_weighted", "reason_matched"))
 
 
 def forest_effects(
@@ -221,8 +246,11 @@ def run(
     # one score per person and treatment, who may have several rows
     scores = treated.predictions.groupBy("emp_id", "treatment_id").agg(
         F.avg("probability").alias("probability"))
-    chosen = cut_lineage(arbitrated_effects(cfg, rows, scores, design.rules, covariates, "full"))
+    a, b = map(cut_lineage, both_fits(cfg, rows, scores, design.rules, covariates))
+    known = F.col("reason").isNull()
+    chosen = cut_lineage(effects.arbitrate(a.where(known), b.where(known), EFFECT_KEYS, "full"))
     save("arbitration", chosen)
+    save("skipped_effects", skipped_groups(a, b, chosen))
     found = effects.as_effect_table(chosen)
     save("effects", found)
     names = shape.treatment_names(s.treatment).withColumnRenamed(

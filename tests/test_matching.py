@@ -166,6 +166,20 @@ def test_small_and_one_armed_groups_are_reported(spark):
     assert effects.overlap_effect(df, ["y"], "w", "s", ["g"], weight=None).isEmpty()
 
 
+def test_segments_without_effect_stay_by_default(spark):
+    rows = [("T", "a", 1, 1.0), ("T", "a", 0, 2.0)] + [("T", "b", i % 2, float(i)) for i in range(9)]
+    df = spark.createDataFrame(rows, "treatment_id string, g string, w int, y double").withColumn(
+        "subclass", F.lit(1)).withColumns({"dy": F.col("y"), "dw": F.col("w") - 0.5,
+                                           "weights": F.lit(1.0)})
+    want = {"a": "fewer than 5 rows", "b": None, effects.OVERALL: None}
+    got = effects.effect_by_segment(df, ["y"], "w", "subclass", ["g"])
+    assert {r["Segment"]: r["reason"] for r in got.collect()} == want
+    got = effects.cem_effects(df, ["y"], "w", ["g"], {}, ["g"])
+    assert {r["Segment"]: r["reason"] for r in got.collect()} == want
+    got = effects.residual_effect(df, ["g"], "dy", "dw", "weights", "subclass")
+    assert {r["g"]: r["reason"] for r in got.collect()} == {"a": want["a"], "b": None}
+
+
 def test_forest_residuals_cover_each_row_once_and_recover_the_effect(matched):
     r = models.cross_fit_residuals(matched, ["y"], "w", ["x", "z", "c"], numTrees=10)
     assert r.count() == matched.count() == r.select("id").distinct().count()

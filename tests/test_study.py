@@ -168,6 +168,29 @@ def test_whole_study(spark, tmp_path):
     assert {"best_treatment", "no_impact", "significant"} <= kinds
 
 
+def test_study_publishes_skipped_groups(spark, tmp_path):
+    """A segment value of three people has no effect, but rows and a reason."""
+    population, treatment, segment = (cut_lineage(f(spark, SF)) for f in (
+        source.raw_population, source.raw_treatments, source.raw_segments))
+    few = [r[0] for r in treatment.join(population.select("EMP_ID"), "EMP_ID").join(
+        segment.select("EMP_ID"), "EMP_ID").select("EMP_ID").distinct().orderBy(
+        "EMP_ID").limit(3).collect()]
+    segment = segment.withColumn(
+        "MARKET", F.when(F.col("EMP_ID").isin(few), "FEW").otherwise(F.col("MARKET")))
+    paths = study.run(source.CONFIG, population, treatment, segment, str(tmp_path))
+    keys = ["KPI", "treatment_id", "Segment_Name", "Segment"]
+    skipped = spark.read.parquet(paths["skipped_effects"])
+    chosen = spark.read.parquet(paths["arbitration"])
+    own = skipped.where("Segment = 'FEW'")
+    assert own.count() > 0 and own.where("reason IS NULL").isEmpty()
+    assert skipped.where("reason IS NULL").isEmpty()
+    assert skipped.join(chosen, keys).isEmpty()
+    rows = spark.read.parquet(paths["regression_output_720days"])
+    groups = rows.select("treatment_id", "MARKET").where("MARKET IS NOT NULL").distinct().count()
+    markets = chosen.select(*keys).union(skipped.select(*keys)).where("Segment_Name = 'MARKET'")
+    assert markets.count() == groups * len(source.CONFIG.kpis)
+
+
 def test_group_with_one_fit_stays_if_asked(spark):
     schema = ("g string, Average_treatment_effect double, Standard_Error double, auc double, "
               "n_rows long")
