@@ -475,29 +475,39 @@ def _features(spark, sf):
 
 
 def _inputs(rows):
-    return [c for c in models.kpi_features(rows.columns, KPIS) if c != "NATION"]
+    return models.kpi_features(rows.columns, KPIS)
 
 
 def propensity_scores(spark, sf):
     rows = _features(spark, sf)
-    return models.propensity(rows, [*KPIS, *_inputs(rows)], algo="gbt", maxIter=10).predictions
+    return models.propensity(rows, [*KPIS, *_inputs(rows)]).predictions
+
+
+def _kpi_fits(spark, sf):
+    """(days, KPI, fit) of every KPI at every horizon; without outcome rows the fit is empty."""
+    tables, s = _shaped(spark, sf)
+    for days in CFG.post_days:
+        rows = cut_lineage(study.outcome_rows(CFG, tables, s, days))
+        for kpi in KPIS:
+            yield days, kpi, models.kpi_model(rows, kpi, _inputs(rows))
 
 
 def kpi_predictions(spark, sf):
-    rows = _rows(spark, sf)
-    return models.kpi_model(rows, "Order Value", _inputs(rows), maxIter=10).predictions
+    return reduce(DataFrame.unionByName, [
+        fit.predictions.withColumns({"days": F.lit(days), "KPI": F.lit(kpi)}).withColumnRenamed(
+            f"{kpi} predictions", "predictions")
+        for days, kpi, fit in _kpi_fits(spark, sf)])
 
 
 def feature_importance(spark, sf):
-    rows = _rows(spark, sf)
-    return models.kpi_model(rows, "Order Value", _inputs(rows), maxIter=10).importance
+    return reduce(DataFrame.unionByName, [
+        fit.importance.withColumns({"days": F.lit(days), "KPI": F.lit(kpi)})
+        for days, kpi, fit in _kpi_fits(spark, sf)])
 
 
 def tuned_propensity(spark, sf):
     rows = _features(spark, sf)
-    table, _ = models.tune(rows, GROUP, [*KPIS, "ACCTBAL", "LIFETIME"], "f1", draws=1, folds=2,
-                           at_most={"maxDepth": 4, "maxIter": 10, "numTrees": 10})
-    return table
+    return models.tune(rows, GROUP, [*KPIS, "ACCTBAL", "LIFETIME"], "f1")[0]
 
 
 # --- reports ----------------------------------------------------------------------------

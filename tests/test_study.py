@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import inspect
 
 import pytest
 from pyspark.sql import functions as F
 
 from liftlens.operators import clean, effects, features, models, periods, quality, shape, stats
 from liftlens.operators.scale import cut_lineage
-from liftlens.plans import study
+from liftlens.plans import queries, study
 from liftlens.sources import customer_study as source
 from liftlens.sources import tables as io
 
@@ -191,6 +192,30 @@ def test_study_publishes_skipped_groups(spark, tmp_path):
     assert markets.count() == groups * len(source.CONFIG.kpis)
 
 
+def test_kpi_queries_cover_all_kpis_and_horizons(spark, monkeypatch):
+    real = models.kpi_model
+    monkeypatch.setattr(models, "kpi_model", lambda *args: real(*args, maxIter=1))
+    tables, s = queries._shaped(spark, SF)
+    want = {(days, kpi) for days in source.CONFIG.post_days for kpi in source.CONFIG.kpis
+            if not study.outcome_rows(source.CONFIG, tables, s, days).isEmpty()}
+    for query in (queries.kpi_predictions, queries.feature_importance):
+        rows = query(spark, SF).select("days", "KPI").distinct().collect()
+        assert {(r["days"], r["KPI"]) for r in rows} == want and len(want) > 1
+
+
+def test_tuned_propensity_searches_in_full(spark, monkeypatch):
+    asked = {}
+    real = models.tune
+
+    def tune(*args, **more):
+        asked.update(inspect.signature(real).bind(*args, **more).arguments)
+        return None, None
+
+    monkeypatch.setattr(models, "tune", tune)
+    queries.tuned_propensity(spark, SF)
+    assert not {"draws", "folds", "at_most"} & set(asked)
+
+
 def test_group_with_one_fit_stays_if_asked(spark):
     schema = ("g string, Average_treatment_effect double, Standard_Error double, auc double, "
               "n_rows long")
