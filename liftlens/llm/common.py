@@ -6,7 +6,9 @@ import re
 import zlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,3 +47,18 @@ def by_batch(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch
                     yield out
 
     return df.mapInArrow(run, schema)
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: int, size: int = 1 << 22
+           ) -> Iterator[pa.RecordBatch]:
+    """The batches cut into runs of rows whose texts in `column` have about `size` bytes; a
+    longer text is a run of its own."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()
+        ends = np.cumsum(lengths.astype(np.int64))
+        begin = 0
+        while begin < batch.num_rows:
+            reached = ends[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(ends, reached + size, "right")))
+            yield batch.slice(begin, end - begin)
+            begin = end
