@@ -39,8 +39,8 @@ SCALE = 4096
 MOST = 1 << 26
 PARTS, ENTRIES, ROUNDS = 8, 16, 6
 BLOCK = 4096  # vectors of a block
-LEAF = 16  # members of a leaf
-PAIRS = 1 << 18  # point and entry pairs that are compared together
+LEAF = 32  # members of a leaf
+PAIRS = 1 << 16  # pairs of a member and an entry that are compared together, at most
 
 
 @dataclass
@@ -155,7 +155,8 @@ def assign(tree: Tree, codebooks: Entries, sums: np.ndarray | None = None,
             keep &= ~alone
         part, node, entry = part[keep], node[keep], entry[keep]
         if level == tree.depth and entry_level == last:
-            uncertain(tree, codebooks, at, part, node, entry, codes, sums, counts)
+            if len(part):
+                uncertain(tree, codebooks, at, part, node, entry, codes, sums, counts)
             break
         if entry_level < last:
             part, node, entry = (np.repeat(x, 2) for x in (part, node, entry))
@@ -180,27 +181,32 @@ def run_places(lengths: np.ndarray) -> np.ndarray:
 
 def uncertain(tree: Tree, codebooks: Entries, at, part, node, entry, codes, sums, counts) -> None:
     """Compare the members of leaves with the entries left, in integers."""
-    lengths = at[node + 1] - at[node]
-    begin = 0
-    while begin < len(part):
-        end = max(begin + 1, begin + int(np.searchsorted(np.cumsum(lengths[begin:]), PAIRS, "right")))
-        while end < len(part) and (part[end], node[end]) == (part[end - 1], node[end - 1]):
-            end += 1  # a leaf's entries stay together
-        size = lengths[begin:end]
-        p = np.repeat(part[begin:end], size)
-        member = np.repeat(at[node[begin:end]], size) + run_places(size)
-        e = np.repeat(codebooks.index[part[begin:end], entry[begin:end]], size)
-        step = tree.points[p, member] - codebooks.values[p, e]
-        distance = (step * step).sum(axis=1)
-        turn = np.lexsort((e, distance, member, p))
-        p, member, e = p[turn], member[turn], e[turn]
-        first = np.r_[True, (p[1:] != p[:-1]) | (member[1:] != member[:-1])]
-        p, member, e = p[first], member[first], e[first]
-        codes[p, member] = e
+    entry = codebooks.index[part, entry]
+    group = np.flatnonzero(np.r_[True, (part[1:] != part[:-1]) | (node[1:] != node[:-1])])
+    # leaves differ by one member at most; a shorter one repeats its last
+    most = int((at[1:] - at[:-1]).max())
+    step = max(1, PAIRS // (most * codebooks.values.shape[1]))  # leaves that are compared together
+    for first in range(0, len(group), step):
+        lead = group[first:first + step]
+        end = group[first + step] if first + step < len(group) else len(part)
+        p, j = part[lead], node[lead]
+        members = np.minimum(at[j][:, None] + np.arange(most), at[j + 1][:, None] - 1)
+        inner = lead - lead[0]
+        size = np.diff(np.r_[lead, end])
+        e = entry[lead[0]:end]
+        gap = np.repeat(tree.points[p[:, None], members], size, axis=0)
+        gap -= codebooks.values[np.repeat(p, size), e][:, None]
+        gap *= gap
+        distance = gap.sum(axis=2)
+        least = np.repeat(np.minimum.reduceat(distance, inner, axis=0), size, axis=0)
+        best = np.minimum.reduceat(
+            np.where(distance == least, e[:, None], codebooks.values.shape[1]), inner, axis=0)
+        real = np.arange(most) < (at[j + 1] - at[j])[:, None]
+        p, members, best = np.repeat(p, real.sum(axis=1)), members[real], best[real]
+        codes[p, members] = best
         if sums is not None:
-            np.add.at(sums, (p, e), tree.points[p, member])
-            np.add.at(counts, (p, e), 1)
-        begin = end
+            np.add.at(sums, (p, best), tree.points[p, members])
+            np.add.at(counts, (p, best), 1)
 
 
 def integers(vectors: np.ndarray, parts: int) -> np.ndarray:
