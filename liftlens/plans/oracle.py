@@ -547,6 +547,47 @@ def _r2() -> str:
                  select=" UNION ALL ".join(parts))
 
 
+def _causal_tree() -> str:
+    """Even employees choose the split of the root, odd ones give the effects of its sides."""
+    cuts = {"ACCTBAL": (0, 2500, 5000, 7500), "LIFETIME": (4, 8, 12, 16),
+            "Order Count_pre": (2, 4, 6, 8)}
+    w = '"Control/Test_group"'
+    long = " UNION ALL ".join(
+        f"""SELECT '{k}' AS "KPI", emp_id::BIGINT % 2 AS half, "ACCTBAL", "LIFETIME", "Order Count_pre",
+            {w} - avg({w}) OVER (PARTITION BY treatment_id) AS d,
+            "{k}" - avg("{k}") OVER (PARTITION BY treatment_id) AS y FROM rows_""" for k in KPI)
+    places = ", ".join(f"({i}, '{f}', {c}.0::DOUBLE)" for i, (f, cs) in enumerate(cuts.items()) for c in cs)
+    value = "CASE c.feature " + " ".join(f"WHEN '{f}' THEN r.\"{f}\"" for f in cuts) + " END"
+    moments = "count(*) AS n, sum(d) AS d, sum(y) AS y, sum(d * y) AS dy, sum(d * d) AS dd"
+    spread = lambda t, m: f"({t}dd - 2 * {m}d / {m}n * {t}d + ({m}d / {m}n) * ({m}d / {m}n) * {t}n)"
+    cross = lambda t, m: (f"({t}dy - {m}d / {m}n * {t}y - {m}y / {m}n * {t}d "
+                          f"+ {t}n * ({m}d / {m}n) * ({m}y / {m}n))")
+    rho = lambda t: f"({cross(t, 'a.')} - {cross('a.', 'a.')} / {spread('a.', 'a.')} * {spread(t, 'a.')})"
+    return f"""res AS (SELECT * FROM ({long}) WHERE y IS NOT NULL),
+places(f, feature, cut) AS (VALUES {places}),
+sides AS (
+  SELECT r."KPI", half, f, c.feature, cut, ({value} IS NULL OR {value} < cut) AS is_left, {moments}
+  FROM res r, places c GROUP BY ALL),
+whole AS (SELECT "KPI", half, {moments} FROM res GROUP BY "KPI", half),
+gains AS (
+  SELECT l."KPI", l.f, l.feature, l.cut, {rho('l.')} * {rho('l.')} / l.n + {rho('r.')} * {rho('r.')} / r.n AS gain
+  FROM sides l JOIN sides r USING ("KPI", half, f, cut) JOIN whole a USING ("KPI", half)
+  WHERE half = 0 AND l.is_left AND NOT r.is_left AND least(l.n, r.n) >= 5
+    AND least({spread('l.', 'l.')}, {spread('r.', 'r.')}) >= 0.05 * {spread('a.', 'a.')}),
+chosen AS (
+  SELECT *, row_number() OVER (PARTITION BY "KPI" ORDER BY gain DESC, f, cut) AS k FROM gains QUALIFY k = 1),
+nodes AS (
+  SELECT 1 AS node, w."KPI", c.feature, c.cut, w.* EXCLUDE ("KPI", half)
+  FROM whole w LEFT JOIN chosen c USING ("KPI") WHERE half = 1
+  UNION ALL
+  SELECT CASE WHEN is_left THEN 2 ELSE 3 END, "KPI", NULL, NULL, s.n, s.d, s.y, s.dy, s.dd
+  FROM sides s JOIN chosen USING ("KPI", f, cut) WHERE half = 1),
+effects AS (SELECT *, {cross('', '')} / {spread('', '')} AS tau FROM nodes),"""
+
+
+_CAUSAL_OUT = f"""SELECT node::INTEGER AS node, "KPI", feature, cut, n, {rnd('tau', 4)} AS effect FROM effects"""
+
+
 _ROWS = (STUDY, SHAPED, ROWS)
 _POPULATION = """emp_id, treatment_id, start_date, end_date, "Order Value", "Order Count",
   "% Open Orders\""""
@@ -671,6 +712,7 @@ SELECT candidate_no, strata, usable_strata, treated, controls FROM totals"""),
     "select_match": query(*_ROWS, CANDIDATES, select=f"""
 SELECT {_CAND_OUT} FROM candidates
 QUALIFY row_number() OVER (ORDER BY "NumMatched" DESC, candidate_no) = 1"""),
+    "causal_tree": query(*_ROWS, _causal_tree(), select=_CAUSAL_OUT),
     "effect_overall": query(*_ROWS, halves(), MATCHED, long_kpis("matched"), fit("kl", ["KPI"]),
                             select=f'SELECT "KPI", {_FIT_OUT} FROM fit'),
     "effect_by_treatment": _effect_by_treatment(),

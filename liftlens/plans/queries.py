@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from liftlens.functions.columns import day_diff, period_status, q, quoted, snap_days
 from liftlens.operators import clean, effects, features, matching, models, periods, quality
 from liftlens.operators import report, shape, stats
-from liftlens.operators.scale import cut_lineage, shared_dir
+from liftlens.operators.scale import cut_lineage, lookup_join, shared_dir
 from liftlens.plans import study
 from liftlens.sources import customer_study as source
 from liftlens.sources import tables as io
@@ -393,8 +393,26 @@ def effect_arbitrate(spark, sf):
 
 
 def effect_forest(spark, sf):
+    """Effects per treatment from honest forests, over all covariates of the frame."""
     rows = _rows(spark, sf)
-    return study.forest_effects(CFG, rows, HALVES, COVARIATES)
+    return study.forest_effects(CFG, rows, HALVES, study.matching_covariates(CFG, rows))
+
+
+TREE_CUTS = {"ACCTBAL": (0.0, 2500.0, 5000.0, 7500.0), "LIFETIME": (4.0, 8.0, 12.0, 16.0),
+             "Order Count_pre": (2.0, 4.0, 6.0, 8.0)}
+
+
+def causal_tree(spark, sf):
+    """One honest causal tree of depth 1 per KPI, on residuals about the treatment's means."""
+    rows = _rows(spark, sf)
+    names = [GROUP, *KPIS]
+    means = rows.groupBy("treatment_id").agg(*[F.avg(q(c)).alias(f"__m{i}") for i, c in enumerate(names)])
+    rows = lookup_join(rows, means, ["treatment_id"]).select(
+        "emp_id", *TREE_CUTS, *[(q(c) - F.col(f"__m{i}")).alias(f"__r{i}") for i, c in enumerate(names)])
+    rows = cut_lineage(rows)
+    return rounded(reduce(DataFrame.unionByName, [
+        models.causal_tree(rows, "__r0", f"__r{i + 1}", TREE_CUTS, "emp_id").withColumn("KPI", F.lit(k))
+        for i, k in enumerate(KPIS)]), 4)
 
 
 # --- models -----------------------------------------------------------------------------
@@ -507,7 +525,7 @@ def feature_importance(spark, sf):
 
 def tuned_propensity(spark, sf):
     rows = _features(spark, sf)
-    return models.tune(rows, GROUP, [*KPIS, "ACCTBAL", "LIFETIME"], "f1")[0]
+    return models.tune(rows, GROUP, [*KPIS, *_inputs(rows)], "f1")[0]
 
 
 # --- reports ----------------------------------------------------------------------------
@@ -590,7 +608,7 @@ QUERIES = {
         coarsen_quantile, coarsen_width, log_cutpoints, match_candidates, candidate_balance,
         select_match,
         effect_overall, effect_by_treatment, effect_by_segment, effect_ci, effect_arbitrate,
-        effect_forest,
+        effect_forest, causal_tree,
         vif, vif_prune, holdout_split, holdout_stratified, confusion_pct, f1_accuracy, r2_by_kpi,
         auc_rank_sum, outcome_fit_corr, propensity_scores, kpi_predictions, feature_importance,
         tuned_propensity,

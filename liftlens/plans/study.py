@@ -181,16 +181,19 @@ def forest_effects(
     cfg: StudyConfig, rows: DataFrame, design: Mapping, covariates: list[str],
     kpis: list[str] | None = None, **forest,
 ) -> DataFrame:
-    """Effects per treatment with cross-fitted forests as the nuisance part."""
+    """Effects per treatment with out-of-bag forests as the nuisance part, and the mean and the
+    spread of the effects that the causal forest expects for the group's rows."""
     kpis = kpis or cfg.kpi_names
     matched = cut_lineage(matching.cem_match(rows, GROUP, covariates, design))
-    residuals = models.cross_fit_residuals(matched, kpis, GROUP, covariates, **forest)
-    long = residuals.select(
+    found = cut_lineage(models.forest_residuals(matched, kpis, GROUP, covariates, **forest))
+    long = found.select(
         "treatment_id", "subclass", "weights", "dw",
-        F.inline(F.array(*[F.struct(F.lit(k).alias("KPI"), q(f"dy {k}").alias("dy"))
-                           for k in kpis])))
-    return effects.residual_effect(
-        long, ["treatment_id", "KPI"], "dy", "dw", "weights", "subclass")
+        F.inline(F.array(*[F.struct(F.lit(k).alias("KPI"), q(f"dy {k}").alias("dy"),
+                                    q(f"effect {k}").alias("effect")) for k in kpis])))
+    by = ["treatment_id", "KPI"]
+    expected = long.groupBy(*by).agg(F.avg("effect").alias("mean_expected_effect"),
+                                     F.stddev_pop("effect").alias("spread_of_expected_effects"))
+    return effects.residual_effect(long, by, "dy", "dw", "weights", "subclass").join(expected, by, "left")
 
 
 def run(
