@@ -296,7 +296,8 @@ def candidate_balance(
 
     Differences are (treated mean - weighted control mean) / s.d. of all treated; of equal ones
     (to nine decimals) the first covariate is named. Categories match exactly, so their
-    differences are 0 by construction and are not computed.
+    differences are 0 by construction and are not computed. Missing values have strata of their
+    own; they count as matched rows, but not in that covariate's means.
     """
     search = list(search or designs(df, covariates))
     numeric, _ = split_covariates(df, covariates)
@@ -315,11 +316,14 @@ def candidate_balance(
         F.coalesce(F.sum(F.when(both, F.col("__c"))), F.lit(0)).alias("C"),
         F.sum(F.when(both, F.col("__t") * F.col("__t") / F.col("__c"))).alias("tt_c"),
         *[F.sum(F.when(both, F.col(f"__x1_{i}"))).alias(f"m1_{i}") for i in range(len(numeric))],
+        # the treated with a value, and as much weight of controls
+        *[F.sum(F.when(both & F.col(f"__x1_{i}").isNotNull(), F.col("__t"))).alias(f"k_{i}")
+          for i in range(len(numeric))],
         *[F.sum(F.when(both, F.col("__t") / F.col("__c") * F.col(f"__x0_{i}"))).alias(f"m0_{i}")
           for i in range(len(numeric))],
     )
     smd = [
-        F.try_divide((F.col(f"m1_{i}") - F.col(f"m0_{i}")) / F.nullif(F.col("T"), F.lit(0)),
+        F.try_divide((F.col(f"m1_{i}") - F.col(f"m0_{i}")) / F.nullif(F.col(f"k_{i}"), F.lit(0)),
                      F.lit(spread[f"s{i}"]).cast("double"))
         for i in range(len(numeric))
     ]

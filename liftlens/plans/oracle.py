@@ -151,7 +151,7 @@ def _candidates() -> str:
 info(candidate_no, strategy, name) AS (VALUES {infos}),
 rules(candidate_no, covariate, rule) AS (VALUES {rules}),
 long_ AS ({long}),
-ranges AS (SELECT covariate, min(x) AS lo, max(x) AS hi, count(*) AS n, bool_or(x = 0) AS zero
+ranges AS (SELECT covariate, min(x) AS lo, max(x) AS hi, count(x) AS n, bool_or(x = 0) AS zero
   FROM long_ GROUP BY covariate),
 grid AS (SELECT covariate, lo, hi, CASE WHEN zero THEN 1 - lo ELSE 0 END AS sh FROM ranges
   WHERE zero OR lo > 0),
@@ -163,10 +163,10 @@ cuts AS (SELECT DISTINCT * FROM ({quantiles}
             generate_series(1, 20) g(j) WHERE j < k
   UNION ALL {logs})),
 used AS (SELECT DISTINCT covariate, rule FROM rules),
-bins AS (SELECT l.rid, u.covariate, u.rule, count(c.cut) AS bin
+bins AS (SELECT l.rid, u.covariate, u.rule, CASE WHEN l.x IS NULL THEN -1 ELSE count(c.cut) END AS bin
   FROM long_ l JOIN used u USING (covariate)
   LEFT JOIN cuts c ON c.covariate = u.covariate AND c.rule = u.rule AND l.x >= c.cut
-  GROUP BY ALL),
+  GROUP BY l.rid, u.covariate, u.rule, l.x),
 placed AS (SELECT r.candidate_no, b.rid, string_agg(b.bin, ',' ORDER BY b.covariate) AS sig
   FROM rules r JOIN bins b USING (covariate, rule) GROUP BY ALL),
 units AS (SELECT DISTINCT rid, w, cat FROM long_),
@@ -186,8 +186,8 @@ weighted AS (SELECT p.candidate_no, l.covariate, l.x, l.w,
   JOIN strata s ON s.candidate_no = p.candidate_no AND s.sig = p.sig AND s.cat = l.cat
   WHERE s.t > 0 AND s.c > 0),
 smds AS (SELECT candidate_no, covariate,
-    (sum(x * wt) FILTER (w = 1) / sum(wt) FILTER (w = 1)
-     - sum(x * wt) FILTER (w = 0) / sum(wt) FILTER (w = 0)) / any_value(sd) AS smd
+    (sum(x * wt) FILTER (w = 1) / sum(wt) FILTER (w = 1 AND x IS NOT NULL)
+     - sum(x * wt) FILTER (w = 0) / sum(wt) FILTER (w = 0 AND x IS NOT NULL)) / any_value(sd) AS smd
   FROM weighted JOIN spread USING (covariate) GROUP BY candidate_no, covariate),
 worst AS (SELECT candidate_no, smd, covariate AS name FROM smds JOIN places USING (covariate)
   QUALIFY row_number() OVER (PARTITION BY candidate_no ORDER BY round(abs(smd), 9) DESC, place) = 1),
@@ -261,11 +261,14 @@ def fit(source: str, by: list[str], name: str = "fit", clustered: bool = True) -
 {name}_t AS (SELECT {g}, sum(a) / sum(b) AS tau, sum(b) AS bb FROM {name}_r GROUP BY ALL),
 {name}_u AS ({clusters}),
 {name}_n AS (SELECT {g}, count(*) AS n FROM {source} GROUP BY ALL),
-{name} AS (SELECT {g}, any_value(n) AS n_rows, count(*) AS n_clusters, any_value(tau) AS tau,
+{name}_e AS (SELECT {g}, count(*) AS n_clusters, any_value(tau) AS tau,
     CASE WHEN count(*) > 1 THEN sqrt(sum((u.a - tau * u.b) * (u.a - tau * u.b)) * count(*)
          / (count(*) - 1)) / any_value(bb) END AS se
-  FROM {name}_u u JOIN {name}_t USING ({g}) JOIN {name}_n USING ({g})
-  GROUP BY {g} HAVING any_value(n) >= 5),
+  FROM {name}_u u JOIN {name}_t USING ({g}) GROUP BY {g}),
+{name}_all AS (SELECT {g}, n AS n_rows, coalesce(n_clusters, 0) AS n_clusters, tau, se,
+    CASE WHEN n < 5 THEN 'fewer than 5 rows' WHEN tau IS NULL THEN 'no overlap' END AS reason
+  FROM {name}_n LEFT JOIN {name}_e USING ({g})),
+{name} AS (SELECT * FROM {name}_all WHERE reason IS NULL),
 """.strip()
 
 
@@ -496,29 +499,38 @@ def _arbitrate() -> str:
 {name}_s AS (SELECT {by}, subclass, w, avg(w) OVER (PARTITION BY {by}, subclass) AS sc
   FROM {source} WHERE "KPI" = 'Order Value'),
 {name} AS (SELECT {by}, (sum(rk) FILTER (w = 1) - sum(w) * (sum(w) + 1) / 2.0::DOUBLE)
-    / (sum(w) * (count(*) - sum(w))) AS auc
+    / nullif(sum(w) * (count(*) - sum(w)), 0) AS auc
   FROM (SELECT *, rank() OVER (PARTITION BY {by} ORDER BY sc)
         + (count(*) OVER (PARTITION BY {by}, sc) - 1) / 2.0::DOUBLE AS rk FROM {name}_s)
   GROUP BY {by}),"""
 
     weighted = ("wsub AS (SELECT *, (\"LIFETIME\" + 1) / (\"LIFETIME\" + \"Order Count_pre\" + 10) "
                 "AS wt FROM sub),")
-    pick = "x.auc > y.auc"
-    choose = lambda a, b: f"(CASE WHEN {pick} THEN {a} ELSE {b} END)"
-    keys = ", ".join(f'a."{c}"' for c in g)
+    take = ("CASE WHEN b.reason IS NULL AND NOT coalesce(a.n_rows > 0 AND a.reason IS NULL AND x.auc > y.auc, "
+            "false) THEN 'weighted' WHEN a.n_rows > 0 AND a.reason IS NULL THEN 'matched' END")
+    choose = lambda a, b: f"(CASE fit WHEN 'matched' THEN {a} WHEN 'weighted' THEN {b} END)"
+    keys = ", ".join(ident(c) for c in g)
+    known = "coalesce(a.n_rows > 0 AND a.reason IS NULL, false)"
     return query(
         STUDY, SHAPED, ROWS, halves(), MATCHED, weighted,
         long_kpis("matched", "kl"), spread_segments("kl", SEGMENTS, "sl"), fit("sl", g, "fa"),
         long_kpis("wsub", "wk"), spread_segments("wk", SEGMENTS, "ws"),
-        fit("ws", g, "fb", clustered=False), auc("sl", "auca"), auc("ws", "aucb"),
+        fit("ws", g, "fb", clustered=False), auc("sl", "auca"), auc("ws", "aucb"), f"""
+both_ AS (SELECT {keys}, {take} AS fit, a.tau AS ta, b.tau AS tb, a.se AS sa, b.se AS sb,
+    a.n_rows AS na, b.n_rows AS nb, CASE WHEN {known} THEN x.auc END AS xa,
+    CASE WHEN b.reason IS NULL THEN y.auc END AS ya,
+    coalesce(b.reason, a.reason, 'no matched rows') AS why
+  FROM fb_all b LEFT JOIN fa_all a USING ({keys})
+  LEFT JOIN auca x USING ("treatment_id", "Segment_Name", "Segment")
+  LEFT JOIN aucb y USING ("treatment_id", "Segment_Name", "Segment")
+  WHERE "Segment" IS NOT NULL),""",
         select=f"""
-SELECT {keys}, {rnd(choose('a.tau', 'b.tau'), 3)} AS "Average_treatment_effect",
-  {rnd(choose('a.se', 'b.se'), 3)} AS "Standard_Error", {rnd(choose('x.auc', 'y.auc'), 3)} AS auc,
-  {choose('a.n_rows', 'b.n_rows')} AS n_rows, {choose("'matched'", "'weighted'")} AS fit,
-  {rnd('x.auc', 3)} AS auc_matched, {rnd('y.auc', 3)} AS auc_weighted
-FROM fa a JOIN fb b USING ({", ".join(ident(c) for c in g)})
-JOIN auca x USING ("treatment_id", "Segment_Name", "Segment")
-JOIN aucb y USING ("treatment_id", "Segment_Name", "Segment")""")
+SELECT {keys}, {rnd(choose('ta', 'tb'), 3)} AS "Average_treatment_effect",
+  {rnd(choose('sa', 'sb'), 3)} AS "Standard_Error", {rnd(choose('xa', 'ya'), 3)} AS auc,
+  {choose('na', 'nb')} AS n_rows, fit,
+  {rnd('CASE WHEN fit IS NOT NULL THEN xa END', 3)} AS auc_matched,
+  {rnd('CASE WHEN fit IS NOT NULL THEN ya END', 3)} AS auc_weighted,
+  CASE WHEN fit IS NULL THEN why END AS reason FROM both_""")
 
 
 def _effect_by_treatment() -> str:
@@ -533,7 +545,7 @@ matched AS (SELECT sub.*, CASE WHEN w = 1 THEN 1.0 ELSE t / c::DOUBLE * scale EN
         STUDY, SHAPED, ROWS, halves(), st, long_kpis("matched"), fit("kl", ["treatment_id", "KPI"]),
         select=f"""SELECT treatment_id, "KPI", n_rows, n_clusters,
   {rnd('tau', 3)} AS "Average_treatment_effect", {rnd('se', 3)} AS "Standard_Error",
-  NULL::VARCHAR AS reason, 'Overall' AS "Segment_Name", 'Overall' AS "Segment" FROM fit""")
+  reason, 'Overall' AS "Segment_Name", 'Overall' AS "Segment" FROM fit_all""")
 
 
 def _r2() -> str:
@@ -588,12 +600,53 @@ effects AS (SELECT *, {cross('', '')} / {spread('', '')} AS tau FROM nodes),"""
 _CAUSAL_OUT = f"""SELECT node::INTEGER AS node, "KPI", feature, cut, n, {rnd('tau', 4)} AS effect FROM effects"""
 
 
+_EMP_HASH = "(emp_id::BIGINT % 2147483648) * 2654435761 % 4294967296"
+
+
+def _propensity_cells() -> str:
+    """Newton's steps on two coefficients per treatment."""
+    steps = ["""curve0(treatment_id, a, b) AS (
+  SELECT DISTINCT treatment_id, 0::DOUBLE, 0::DOUBLE FROM train)"""]
+    for i in range(16):
+        steps.append(f"""
+curve{i + 1} AS MATERIALIZED (
+  SELECT treatment_id, a + coalesce((hxx * g - hx * gx) / nullif(det, 0), 0) AS a,
+         b + coalesce((h * gx - hx * g) / nullif(det, 0), 0) AS b FROM (
+    SELECT *, h * hxx - hx * hx AS det FROM (
+      SELECT treatment_id, any_value(a) AS a, any_value(b) AS b, sum(p * (1 - p)) AS h,
+             sum(p * (1 - p) * x) AS hx, sum(p * (1 - p) * x * x) AS hxx, sum(y - p) AS g,
+             sum((y - p) * x) AS gx
+      FROM (SELECT t.*, a, b, 1 / (1 + exp(-(a + b * x))) AS p FROM train t JOIN curve{i} USING (treatment_id))
+      GROUP BY treatment_id)))""")
+    return query(STUDY, SHAPED, f"""
+split AS (SELECT emp_id, treatment_id, "LIFETIME" AS x, "Control/Test_group"::DOUBLE AS y,
+  ({_EMP_HASH} < 0.33::DOUBLE * 4294967296)::INT AS is_test FROM feats),
+train AS (SELECT * FROM split WHERE is_test = 0), {",".join(steps)},
+scored AS (SELECT *, 1 / (1 + exp(-(a + b * x))) AS p FROM split JOIN curve16 USING (treatment_id)),
+f1 AS (SELECT 2 * count(*) FILTER (p > 0.5 AND y = 1) / nullif(2 * count(*) FILTER (p > 0.5 AND y = 1)
+  + count(*) FILTER ((p > 0.5) <> (y = 1)), 0)::DOUBLE AS f1 FROM scored WHERE is_test = 1),""", select=f"""
+SELECT emp_id, treatment_id, is_test, {rnd('p', 6)} AS probability, (p > 0.5)::INT AS predictions,
+  {rnd('f1', 6)} AS f1 FROM scored, f1""")
+
+
+_KPI_LONG = " UNION ALL ".join(
+    f"SELECT emp_id, treatment_id, is_test, x, \"Control/Test_group\" AS w, '{k}' AS \"KPI\", "
+    f"\"{k}\"::DOUBLE AS y FROM split" for k in KPI)
+_KPI_LINES = f"""
+split AS (SELECT *, ({_EMP_HASH} < 0.33::DOUBLE * 4294967296)::INT AS is_test, "LIFETIME" AS x FROM rows_),
+kl AS ({_KPI_LONG}),
+line AS (SELECT "KPI", treatment_id, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM kl
+  WHERE w = 1 AND is_test = 0 GROUP BY ALL),
+scored AS (SELECT kl.*, a, b, a + b * x AS p FROM kl JOIN line USING ("KPI", treatment_id)),
+"""
+
+
 _ROWS = (STUDY, SHAPED, ROWS)
 _POPULATION = """emp_id, treatment_id, start_date, end_date, "Order Value", "Order Count",
   "% Open Orders\""""
 _SEG_OUT = '"treatment_id", "Segment_Name", "Segment", "KPI"'
 _FIT_OUT = f"""n_rows, n_clusters, {rnd('tau', 3)} AS "Average_treatment_effect",
-  {rnd('se', 3)} AS "Standard_Error", NULL::VARCHAR AS reason"""
+  {rnd('se', 3)} AS "Standard_Error", reason"""
 _HASH = "(c_custkey % 2147483648) * 2654435761 % 4294967296"
 _OHASH = "(o_orderkey % 2147483648) * 2654435761 % 4294967296"
 
@@ -601,7 +654,7 @@ ORACLE: dict[str, str] = {
     "cem_flagship": query(
         BASE, MATCHED, spread_segments("matched", ["MARKET"]),
         fit("sl", ["treatment_id", "Segment_Name", "Segment", "KPI"]),
-        select=f'SELECT "KPI", treatment_id, "Segment_Name", "Segment", {effect_columns()} FROM fit'),
+        select=f'SELECT "KPI", treatment_id, "Segment_Name", "Segment", {effect_columns()}, reason FROM fit_all'),
     "cem_weights": query(BASE, MATCHED, select=(
         f'SELECT "EMP_ID", w, subclass, {rnd("wt", 9)} AS weights FROM matched')),
     "balance_smd": query(BASE, MATCHED, """
@@ -709,15 +762,29 @@ SELECT (SELECT count(*) FROM generate_series(1, 3) g(j) WHERE o_totalprice >= a
     "match_candidates": query(*_ROWS, CANDIDATES, select="""
 SELECT candidate_no, strata, usable_strata, treated, controls FROM totals"""),
     "candidate_balance": query(*_ROWS, CANDIDATES, select=f"SELECT {_CAND_OUT} FROM candidates"),
+    "balance_nulls": query(STUDY, SHAPED, outcome("known_rows", 720), """
+rows_ AS (SELECT * REPLACE (CASE WHEN "ACCTBAL" >= 0 THEN "ACCTBAL" END AS "ACCTBAL") FROM known_rows),""",
+                           CANDIDATES, select=f"SELECT {_CAND_OUT} FROM candidates"),
     "select_match": query(*_ROWS, CANDIDATES, select=f"""
 SELECT {_CAND_OUT} FROM candidates
 QUALIFY row_number() OVER (ORDER BY "NumMatched" DESC, candidate_no) = 1"""),
     "causal_tree": query(*_ROWS, _causal_tree(), select=_CAUSAL_OUT),
+    "propensity_cells": _propensity_cells(),
+    "kpi_cells": query(*_ROWS, _KPI_LINES, """
+fits AS (SELECT "KPI", 1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)) AS r2 FROM scored
+  WHERE w = 1 AND is_test = 1 AND y IS NOT NULL GROUP BY "KPI"),""", select=f"""
+SELECT emp_id, treatment_id, is_test, "KPI", {rnd('p', 4)} AS predictions, {rnd('r2', 4)} AS r2
+FROM scored JOIN fits USING ("KPI")"""),
+    "importance_cells": query(*_ROWS, _KPI_LINES, """
+spread AS (SELECT "KPI", stddev_pop(a) AS sa, stddev_pop(b * x) AS sb FROM scored
+  WHERE w = 1 AND is_test = 0 AND y IS NOT NULL GROUP BY "KPI"),""", select=f"""
+SELECT "KPI", 'treatment_id' AS feature, {rnd('sa / (sa + sb)', 6)} AS importance FROM spread
+UNION ALL SELECT "KPI", 'LIFETIME', {rnd('sb / (sa + sb)', 6)} FROM spread"""),
     "effect_overall": query(*_ROWS, halves(), MATCHED, long_kpis("matched"), fit("kl", ["KPI"]),
                             select=f'SELECT "KPI", {_FIT_OUT} FROM fit'),
     "effect_by_treatment": _effect_by_treatment(),
-    "effect_by_segment": query(SEGMENT_FIT, select=f"SELECT {_SEG_OUT}, {_FIT_OUT} FROM fit"),
-    "effect_ci": query(SEGMENT_FIT, select=f"SELECT {_SEG_OUT}, {effect_columns()} FROM fit"),
+    "effect_by_segment": query(SEGMENT_FIT, select=f"SELECT {_SEG_OUT}, {_FIT_OUT} FROM fit_all"),
+    "effect_ci": query(SEGMENT_FIT, select=f"SELECT {_SEG_OUT}, {effect_columns()}, reason FROM fit_all"),
     "effect_arbitrate": _arbitrate(),
     "vif": query(select="""
 WITH g AS (SELECT sum(l_quantity * l_quantity) AS a, sum(l_extendedprice * l_extendedprice) AS b,

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from liftlens.functions.columns import day_diff, period_status, q, quoted, snap_days
-from liftlens.operators import clean, effects, features, matching, models, periods, quality
-from liftlens.operators import report, shape, stats
+from liftlens.operators import clean, effects, features, linear, matching, models, periods
+from liftlens.operators import quality, report, shape, stats
 from liftlens.operators.scale import cut_lineage, lookup_join, shared_dir
 from liftlens.plans import study
 from liftlens.sources import customer_study as source
@@ -82,8 +82,8 @@ def cem_flagship(spark, sf):
     """Exact matching on order value fifths, market and region; effects overall and by market."""
     rows = cut_lineage(base_frame(spark, sf))
     found = effects.cem_effects(rows, ["post_kpi"], "w", ["pre_kpi", "MARKET", "REGION"],
-                                {"pre_kpi": "q5"}, ["MARKET"], keep_skipped=False)
-    return rounded(effects.as_effect_table(found), 3)
+                                {"pre_kpi": "q5"}, ["MARKET"])
+    return rounded(effects.as_effect_table(found, "reason"), 3)
 
 
 def cem_weights(spark, sf):
@@ -348,6 +348,12 @@ def candidate_balance(spark, sf):
     return rounded(matching.candidate_balance(_rows(spark, sf), GROUP, COVARIATES), 6)
 
 
+def balance_nulls(spark, sf):
+    """The balance of all designs where negative account balances count as unknown."""
+    rows = _rows(spark, sf).withColumn("ACCTBAL", F.when(F.col("ACCTBAL") >= 0, F.col("ACCTBAL")))
+    return rounded(matching.candidate_balance(cut_lineage(rows), GROUP, COVARIATES), 6)
+
+
 def select_match(spark, sf):
     rows = _rows(spark, sf)
     return rounded(matching.select_match(
@@ -371,9 +377,8 @@ def effect_by_treatment(spark, sf):
 
 
 def effect_by_segment(spark, sf):
-    found = effects.cem_effects(_rows(spark, sf), KPIS, GROUP, COVARIATES, HALVES, CFG.segments,
-                                keep_skipped=False)  # as in its SQL
-    return rounded(found, 3)
+    return rounded(effects.cem_effects(
+        _rows(spark, sf), KPIS, GROUP, COVARIATES, HALVES, CFG.segments), 3)
 
 
 def effect_ci(spark, sf):
@@ -381,15 +386,21 @@ def effect_ci(spark, sf):
 
 
 def _effect_table(spark, sf):
+    """All groups; those without an effect have a reason."""
     return effects.as_effect_table(effects.cem_effects(
-        _rows(spark, sf), KPIS, GROUP, COVARIATES, HALVES, CFG.segments, keep_skipped=False))
+        _rows(spark, sf), KPIS, GROUP, COVARIATES, HALVES, CFG.segments), "reason")
 
 
 def effect_arbitrate(spark, sf):
-    """Matched fit against the fit weighted by a fixed score, per treatment and segment."""
+    """Matched fit against the fit weighted by a fixed score, per treatment and segment; groups
+    that neither fits are kept with the reason."""
     rows = _rows(spark, sf)
     scores = rows.select("emp_id", "treatment_id", _score().alias("probability"))
-    return rounded(study.arbitrated_effects(CFG, rows, scores, HALVES, COVARIATES), 3)
+    a, b = map(cut_lineage, study.both_fits(CFG, rows, scores, HALVES, COVARIATES))
+    known = F.col("reason").isNull()
+    chosen = cut_lineage(effects.arbitrate(a.where(known), b.where(known), study.EFFECT_KEYS, "full"))
+    skipped = study.skipped_groups(a, b, chosen).select(*study.EFFECT_KEYS, "reason")
+    return rounded(chosen.unionByName(skipped, allowMissingColumns=True), 3)
 
 
 def effect_forest(spark, sf):
@@ -523,6 +534,41 @@ def feature_importance(spark, sf):
         for days, kpi, fit in _kpi_fits(spark, sf)])
 
 
+def _cell_rows(rows):
+    """With a whole-number key, whose split any engine can repeat."""
+    return rows.withColumn("emp_no", F.col("emp_id").cast("long"))
+
+
+def propensity_cells(spark, sf):
+    """The logistic propensity by earlier orders, with its own curve per treatment."""
+    rows = _cell_rows(_features(spark, sf))
+    terms = linear.design(rows, ["LIFETIME"], within="treatment_id")
+    scored, f1, _ = linear.cell_propensity(rows, terms, key="emp_no")
+    return rounded(scored.select("emp_id", "treatment_id", "is_test", "probability", "predictions",
+                                 F.lit(f1).cast("double").alias("f1")))
+
+
+def _cell_kpis(spark, sf):
+    rows = cut_lineage(_cell_rows(_rows(spark, sf)))
+    terms = linear.design(rows, ["LIFETIME"], within="treatment_id")
+    return [(kpi, *linear.cell_kpi(rows, kpi, terms, key="emp_no")) for kpi in KPIS]
+
+
+def kpi_cells(spark, sf):
+    """Expected KPIs by least squares on the treated, a line per treatment."""
+    return rounded(reduce(DataFrame.unionByName, [
+        scored.select("emp_id", "treatment_id", "is_test", F.lit(kpi).alias("KPI"), "predictions",
+                      F.lit(score).cast("double").alias("r2"))
+        for kpi, scored, score, _ in _cell_kpis(spark, sf)]), 4)
+
+
+def importance_cells(spark, sf):
+    """How much treatment and earlier orders move the expected KPI of the training rows."""
+    return rounded(reduce(DataFrame.unionByName, [
+        model.importance(scored.where((q(GROUP) == 1) & (F.col("is_test") == 0) & q(kpi).isNotNull()))
+        .withColumn("KPI", F.lit(kpi)) for kpi, scored, _, model in _cell_kpis(spark, sf)]))
+
+
 def tuned_propensity(spark, sf):
     rows = _features(spark, sf)
     return models.tune(rows, GROUP, [*KPIS, *_inputs(rows)], "f1")[0]
@@ -538,7 +584,7 @@ def _names(spark, sf):
 
 def _final(spark, sf):
     return cut_lineage(report.finalize_effects(
-        _effect_table(spark, sf), _names(spark, sf), CFG.project))
+        _effect_table(spark, sf).where("reason IS NULL"), _names(spark, sf), CFG.project))
 
 
 def final_effects(spark, sf):
@@ -606,12 +652,12 @@ QUERIES = {
         feature_frame, outcome_frame, drop_constant, drop_all_null, one_hot, union_distinct,
         null_pct, duplicate_pct, iqr_outliers, quality_profile, validation_report,
         coarsen_quantile, coarsen_width, log_cutpoints, match_candidates, candidate_balance,
-        select_match,
+        balance_nulls, select_match,
         effect_overall, effect_by_treatment, effect_by_segment, effect_ci, effect_arbitrate,
         effect_forest, causal_tree,
         vif, vif_prune, holdout_split, holdout_stratified, confusion_pct, f1_accuracy, r2_by_kpi,
         auc_rank_sum, outcome_fit_corr, propensity_scores, kpi_predictions, feature_importance,
-        tuned_propensity,
+        tuned_propensity, propensity_cells, kpi_cells, importance_cells,
         final_effects, rank_segments, top_insights, top_per_group, best_treatment_per_kpi,
         no_impact_counts, csv_roundtrip, parquet_roundtrip,
     )
