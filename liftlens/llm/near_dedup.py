@@ -40,6 +40,7 @@ SIMILARITY = (4, 5)  # at least 4/5
 BANDS, ROWS = 25, 4  # a pair of similarity 0.8 shares a bucket with probability 0.999998
 CHUNK = 256  # texts whose signatures are made together
 LOWEST = -3  # ranks below 2^LOWEST are one region
+WORDS_OF_BITS = 16  # longs of a set's bitmap
 
 
 @functools.cache
@@ -149,8 +150,24 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFra
         run, "doc_id long, node binary, keys array<long>")
 
 
+def bitmaps(sets: list[np.ndarray]) -> np.ndarray:
+    """For each set the bits that its elements' hashes name, as longs."""
+    out = np.zeros((len(sets), WORDS_OF_BITS * 64), np.uint8)
+    for i, s in enumerate(sets):
+        with np.errstate(over="ignore"):
+            out[i, mixed(s.view(np.uint64)) % np.uint64(out.shape[1])] = 1
+    return np.packbits(out, axis=1).view(np.int64)
+
+
+def most_shared(x: str, y: str):
+    """No fewer than two sets share: an element whose bit the other set lacks is not shared."""
+    lacks = lambda a, b: " + ".join(
+        f"bit_count({a}.bits[{i}] & ~{b}.bits[{i}])" for i in range(WORDS_OF_BITS))
+    return F.expr(f"least({x}.n - ({lacks(x, y)}), {y}.n - ({lacks(y, x)}))")
+
+
 def shingle_sets(docs: DataFrame) -> DataFrame:
-    """node and its distinct shingles."""
+    """node, its distinct shingles and their bitmap."""
     hashers: list = []
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -159,17 +176,20 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
         sets = [shingle_set(hashers[0], t, WORDS).view(np.int64)
                 for t in batch.column(1).to_pylist()]
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"])
+            [batch.column(0), pa.array(sets, pa.list_(pa.int64())),
+             pa.array(list(bitmaps(sets)), pa.list_(pa.int64()))], names=["node", "shingles", "bits"])
 
-    return by_batch(docs.select("node", "text"), run, "node binary, shingles array<long>")
+    return by_batch(docs.select("node", "text"), run,
+                    "node binary, shingles array<long>, bits array<long>")
 
 
 def compared(pairs: DataFrame, sets: DataFrame, *more) -> DataFrame:
     """The pairs (a, b) with the sizes of their shingle sets (na, nb), what they share (both)
-    and whether they are similar; `more` columns may be made of the sets sa and sb. A node in very
+    and whether they are similar; `more` columns may be made of the sets sa and sb and of bits, the
+    bitmap of b. A node in very
     many pairs is spread by the skew handling of the joins, which need nothing of a key together."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
+    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"), "bits")
     both = F.size(F.array_intersect("sa", "sb")).alias("both")
     out = pairs.join(left, "a").join(right, "b").select(
         "a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), both, *more)
@@ -182,13 +202,15 @@ def reaches(both, sizes):
 
 def one_text_each(wanted: DataFrame, docs: DataFrame) -> DataFrame:
     """node and text for the nodes in `wanted`, read from the document that stands for each. The
-    digest is compared, as doc_ids may repeat; without a doc_id the digest is the key."""
-    by_id = F.col("doc_id").cast("string")
-    texts = docs.select(F.coalesce(by_id, F.md5(F.col("text").cast("binary"))).alias("at"), "text")
-    keyed = wanted.select("node", F.coalesce(by_id, F.lower(F.hex("node"))).alias("at"))
-    found = texts.join(keyed, "at")
-    return found.where(F.unhex(F.md5(F.col("text").cast("binary"))) == F.col("node")).select(
-        "node", "text")
+    digest is compared, as doc_ids may repeat; without a doc_id the digest is the key. Of repeated
+    rows one is taken."""
+    by_id, digest = F.col("doc_id").cast("string"), F.md5(F.col("text").cast("binary"))
+    texts = docs.select(F.coalesce(by_id, digest).alias("at"), digest.alias("digest"), "text")
+    keyed = wanted.select("node", F.lower(F.hex("node")).alias("digest"),
+                          F.coalesce(by_id, F.lower(F.hex("node"))).alias("at"))
+    found = texts.join(keyed, ["at", "digest"])
+    return found.groupBy("at", "digest").agg(
+        F.first("node").alias("node"), F.first("text").alias("text")).select("node", "text")
 
 
 def links(signed: DataFrame, docs: DataFrame) -> DataFrame:
@@ -214,14 +236,15 @@ def links(signed: DataFrame, docs: DataFrame) -> DataFrame:
     members = members.select("key", "node").join(centres, "key")
     first = cut_lineage(compared(members.where("node != centre").select(
         F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), sets,
-        F.array_except("sb", "sa").alias("outside")))
+        F.array_except("sb", "sa").alias("outside"), "bits"))
     found = first.where("similar").select("a", "b")
     roots = components(found)
     # each centre and its members, with the size of a member's set and of its part inside
     own = F.coalesce("root", "node").alias("root")
     placed = first.select(F.col("a").alias("centre"), F.col("b").alias("node"),
-                          F.col("nb").alias("n"), F.col("both").alias("inside"), "outside")
-    placed = placed.join(roots, "node", "left").select("centre", "node", "n", "inside", "outside", own)
+                          F.col("nb").alias("n"), F.col("both").alias("inside"), "outside", "bits")
+    placed = placed.join(roots, "node", "left").select(
+        "centre", "node", "n", "inside", "outside", "bits", own)
     main = first.select(F.col("a").alias("node")).distinct().join(roots, "node", "left").select(
         F.col("node").alias("centre"), F.coalesce("root", "node").alias("main"))
     placed = placed.join(main, "centre").withColumn("in_main", F.col("root") == F.col("main"))
@@ -231,10 +254,11 @@ def links(signed: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def left_over(placed: DataFrame, sets: DataFrame) -> DataFrame:
-    """Similar pairs of different components around the same centre, neither of which is it.
+    """Similar pairs of different components around the same centre, neither of which is it. The
+    joins make only pairs that the bounds by sizes and by bitmaps leave.
 
-    `placed`: centre, node, n, inside, outside, root, in_main."""
-    facts = placed.select("centre", "node", "n", "inside", "root", "in_main")
+    `placed`: centre, node, n, inside, outside, bits, root, in_main."""
+    facts = placed.select("centre", "node", "n", "inside", "bits", "root", "in_main")
     within = F.expr("x.root != y.root and not x.in_main and (y.in_main or x.node < y.node)")
     sizes = F.expr("x.n + y.n")
     inside = F.least("x.inside", "y.inside")
@@ -253,12 +277,13 @@ def left_over(placed: DataFrame, sets: DataFrame) -> DataFrame:
     shingles = cut_lineage(shingles.where("place <= floor(n / 5) + 1").drop("k", "place"))
     x, y = shingles.alias("x"), shingles.alias("y")
     by_shingle = x.join(y, F.expr("x.centre = y.centre and x.shingle = y.shingle") & within
-                        & reaches(inside + outside, sizes))
+                        & reaches(F.least(inside + outside, most_shared("x", "y")), sizes))
     # a node whose part inside suffices for no size around the centre has no partner there
     enough = facts.join(facts.groupBy("centre").agg(F.min("n").alias("least_n")), "centre")
     enough = cut_lineage(enough.where(reaches(F.col("inside"), F.col("n") + F.col("least_n"))))
     x, y = enough.alias("x"), enough.alias("y")
-    by_inside = x.join(y, F.expr("x.centre = y.centre") & within & reaches(inside, sizes))
+    by_inside = x.join(y, F.expr("x.centre = y.centre") & within
+                       & reaches(F.least(inside, most_shared("x", "y")), sizes))
     ends = [F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")]
     pairs = by_shingle.select(*ends).union(by_inside.select(*ends)).distinct()
     return cut_lineage(compared(pairs, sets).where("similar").select("a", "b"))
