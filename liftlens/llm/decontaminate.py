@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from liftlens.llm.common import by_batch
+from liftlens.llm.common import by_batch, slices
 from liftlens.llm.shingles import grams, word_hasher
 
 MIN_TILE = 5
@@ -189,7 +189,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVER
 
         def run(batches, shared=shared):
             index = Benchmark(shared.value, min_tile)
-            for batch in batches:
+            for batch in slices(batches, at):
                 keep = [not index.find(t, coverage) for t in batch.column(at).to_pylist()]
                 yield batch.filter(pa.array(keep, pa.bool_()))
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from liftlens.llm.common import by_batch
+from liftlens.llm.common import by_batch, slices
 
 KINDS = ("assign", "access", "hex", "token", "key")
 BASE = KINDS[:3]
@@ -229,6 +229,6 @@ def mask(docs: DataFrame) -> DataFrame:
         columns[at] = pa.array([masked(t) for t in batch.column(at).to_pylist()], pa.string())
         return pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
-    out = docs.mapInArrow(lambda batches: map(run, batches), schema)
+    out = docs.mapInArrow(lambda batches: map(run, slices(batches, at)), schema)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) \
         if "n_chars" in names else out

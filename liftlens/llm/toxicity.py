@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from liftlens.llm.common import by_batch, fold
+from liftlens.llm.common import by_batch, fold, slices
 from liftlens.operators.scale import cut_lineage
 
 FOLDS, HELD_OUT = 4, 2
@@ -36,7 +36,7 @@ PER_CLASS = 4000
 ORDER = 6
 PASSAGE = 3  # words
 THRESHOLD = 0.3
-CACHE = 1 << 18
+CACHE = 1 << 20  # bytes of words whose evidence is remembered
 PARTS = 3  # of the sample; evidence for the fit comes from models of the other parts
 CHUNK = 1 << 22  # bytes of text that are looked up together
 PAD = b"\x00" * (ORDER - 2) + b"\x02"
@@ -83,7 +83,7 @@ class Scorer:
     """Evidence of texts under a model; words are remembered up to a bound."""
 
     def __init__(self, model: Model):
-        self.model, self.known = model, {}
+        self.model, self.known, self.size = model, {}, 0
 
     def learn(self, words: list[bytes]) -> None:
         packed, starts = forms(words)
@@ -92,15 +92,16 @@ class Scorer:
         ratio[rest] = looked_up(self.model.contexts, self.model.backoffs,
                                 packed[rest] >> np.uint64(8))[0]
         self.known.update(zip(words, np.add.reduceat(ratio, starts).tolist()))
+        self.size += sum(map(len, words))
 
     def features(self, texts: list[str | None]) -> np.ndarray:
         out = np.zeros((len(texts), 4))
         out[:, 0] = 1.0
         for rows, lists in chunks(texts):
             new = set().union(*lists).difference(self.known)
-            if len(self.known) > CACHE:
+            if self.size > CACHE:
                 self.known.clear()
-                new = set().union(*lists)
+                self.size, new = 0, set().union(*lists)
             if new:
                 self.learn(list(new))
             for row, own in zip(rows, lists):
@@ -248,7 +249,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
 
     def run(batches):
         scorers = [Scorer(m) for m in shared.value]
-        for batch in batches:
+        for batch in slices(batches, 0):
             texts, cells = batch.column(0).to_pylist(), np.array(batch.column(1))
             x = np.zeros((len(texts), 4))
             for p, scorer in enumerate(scorers):
@@ -258,6 +259,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
                 [pa.array(list(x), pa.list_(pa.float64())), pa.array(cells % 2)], names=["x", "y"])
 
     rows = sample.mapInArrow(run, "x array<double>, y int").toArrow()
+    shared.destroy()
     model = Model(*ratios(keys, counts.sum(axis=0)), [-2.0, 0.0, 2.0, 0.0])
     y = rows.column("y").to_numpy().astype(float)
     if 0 < y.sum() < len(y):
@@ -296,7 +298,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS
 
     def run(batches):
         scorer = Scorer(shared.value)
-        for batch in batches:
+        for batch in slices(batches, at):
             keep = scorer.scores(batch.column(at).to_pylist()) < THRESHOLD
             yield batch.filter(pa.array(keep))
 
