@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +17,7 @@ from liftlens.functions.columns import (
     snap_days,
     snap_limit,
 )
-from liftlens.operators.scale import HotKeys, grouped_quantile, skew_join
+from liftlens.operators.scale import HotKeys, cut_lineage, grouped_quantiles, skew_join
 
 KEYS = ["emp_id", "treatment_id"]
 AGGREGATES = {
@@ -66,7 +68,11 @@ def aggregate_kpis(
     df: DataFrame, keys: Sequence[str], kpis: Mapping[str, str], date: str | None = None
 ) -> DataFrame:
     """One row per key with each KPI under its own aggregate, and the first and last date.
-    A median is ranked in distributed form, as one group may be of any size."""
+    All medians are ranked together in distributed form, as one group may be of any size; the rows
+    are then written once and read by both passes."""
+    medians = [k for k, fn in kpis.items() if fn == "median"]
+    if medians:
+        df = cut_lineage(df.select(*[q(c) for c in dict.fromkeys([*keys, *kpis, *([date] if date else [])])]))
     plain = {k: fn for k, fn in kpis.items() if fn != "median"}
     unknown = sorted(set(plain.values()) - set(AGGREGATES))
     if unknown:
@@ -75,9 +81,11 @@ def aggregate_kpis(
     if date:
         columns += [F.min(q(date)).alias("start_date"), F.max(q(date)).alias("end_date")]
     out = df.groupBy(*[q(k) for k in keys]).agg(*(columns or [F.count("*").alias("__n")]))
-    for k, fn in kpis.items():
-        if fn == "median":
-            out = out.join(grouped_quantile(df, keys, k, 0.5, k), list(keys), "left")
+    if medians:
+        middle = grouped_quantiles(df, keys, {k: 0.5 for k in medians}).select(
+            *[q(k).alias(f"__t{i}") for i, k in enumerate(keys)], *[q(k) for k in medians])
+        same = reduce(and_, [q(k).eqNullSafe(F.col(f"__t{i}")) for i, k in enumerate(keys)])
+        out = out.join(middle, same, "left")
     order = [*keys, *kpis, *(["start_date", "end_date"] if date else [])]
     return out.select(*[q(c) for c in order])
 

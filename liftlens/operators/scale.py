@@ -10,6 +10,9 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
@@ -224,7 +227,8 @@ def exact_quantiles(
 
     Small columns need one `percentile` aggregate. Larger ones are found by bracketing:
     a bounded sketch gives an interval around each target rank, counts prove that it holds
-    the rank, and the interval shrinks until its distinct values are few enough to sort.
+    the rank, and the interval shrinks until its distinct values are few enough to sort. All
+    columns and ranks share the passes.
     """
     probs = {c: list(ps) for c, ps in probs.items() if len(ps)}
     if not probs:
@@ -241,93 +245,125 @@ def exact_quantiles(
         ).first()
         for i, c in enumerate(small):
             out[c] = list(row[f"p{i}"]) if row[f"p{i}"] is not None else [None] * len(probs[c])
-    for c in probs:
-        if c not in out:
-            out[c] = _bracketed(df.select(q(c).cast("double").alias("x")), sizes[f"n:{c}"],
-                                probs[c], limit)
+    large = [c for c in probs if c not in out]
+    if large:
+        out |= _bracketed(df, {c: sizes[f"n:{c}"] for c in large}, {c: probs[c] for c in large}, limit)
     return out
 
 
-def _bracketed(df: DataFrame, n: int, probs: Sequence[float], limit: int) -> list[float]:
-    """Quantiles of column `x` by brackets around each rank. Every round is two aggregates
-    for all open ranks together: a sketch that proposes brackets and counts that prove them.
-    The values left in the proven brackets are counted in one last, small job."""
-    x, accuracy = F.col("x"), 10_000
-    df = df.where(x.isNotNull())
-    positions = [p * (n - 1) for p in probs]
-    inside = [None] * len(probs)  # proven bracket of each rank: (lo, hi, rows below, rows in it)
-    todo = list(range(len(probs)))
+@dataclass
+class _Rank:
+    """A wanted rank of a column and the bracket that is proven to hold it."""
+
+    column: str
+    position: float
+    low: float = -math.inf
+    high: float = math.inf
+    below: int = 0  # rows under the bracket
+    inside: int = 0
+    pad: float = 0.004  # three times the sketch's error
+
+    def ranks(self) -> tuple[float, float]:
+        first, last = math.floor(self.position) - self.below, math.ceil(self.position) - self.below
+        return first / self.inside - self.pad, (last + 1) / self.inside + self.pad
+
+
+SKETCH = 4096  # items of a sketch's level; its ranks err by about 0.13 %
+
+
+def _bracketed(df: DataFrame, n: dict[str, int], probs: dict[str, Sequence[float]],
+               limit: int) -> dict[str, list[float]]:
+    """Quantiles of many columns by brackets around each rank. A round is two passes for all open
+    ranks of all columns: sketches that propose brackets and counts that prove them. The values
+    left in the proven brackets are counted in one last pass, so the number of passes does not
+    depend on the number of columns."""
+    value = {c: F.when(F.isnan(q(c).cast("double")), F.lit(math.inf)).otherwise(q(c).cast("double"))
+             for c in probs}
+    wanted = [_Rank(c, p * (n[c] - 1), inside=n[c]) for c, ps in probs.items() for p in ps]
+    todo = list(wanted)
     while todo:
-        sketches = []
-        for i in todo:
-            lo, hi, below, size = inside[i] or (None, None, 0, n)
-            pad = 3.0 / accuracy
-            ranks = [(math.floor(positions[i]) - below) / size - pad,
-                     (math.ceil(positions[i]) - below + 1) / size + pad]
-            value = x if lo is None else F.when(x.between(lo, hi), x)
-            sketches.append(F.percentile_approx(
-                value, F.array(*[F.lit(min(1.0, max(0.0, r))) for r in ranks]), accuracy
-            ).alias(f"b{i}"))
-        proposed = df.agg(*sketches).first()
+        spans = {(r.column, r.low, r.high): f"s{i}" for i, r in enumerate(todo)}  # one sketch each
+        within = lambda c, lo, hi: value[c].between(lo, hi)
+        sketches = df.agg(*[F.kll_sketch_agg_double(F.when(within(*k), value[k[0]]), SKETCH).alias(s)
+                            for k, s in spans.items()])
+        ends = []
+        for i, r in enumerate(todo):
+            sketch = F.col(spans[r.column, r.low, r.high])
+            for name, rank in zip("lh", r.ranks()):
+                ends.append((F.kll_sketch_get_quantile_double(sketch, F.lit(rank)) if 0 < rank < 1
+                             else F.lit(r.low if rank <= 0 else r.high)).alias(f"{name}{i}"))
+        proposed = sketches.select(*ends).first()
         counts = []
-        for i in todo:
-            lo, hi = proposed[f"b{i}"]
-            counts += [F.count_if(x < lo).alias(f"l{i}"),
-                       F.count_if(x.between(lo, hi)).alias(f"m{i}"),
-                       F.approx_count_distinct(F.when(x.between(lo, hi), x)).alias(f"d{i}")]
+        for i, r in enumerate(todo):
+            inner = within(r.column, proposed[f"l{i}"], proposed[f"h{i}"])
+            counts += [F.count_if(value[r.column] < proposed[f"l{i}"]).alias(f"b{i}"),
+                       F.count_if(inner).alias(f"m{i}"),
+                       F.approx_count_distinct(F.when(inner, value[r.column])).alias(f"d{i}")]
         seen = df.agg(*counts).first()
-        still, missed = [], False
-        for i in todo:
-            below, size = seen[f"l{i}"], seen[f"m{i}"]
-            if below <= math.floor(positions[i]) and math.ceil(positions[i]) < below + size:
-                inside[i] = (*proposed[f"b{i}"], below, size)
-                if seen[f"d{i}"] > limit:
-                    still.append(i)
+        still = []
+        for i, r in enumerate(todo):
+            below, inside = seen[f"b{i}"], seen[f"m{i}"]
+            if below <= math.floor(r.position) and math.ceil(r.position) < below + inside:
+                shrunk = inside < r.inside
+                r.low, r.high, r.below, r.inside = proposed[f"l{i}"], proposed[f"h{i}"], below, inside
+                if seen[f"d{i}"] > limit and shrunk:
+                    still.append(r)
             else:
-                still.append(i)
-                missed = True
-        if missed:
-            accuracy *= 4  # a sketch missed its rank; ask for more
+                r.pad *= 4  # the sketch missed the rank; ask for more
+                still.append(r)
         todo = still
-    wanted = F.lit(False)
-    for lo, hi, _, _ in inside:
-        wanted = wanted | x.between(lo, hi)
-    left = sorted((r["x"], r["count"]) for r in df.where(wanted).groupBy("x").count().collect())
-    result = []
-    for position, (lo, hi, reached, _) in zip(positions, inside):
-        low, high, values = math.floor(position), math.ceil(position), {}
-        for value, count in left:
-            if lo <= value <= hi:
-                values |= {k: value for k in (low, high) if reached <= k < reached + count}
+    columns = list(probs)
+    spot = {c: reduce(or_, [value[c].between(r.low, r.high) for r in wanted if r.column == c])
+            for c in columns}
+    long = df.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("c"), F.when(spot[c], value[c]).alias("x")) for i, c in enumerate(columns)])))
+    found: dict[str, list[tuple[float, int]]] = {c: [] for c in columns}
+    for r in long.where("x is not null").groupBy("c", "x").count().collect():
+        found[columns[r["c"]]].append((r["x"], r["count"]))
+    result: dict[str, list[float]] = {c: [] for c in columns}
+    for r in wanted:
+        low, high, values, reached = math.floor(r.position), math.ceil(r.position), {}, r.below
+        for x, count in sorted(found[r.column]):
+            if r.low <= x <= r.high:
+                values |= {k: x for k in (low, high) if reached <= k < reached + count}
                 reached += count
         a, b = values[low], values[high]
-        result.append(a if a == b else (high - position) * a + (position - low) * b)
+        result[r.column].append(a if a == b else (high - r.position) * a + (r.position - low) * b)
     return result
 
 
 def grouped_quantile(
     df: DataFrame, keys: Sequence[str], value: str, p: float, alias: str, **kw
 ) -> DataFrame:
-    """Exact quantile per group, for groups of any size: values are counted first, then
-    ranked by `running_sum`, and only the two neighbours of the target rank are kept."""
-    counts = cut_lineage(
-        df.where(q(value).isNotNull())
-        .groupBy(*keys, q(value).cast("double").alias("__x"))
-        .agg(F.count("*").alias("c"))
-    )
-    ranked = running_sum(counts, keys, "__x", ["c"], **kw)
-    totals = counts.groupBy(*keys).agg(F.sum("c").alias("__n"))
-    pos = F.lit(float(p)) * (F.col("__n") - 1)
-    r = ranked.join(totals, list(keys)).withColumn("__pos", pos)
-    holds = lambda rank: (F.col("before_c") <= rank) & (rank < F.col("before_c") + F.col("c"))
+    """Exact quantile per group, for groups of any size."""
+    renamed = df.select(*[q(k) for k in keys], q(value).alias(alias))
+    return grouped_quantiles(renamed, keys, {alias: p}, **kw).where(q(alias).isNotNull())
+
+
+def grouped_quantiles(
+    df: DataFrame, keys: Sequence[str], probs: dict[str, float], **kw
+) -> DataFrame:
+    """Exact quantiles of several columns per group, for groups of any size, from one pass: the
+    values of all columns are counted together, ranked by one `running_sum`, and only the two
+    neighbours of each target rank are kept. A group without a value gets null."""
+    columns, by = list(probs), [*keys, "__column"]
+    long = df.select(*[q(k) for k in keys], F.inline(F.array(*[
+        F.struct(F.lit(i).alias("__column"), q(c).cast("double").alias("__x"))
+        for i, c in enumerate(columns)])))
+    counts = cut_lineage(long.groupBy(*[q(k) for k in by], "__x").agg(F.count("__x").alias("c")))
+    ranked = running_sum(counts.where("__x is not null"), by, "__x", ["c"], **kw)
+    totals = counts.groupBy(*[q(k) for k in by]).agg(F.sum("c").alias("__n")).select(
+        *[q(k).alias(f"__t{i}") for i, k in enumerate(by)], "__n")
+    same = reduce(and_, [q(k).eqNullSafe(F.col(f"__t{i}")) for i, k in enumerate(by)])
+    p = reduce(lambda rest, i: F.when(F.col(f"__t{len(keys)}") == i, float(probs[columns[i]])).otherwise(rest),
+               range(len(columns)), F.lit(0.0))
+    r = totals.join(ranked, same, "left").withColumn("__pos", p * (F.col("__n") - 1))
+    holds = lambda rank: (F.col("before_c") <= rank) & (rank < F.col("before_c") + F.col("c"))
     lo, hi = F.floor("__pos"), F.ceil("__pos")
-    frac = F.first("__pos") - F.floor(F.first("__pos"))
-    a = F.max(F.when(holds(lo), F.col("__x")))
-    b = F.max(F.when(holds(hi), F.col("__x")))
-    return (
-        r.where(holds(lo) | holds(hi))
-        .groupBy(*keys)
-        .agg(a.alias("__a"), b.alias("__b"), frac.alias("__f"))
-        .select(*[q(k) for k in keys],
-                (F.col("__a") + (F.col("__b") - F.col("__a")) * F.col("__f")).alias(alias))
-    )
+    values = []
+    for i, c in enumerate(columns):
+        own = F.col(f"__t{len(keys)}") == i
+        a, b = (F.max(F.when(own & holds(rank), F.col("__x"))) for rank in (lo, hi))
+        part = F.max(F.when(own, F.col("__pos") - F.floor("__pos")))
+        values.append((a + (b - a) * part).alias(c))
+    return r.groupBy(*[F.col(f"__t{i}").alias(k) for i, k in enumerate(keys)]).agg(*values)

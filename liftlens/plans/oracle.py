@@ -695,6 +695,18 @@ FROM (SELECT 'lines' AS table_name, count(*) AS n FROM daily GROUP BY emp_id, tr
     "kpi_daily_agg": query(_daily(), select="""
 SELECT emp_id, treatment_id, median(units)::DOUBLE AS "Units", sum(cents)::BIGINT AS "Line Cents",
   min(date) AS start_date, max(date) AS end_date FROM daily GROUP BY emp_id, treatment_id"""),
+    "daily_medians": query(_daily(), select="""
+SELECT emp_id, treatment_id, median(units)::DOUBLE AS "Units", median(cents)::DOUBLE AS "Line Cents",
+  min(date) AS start_date, max(date) AS end_date FROM daily GROUP BY emp_id, treatment_id"""),
+    "quantile_brackets": f"""
+WITH long AS (
+  SELECT 'l_extendedprice' AS name, l_extendedprice::DOUBLE AS x FROM lineitem UNION ALL
+  SELECT 'l_partkey', l_partkey::DOUBLE FROM lineitem UNION ALL
+  SELECT 'volume', l_extendedprice * l_quantity FROM lineitem),
+found AS (SELECT name, p, quantile_cont(x, [0.01::DOUBLE, 0.25::DOUBLE, 0.5::DOUBLE, 0.99::DOUBLE])[i] AS v
+  FROM long, (VALUES (1, 0.01::DOUBLE), (2, 0.25::DOUBLE), (3, 0.5::DOUBLE), (4, 0.99::DOUBLE)) t(i, p)
+  GROUP BY name, p, i)
+SELECT name, p, {rnd('v', 4)} AS value FROM found""",
     "window_snap": query(_daily(), """
 d AS (SELECT floor(epoch(TIMESTAMP '1998-01-01 12:00:00' - date) / 86400)::INT AS d FROM daily),""",
         f"s AS (SELECT {_SNAP.format(d='d')} AS date_diff FROM d),", select="""
@@ -863,6 +875,7 @@ SELECT "KPI", count(*) FILTER (ate <= 0) AS no_impact,
   coalesce(string_agg(treatment_label, ', ' ORDER BY treatment_label)
     FILTER (sig = 'Significant'), '') AS significant_treatments
 FROM overall GROUP BY "KPI" """),
+    "batch_outputs": _effect_by_treatment(),
     "csv_roundtrip": query(STUDY, select="""
 SELECT k.emp_id, k.t0 AS start_date_of_treatment_taken, k.t1 AS end_date_of_treatment_taken,
   k.label AS treatment_label_taken, treatment_id, a AS treatment_allocated_date,

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from liftlens.functions.columns import day_diff, period_status, q, quoted, snap_days
 from liftlens.operators import clean, effects, features, linear, matching, models, periods
-from liftlens.operators import quality, report, shape, stats
+from liftlens.operators import quality, report, scale, shape, stats
 from liftlens.operators.scale import cut_lineage, lookup_join, shared_dir
 from liftlens.plans import study
 from liftlens.sources import customer_study as source
@@ -187,6 +187,13 @@ def kpi_daily_agg(spark, sf):
     return periods.aggregate_kpis(daily, ["emp_id", "treatment_id"], kpis, "date")
 
 
+def daily_medians(spark, sf):
+    """Two medians per group, counted and ranked together."""
+    kpis = {"Units": "median", "Line Cents": "median"}
+    daily = source.daily_population(spark, sf)
+    return periods.aggregate_kpis(daily, ["emp_id", "treatment_id"], kpis, "date")
+
+
 def window_snap(spark, sf):
     """Snapped offset and status of every order line to the start of 1998H1."""
     daily = source.daily_population(spark, sf)
@@ -326,6 +333,17 @@ def coarsen_width(spark, sf):
     return binned.groupBy("o_totalprice_bin", "o_custkey_bin").agg(F.count("*").alias("n"))
 
 
+def quantile_brackets(spark, sf):
+    """Quantiles of three columns by sketched and proven brackets."""
+    lines = source.table(spark, sf, "lineitem").select(
+        "l_extendedprice", "l_partkey", (F.col("l_extendedprice") * F.col("l_quantity")).alias("volume"))
+    probs = [0.01, 0.25, 0.5, 0.99]
+    found = scale.exact_quantiles(lines, {c: probs for c in lines.columns}, limit=100)
+    return rounded(spark.createDataFrame(
+        [(c, p, float(v)) for c, vs in found.items() for p, v in zip(probs, vs)],
+        "name string, p double, value double"), 4)
+
+
 def log_cutpoints(spark, sf):
     prices = source.table(spark, sf, "lineitem").select("l_extendedprice", "l_discount")
     prices = prices.withColumn("reduced", F.col("l_extendedprice") * F.ceil("l_discount"))
@@ -630,6 +648,22 @@ def csv_roundtrip(spark, sf):
     return typed.drop(io.CORRUPT)
 
 
+def batch_outputs(spark, sf):
+    """Effects published by batches of treatments; the rerun of one replaces it alone."""
+    path = f"{shared_dir(spark)}/batches-{uuid.uuid4().hex}"
+    matched = cut_lineage(matching.cem_match(
+        _rows(spark, sf), GROUP, COVARIATES, HALVES, match_within="treatment_id"))
+
+    def found(**more):
+        return effects.effect_by_treatment(matched, KPIS, GROUP, "subclass", keep_skipped=True, **more)
+
+    first, *rest = [t.treatment_id for t in CFG.treatments]
+    io.write_batch(found(clustered=False), path, "treatment_id", [first, *rest])
+    io.write_batch(found(), path, "treatment_id", rest)
+    io.write_batch(found(), path, "treatment_id", [first])
+    return rounded(io.read_batches(spark, path, found().schema, "treatment_id"), 3)
+
+
 def parquet_roundtrip(spark, sf):
     """A partitioned output and the outputs of two runs, read back as one table."""
     path = f"{shared_dir(spark)}/parquet-{uuid.uuid4().hex}"
@@ -647,11 +681,11 @@ QUERIES = {
     for f in (
         cem_flagship, cem_weights, balance_smd,
         treatment_universe, control_flag, kpi_rename_project, type_mismatch, drop_nulls_report,
-        treatment_filter, dedupe_first, winsorize, grain_detect, kpi_daily_agg, window_snap,
-        pre_post_split, daily_windows, sufficiency, label_encode, segment_encode, encode_ids,
+        treatment_filter, dedupe_first, winsorize, grain_detect, kpi_daily_agg, daily_medians,
+        window_snap, pre_post_split, daily_windows, sufficiency, label_encode, segment_encode, encode_ids,
         feature_frame, outcome_frame, drop_constant, drop_all_null, one_hot, union_distinct,
         null_pct, duplicate_pct, iqr_outliers, quality_profile, validation_report,
-        coarsen_quantile, coarsen_width, log_cutpoints, match_candidates, candidate_balance,
+        coarsen_quantile, coarsen_width, quantile_brackets, log_cutpoints, match_candidates, candidate_balance,
         balance_nulls, select_match,
         effect_overall, effect_by_treatment, effect_by_segment, effect_ci, effect_arbitrate,
         effect_forest, causal_tree,
@@ -659,6 +693,6 @@ QUERIES = {
         auc_rank_sum, outcome_fit_corr, propensity_scores, kpi_predictions, feature_importance,
         tuned_propensity, propensity_cells, kpi_cells, importance_cells,
         final_effects, rank_segments, top_insights, top_per_group, best_treatment_per_kpi,
-        no_impact_counts, csv_roundtrip, parquet_roundtrip,
+        no_impact_counts, csv_roundtrip, parquet_roundtrip, batch_outputs,
     )
 }

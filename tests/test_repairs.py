@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from liftlens.operators import matching, report, scale, stats
+from liftlens.operators import matching, periods, report, scale, stats
 from liftlens.sources import tables
 
 
@@ -62,3 +62,33 @@ def test_cluster_without_shared_folder_is_an_error(spark):
 
     with pytest.raises(ValueError):
         scale.shared_dir(Session())
+
+
+def test_batches_replace_their_own_values_and_hide_unfinished_runs(spark, tmp_path):
+    path, schema = str(tmp_path / "out"), "k string, v int"
+    frame = lambda *rows: spark.createDataFrame(list(rows), schema)
+    read = lambda: sorted(map(tuple, tables.read_batches(spark, path, frame().schema, "k").collect()))
+    assert read() == []
+    tables.write_batch(frame(("a", 1), ("b", 2), ("b", 3), ("c/d e", 4)), path, "k", ["a", "b", "c/d e"])
+    assert read() == [("a", 1), ("b", 2), ("b", 3), ("c/d e", 4)]
+    # rows of other values than the batch's are not written; the others stay
+    tables.write_batch(frame(("b", 9), ("a", 100)), path, "k", ["b"])
+    assert read() == [("a", 1), ("b", 9), ("c/d e", 4)]
+    # a run that broke before its lines were listed
+    frame(("a", -1)).write.partitionBy("k").parquet(f"{path}/run-broken")
+    assert read() == [("a", 1), ("b", 9), ("c/d e", 4)]
+    # a rerun without rows empties its value
+    tables.write_batch(frame(), path, "k", ["a"])
+    assert read() == [("b", 9), ("c/d e", 4)]
+    lines = {r["value"]: (r["number"], r["rows"]) for r in tables.finished(spark, path).collect()}
+    assert lines == {"a": (3, 0), "b": (2, 1), "c/d e": (1, 1)}
+
+
+def test_several_medians_of_groups_with_null_keys(spark):
+    rows = [(k, float(i * 7 % 13), None if k is None else float(i)) for i in range(60) for k in ("a", None)]
+    df = spark.createDataFrame(rows, "k string, x double, y double")
+    got = {r["k"]: (r["x"], r["y"], r["n"]) for r in periods.aggregate_kpis(
+        df.withColumn("n", F.lit(1)), ["k"], {"x": "median", "y": "median", "n": "sum"}).collect()}
+    want = df.groupBy("k").agg(F.median("x"), F.median("y"), F.count("*")).collect()
+    assert got == {r[0]: tuple(r[1:]) for r in want}
+    assert scale.grouped_quantile(df, ["k"], "y", 0.25, "m").collect() == [("a", 14.75)]

@@ -29,6 +29,29 @@ def test_quantiles_by_bracketing_are_exact(skewed):
     assert np.allclose(large, np.quantile(x, probs), rtol=1e-12)
 
 
+def test_passes_do_not_depend_on_the_number_of_columns(spark, skewed):
+    """As many jobs for eight columns with many values as for one."""
+    df = scale.cut_lineage(skewed.select(*[(F.col("x") * (i + 1) + F.rand(i)).alias(f"c{i}") for i in range(8)]))
+    probs = [0.01, 0.25, 0.5, 0.99]
+    jobs = []
+    for columns in (df.columns[:1], df.columns):
+        spark.sparkContext.setJobGroup(f"quantiles{len(columns)}", "count")
+        got = scale.exact_quantiles(df, {c: probs for c in columns}, limit=100)
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"quantiles{len(columns)}")))
+        spark.sparkContext._jsc.clearJobGroup()
+        want = df.toPandas()
+        assert all(np.allclose(got[c], np.quantile(want[c], probs), rtol=1e-12) for c in columns)
+    assert jobs[1] <= jobs[0] + 2 and jobs[0] > 3  # a round more at most
+
+
+def test_bracketing_of_ties_nulls_and_infinities(spark):
+    rows = [(float(i % 3) if i % 2 else float(i),) for i in range(4000)] + [(None,), (float("inf"),), (float("-inf"),)]
+    df = spark.createDataFrame(rows, "x double")
+    probs = [0.0, 0.3, 0.5, 0.6, 1.0]
+    small = scale.exact_quantiles(df, {"x": probs})["x"]
+    assert scale.exact_quantiles(df, {"x": probs}, limit=10)["x"] == small
+
+
 def test_grouped_quantile_of_a_hot_group(skewed):
     pdf = skewed.toPandas()
     for kw in ({}, {"limit": 100, "buckets": 8}):
