@@ -39,6 +39,11 @@ def _moments(df: DataFrame, keys, kpis, treat: str, weight: str, squares: bool)
     """Arm totals per key: rows, and per KPI the weights and weighted outcomes (with
     `squares` also those of squared weights). Rows without the KPI do not count for it.
     `weight` is SQL text."""
+    return df.groupBy(*[q(k) for k in keys]).agg(
+        *[F.expr(e) for e in _moment_sums(kpis, treat, weight, squares)])
+
+
+def _moment_sums(kpis, treat: str, weight: str, squares: bool) -> list[str]:
     t = quoted(treat)
     sums = [f"count_if({t} = {a}) AS __n{a}" for a in (1, 0)]
     for i, k in enumerate(kpis):
@@ -50,7 +55,7 @@ def _moments(df: DataFrame, keys, kpis, treat: str, weight: str, squares: bool)
                 ww = f"{weight} * {weight}"
                 sums += [f"{cell(ww)} AS __v{a}_{i}", f"{cell(f'{ww} * {y}')} AS __u{a}_{i}",
                          f"{cell(f'{ww} * {y} * {y}')} AS __z{a}_{i}"]
-    return df.groupBy(*[q(k) for k in keys]).agg(*[F.expr(e) for e in sums])
+    return sums
 
 
 def _merge(moments: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -217,15 +222,48 @@ def cem_effects(
     placed = with_stratum(df, covariates, rules)
     cells = cut_lineage(
         _moments(placed, ["treatment_id", *segments, "subclass"], kpis, treat, "1D", False))
+    return _segment_effects(
+        _matched_cells(cells, kpis), kpis, "subclass", segments, False, False, keep_skipped)
+
+
+def _matched_cells(cells: DataFrame, kpis: Sequence[str]) -> DataFrame:
+    """The arm totals of strata with both arms, those of controls by their matching weight."""
     both = cells.groupBy("subclass").agg(
         F.sum("__n1").alias("__t"), F.sum("__n0").alias("__c")
     ).where((F.col("__t") > 0) & (F.col("__c") > 0))
     ratio = both.agg(F.sum("__c") / F.sum("__t")).first()[0]
     scaled = {f"__{s}0_{i}" for s in "wy" for i in range(len(kpis))}
-    weighted = cells.join(both, "subclass").selectExpr(*[
+    return cells.join(both, "subclass").selectExpr(*[
         f"{c} * (__t / __c * {ratio or 0.0!r}D) AS {c}" if c in scaled else quoted(c)
         for c in cells.columns])
-    return _segment_effects(weighted, kpis, "subclass", segments, False, False, keep_skipped)
+
+
+def both_effects(
+    df: DataFrame,
+    kpis: Sequence[str],
+    treat: str,
+    covariates: Sequence[str],
+    rules: Mapping,
+    segments: Sequence[str],
+    weight: str,
+) -> tuple[DataFrame, DataFrame]:
+    """The fit on matched rows (clustered by stratum) and the fit of all rows by their `weight`
+    (by row), each with the AUC of its strata and with the groups that have no effect.
+
+    Both come from one table of arm totals per (treatment, segment values, stratum), which
+    carries the moments of both weight systems: rows are read once and joined with nothing."""
+    placed = with_stratum(df, covariates, rules)
+    keys = ["treatment_id", *segments, "subclass"]
+    own = _moment_sums(kpis, treat, "1D", False)
+    other = [e.replace(" AS __", " AS __v_") for e in _moment_sums(kpis, treat, quoted(weight), True)]
+    cells = cut_lineage(placed.groupBy(*[q(k) for k in keys]).agg(*[F.expr(e) for e in [*own, *other]]))
+    names = [c for c in cells.columns if c not in keys]
+    plain = cells.select(*[q(k) for k in keys], *[c for c in names if not c.startswith("__v_")])
+    weighed = cells.select(*[q(k) for k in keys],
+                           *[F.col(c).alias("__" + c[4:]) for c in names if c.startswith("__v_")])
+    return (
+        _segment_effects(_matched_cells(plain, kpis), kpis, "subclass", segments, False, True, True),
+        _segment_effects(weighed, kpis, "subclass", segments, True, True, True))
 
 
 def residual_effect(

@@ -272,16 +272,17 @@ def design_strata(
         + ", ".join(f"{w} AS __key{i}" for i, w in enumerate(p + ["0L"] * (width - len(p))))
         + ")"
         for n, p in packed.items())
-    t, sums = quoted(treat), []
-    for i, x in enumerate(numeric):
-        sums += [F.expr(f"sum(CASE WHEN {t} = {a} THEN CAST({quoted(x)} AS DOUBLE) END)")
-                 .alias(f"__x{a}_{i}") for a in (1, 0)]
-    return (
-        binned.select("*", F.expr(f"inline(array({structs}))"))
-        .groupBy("__design", *[q(c) for c in dict.fromkeys([*pool, *exact])],
-                 *[f"__key{w}" for w in range(width)])
+    t, kept = quoted(treat), [q(c) for c in dict.fromkeys([*pool, *exact])]
+    sums = [(f"__x{a}_{i}", f"sum(CASE WHEN {t} = {a} THEN CAST({quoted(x)} AS DOUBLE) END)")
+            for i, x in enumerate(numeric) for a in (1, 0)]
+    combinations = cut_lineage(
+        binned.groupBy(*kept, *[f"__b{i}" for i in index.values()])
         .agg(F.expr(f"count_if({t} = 1)").alias("__t"), F.expr(f"count_if({t} = 0)").alias("__c"),
-             *sums)
+             *[F.expr(e).alias(n) for n, e in sums]))
+    return (
+        combinations.select("*", F.expr(f"inline(array({structs}))"))
+        .groupBy("__design", *kept, *[f"__key{w}" for w in range(width)])
+        .agg(*[F.sum(n).alias(n) for n in ("__t", "__c", *[n for n, _ in sums])])
     )
 
 

@@ -14,6 +14,7 @@ from liftlens.operators.scale import lookup_join
 from liftlens.operators.stats import class_scores, confusion_pct
 
 ATE = "Average_treatment_effect"
+NOISE = 1e-9  # smaller effects are rounding of sums that cancel
 
 
 def finalize_effects(effects: DataFrame, names: DataFrame, project: str) -> DataFrame:
@@ -22,7 +23,7 @@ def finalize_effects(effects: DataFrame, names: DataFrame, project: str) -> Data
     stays in `raw_effect`. `names` is (treatment_id, treatment_label); of several labels of an id
     the first in order is shown."""
     # an effect that is not known stays unknown
-    shown = F.when(F.col(ATE).isNotNull(), F.greatest(F.col(ATE), F.lit(0.0)))
+    shown = F.when(F.col(ATE) > NOISE, F.col(ATE)).when(F.col(ATE).isNotNull(), 0.0)
     none = shown == 0
     one_each = names.groupBy("treatment_id").agg(F.min("treatment_label").alias("treatment_label"))
     labelled = lookup_join(effects, one_each, ["treatment_id"])

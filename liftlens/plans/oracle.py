@@ -15,7 +15,7 @@ def rnd(expr: str, digits: int) -> str:
 
 KPI = ["Order Value", "Order Count", "% Open Orders"]
 SEGMENTS = ["MARKET", "NATION", "REGION"]
-NUM = ["Order Value_pre", "Order Count_pre", "ACCTBAL", "LIFETIME"]
+NUM = ["Order Value_pre", "Order Count_pre", "% Open Orders_pre", "ACCTBAL", "LIFETIME"]
 Z = "1.959963984540054"
 
 
@@ -115,7 +115,7 @@ def query(*parts: str, select: str) -> str:
 # --- matching -----------------------------------------------------------------------------
 
 def _designs() -> list[tuple[int, str, str, dict[str, str]]]:
-    covariates = [*NUM, "MARKET", "REGION"]
+    covariates = [*NUM, "MARKET", "NATION", "REGION"]
     out = [("match_result1", "q5", {c: "q5" for c in NUM})]
     out += [("match_result2", f"{c}_q3", {c: "q3"}) for c in covariates]
     out += [("match_result3", f"{c}_log0.6", {c: "log0.6"}) for c in covariates]
@@ -134,7 +134,7 @@ def _candidates() -> str:
     places = ", ".join(f"('{c}', {i})" for i, c in enumerate(NUM))
     long = " UNION ALL ".join(
         f"SELECT emp_id || '/' || treatment_id AS rid, \"Control/Test_group\" AS w, "
-        f"\"MARKET\" || '/' || \"REGION\" AS cat, '{c}' AS covariate, \"{c}\"::DOUBLE AS x "
+        f"\"MARKET\" || '/' || \"NATION\" || '/' || \"REGION\" AS cat, '{c}' AS covariate, \"{c}\"::DOUBLE AS x "
         f"FROM rows_" for c in NUM)
     quantiles = " UNION ALL ".join(
         f"SELECT covariate, 'q{k}' AS rule, "
@@ -220,7 +220,7 @@ def halves(source: str = "rows_") -> str:
         for c in NUM)
     return f"""
 sub AS (SELECT *, "Control/Test_group" AS w,
-  {parts} || '|' || "MARKET" || '|' || "REGION" AS subclass FROM {source}),
+  {parts} || '|' || "MARKET" || '|' || "NATION" || '|' || "REGION" AS subclass FROM {source}),
 """.strip()
 
 
@@ -299,7 +299,8 @@ final AS (SELECT label AS treatment_label, "KPI", "Segment_Name" AS seg_col, "Se
     round_even(greatest(tau, 0), 2) + 0.0::DOUBLE AS ate,
     CASE WHEN greatest(tau, 0) = 0 THEN 0 ELSE round_even(se, 2) END::DOUBLE AS se2,
     CASE WHEN greatest(tau, 0) = 0 THEN '[0,0]' ELSE {_CI} END AS ci, {_SIG} AS sig
-  FROM fit JOIN treatments USING (treatment_id)),
+  FROM (SELECT * REPLACE (CASE WHEN abs(tau) <= 1e-9 THEN 0 ELSE tau END AS tau) FROM fit)
+  JOIN treatments USING (treatment_id)),
 overall AS (SELECT * FROM final WHERE seg_val = 'Overall'),
 segs AS (SELECT * FROM final WHERE seg_val <> 'Overall'),
 """.strip()

@@ -20,9 +20,6 @@ from liftlens.sources import tables as io
 CFG = source.CONFIG
 KPIS = CFG.kpi_names
 GROUP = shape.GROUP
-NUMERIC = ["Order Value_pre", "Order Count_pre", "ACCTBAL", "LIFETIME"]
-COVARIATES = [*NUMERIC, "MARKET", "REGION"]
-HALVES = {c: "q2" for c in NUMERIC}  # the matching rule of the queries with one fixed design
 DAILY_KPIS = {"Units": "sum", "Line Cents": "max"}
 
 
@@ -57,6 +54,12 @@ def _rows(spark, sf) -> DataFrame:
     return cut_lineage(study.outcome_rows(CFG, tables, shaped))
 
 
+def _design(rows: DataFrame) -> tuple[list[str], dict]:
+    """All covariates of the frame, and the rule of the queries with one fixed design: halves."""
+    covariates = study.matching_covariates(CFG, rows)
+    return covariates, {c: "q2" for c in matching.split_covariates(rows, covariates)[0]}
+
+
 # --- flagship ---------------------------------------------------------------------------
 
 
@@ -353,8 +356,9 @@ def log_cutpoints(spark, sf):
 def match_candidates(spark, sf):
     """All designs of the search, with the number of strata that hold both arms."""
     rows = _rows(spark, sf)
-    search = matching.designs(rows, COVARIATES)
-    parts = matching.design_strata(rows, GROUP, COVARIATES, {d.number: d.rules for d in search})
+    covariates, _ = _design(rows)
+    search = matching.designs(rows, covariates)
+    parts = matching.design_strata(rows, GROUP, covariates, {d.number: d.rules for d in search})
     both = (F.col("__t") > 0) & (F.col("__c") > 0)
     return parts.groupBy(F.col("__design").alias("candidate_no")).agg(
         F.count("*").alias("strata"), F.count_if(both).alias("usable_strata"),
@@ -363,19 +367,20 @@ def match_candidates(spark, sf):
 
 
 def candidate_balance(spark, sf):
-    return rounded(matching.candidate_balance(_rows(spark, sf), GROUP, COVARIATES), 6)
+    rows = _rows(spark, sf)
+    return rounded(matching.candidate_balance(rows, GROUP, _design(rows)[0]), 6)
 
 
 def balance_nulls(spark, sf):
     """The balance of all designs where negative account balances count as unknown."""
     rows = _rows(spark, sf).withColumn("ACCTBAL", F.when(F.col("ACCTBAL") >= 0, F.col("ACCTBAL")))
-    return rounded(matching.candidate_balance(cut_lineage(rows), GROUP, COVARIATES), 6)
+    return rounded(matching.candidate_balance(cut_lineage(rows), GROUP, _design(rows)[0]), 6)
 
 
 def select_match(spark, sf):
     rows = _rows(spark, sf)
     return rounded(matching.select_match(
-        matching.candidate_balance(rows, GROUP, COVARIATES)), 6)
+        matching.candidate_balance(rows, GROUP, _design(rows)[0])), 6)
 
 
 # --- effects ----------------------------------------------------------------------------
@@ -383,20 +388,21 @@ def select_match(spark, sf):
 
 def effect_overall(spark, sf):
     """One effect per KPI over all treatments, from matched rows."""
-    matched = matching.cem_match(_rows(spark, sf), GROUP, COVARIATES, HALVES)
+    rows = _rows(spark, sf)
+    matched = matching.cem_match(rows, GROUP, *_design(rows))
     return rounded(effects.overlap_effect(matched, KPIS, GROUP, "subclass"), 3)
 
 
 def effect_by_treatment(spark, sf):
-    matched = matching.cem_match(
-        _rows(spark, sf), GROUP, COVARIATES, HALVES, match_within="treatment_id")
+    rows = _rows(spark, sf)
+    matched = matching.cem_match(rows, GROUP, *_design(rows), match_within="treatment_id")
     return rounded(effects.effect_by_treatment(
         matched, KPIS, GROUP, "subclass", keep_skipped=True), 3)
 
 
 def effect_by_segment(spark, sf):
-    return rounded(effects.cem_effects(
-        _rows(spark, sf), KPIS, GROUP, COVARIATES, HALVES, CFG.segments), 3)
+    rows = _rows(spark, sf)
+    return rounded(effects.cem_effects(rows, KPIS, GROUP, *_design(rows), CFG.segments), 3)
 
 
 def effect_ci(spark, sf):
@@ -405,16 +411,18 @@ def effect_ci(spark, sf):
 
 def _effect_table(spark, sf):
     """All groups; those without an effect have a reason."""
+    rows = _rows(spark, sf)
     return effects.as_effect_table(effects.cem_effects(
-        _rows(spark, sf), KPIS, GROUP, COVARIATES, HALVES, CFG.segments), "reason")
+        rows, KPIS, GROUP, *_design(rows), CFG.segments), "reason")
 
 
 def effect_arbitrate(spark, sf):
     """Matched fit against the fit weighted by a fixed score, per treatment and segment; groups
     that neither fits are kept with the reason."""
     rows = _rows(spark, sf)
-    scores = rows.select("emp_id", "treatment_id", _score().alias("probability"))
-    a, b = map(cut_lineage, study.both_fits(CFG, rows, scores, HALVES, COVARIATES))
+    covariates, rules = _design(rows)
+    rows = rows.withColumn("weights", _score())
+    a, b = map(cut_lineage, study.both_fits(CFG, rows, None, rules, covariates))
     known = F.col("reason").isNull()
     chosen = cut_lineage(effects.arbitrate(a.where(known), b.where(known), study.EFFECT_KEYS, "full"))
     skipped = study.skipped_groups(a, b, chosen).select(*study.EFFECT_KEYS, "reason")
@@ -424,7 +432,8 @@ def effect_arbitrate(spark, sf):
 def effect_forest(spark, sf):
     """Effects per treatment from honest forests, over all covariates of the frame."""
     rows = _rows(spark, sf)
-    return study.forest_effects(CFG, rows, HALVES, study.matching_covariates(CFG, rows))
+    covariates, rules = _design(rows)
+    return study.forest_effects(CFG, rows, rules, covariates)
 
 
 TREE_CUTS = {"ACCTBAL": (0.0, 2500.0, 5000.0, 7500.0), "LIFETIME": (4.0, 8.0, 12.0, 16.0),
@@ -651,8 +660,9 @@ def csv_roundtrip(spark, sf):
 def batch_outputs(spark, sf):
     """Effects published by batches of treatments; the rerun of one replaces it alone."""
     path = f"{shared_dir(spark)}/batches-{uuid.uuid4().hex}"
+    rows = _rows(spark, sf)
     matched = cut_lineage(matching.cem_match(
-        _rows(spark, sf), GROUP, COVARIATES, HALVES, match_within="treatment_id"))
+        rows, GROUP, *_design(rows), match_within="treatment_id"))
 
     def found(**more):
         return effects.effect_by_treatment(matched, KPIS, GROUP, "subclass", keep_skipped=True, **more)

@@ -149,19 +149,13 @@ def arbitrated_effects(
 
 
 def both_fits(
-    cfg: StudyConfig, rows: DataFrame, scores: DataFrame, design: Mapping, covariates: list[str],
+    cfg: StudyConfig, rows: DataFrame, scores: DataFrame | None, design: Mapping, covariates: list[str],
 ) -> tuple[DataFrame, DataFrame]:
     """The fit on matched rows and the propensity-weighted fit on all rows, each with the groups
-    that have no effect, and why."""
-    matched = matching.cem_match(rows, GROUP, covariates, design)
-    a = effects.effect_by_segment(
-        matched, cfg.kpi_names, GROUP, "subclass", cfg.segments, with_auc=True, keep_skipped=True)
-    placed = matching.with_stratum(
-        features.attach_weights(rows, scores), covariates, design)
-    b = effects.effect_by_segment(
-        placed, cfg.kpi_names, GROUP, "subclass", cfg.segments, clustered=False, with_auc=True,
-        keep_skipped=True)
-    return a, b
+    that have no effect, and why. Without `scores` the rows have their `weights` already."""
+    weighted = rows if scores is None else features.attach_weights(rows, scores)
+    return effects.both_effects(
+        weighted, cfg.kpi_names, GROUP, covariates, design, cfg.segments, "weights")
 
 
 def skipped_groups(a: DataFrame, b: DataFrame, chosen: DataFrame) -> DataFrame:
