@@ -172,3 +172,48 @@ def r2_table(scored: DataFrame, kpis: Sequence[str]) -> DataFrame:
             .collect()]
     kept = [k for k in kpis if k in have]
     return scored.groupBy("days").pivot("KPI", kept).agg(F.first("r2"))
+
+
+def coded_names(names: DataFrame, codes: DataFrame) -> DataFrame:
+    """(treatment_id, treatment_label) with the codes of the ids, for effects by encoded ids.
+    `codes` is (treatment_id, mapped_value)."""
+    return lookup_join(names, codes, ["treatment_id"]).select(
+        F.col("mapped_value").alias("treatment_id"), "treatment_label").dropna()
+
+
+CATEGORIES = {
+    "data": "Data_Quality_Insights", "classification": "Classification_Model_insights",
+    "regression": "Regression_Model_insights", "importance": "Feature_importance_insights",
+    "matching": "Matching_insights",
+}  # fixed values: the published names of the categories
+
+
+def insight_table(profile: DataFrame, model: DataFrame, importances: DataFrame, overall: DataFrame,
+                  segments: DataFrame, k: int = 10, above: float = 1000.0) -> DataFrame:
+    """All insights in words, (Category, insights): flagged metrics of the quality profile, how
+    well treated people are told apart and KPIs predicted (from `model_report`), which inputs
+    matter, and what the treatments did."""
+
+    def said(df: DataFrame, category: str, *parts):
+        return df.select(F.lit(CATEGORIES[category]).alias("Category"), F.concat(
+            *[F.lit(p) if isinstance(p, str) else p for p in parts]).alias("insights"))
+
+    value = plain_number(F.col("value"))
+    section, metric = F.col("section"), F.col("metric")
+    what = (F.when(metric == "null_pct", "missing values").when(metric == "duplicate_pct", "duplicate rows")
+            .otherwise("outliers"))
+    return reduce(DataFrame.unionByName, [
+        said(profile.where("flagged = 1"), "data", value, "% ", what, " in ", F.col("table_name"),
+             F.when(F.col("column_name") == "*", "").otherwise(F.concat(F.lit(" "), F.col("column_name")))),
+        said(model.where("section = 'confusion_pct'"), "classification", value, "% of all rows are ",
+             F.col("item")),
+        said(model.where(section.isin("accuracy", "f1")), "classification",
+             F.when(section == "f1", "F1").otherwise("accuracy"), " (", F.col("item"), "): ",
+             F.coalesce(value, F.lit("not known"))),
+        said(model.where("section = 'r2'"), "regression", "R2 at ", F.col("item"), ": ",
+             F.coalesce(value, F.lit("not known"))),
+        said(importances, "importance", F.col("feature"), " has an importance of ",
+             plain_number(F.col("importance"))),
+        insights(overall, segments, k, above).select(
+            F.lit(CATEGORIES["matching"]).alias("Category"), "insights"),
+    ])

@@ -390,14 +390,16 @@ def _iqr(table: str, column: str, name: str | None = None) -> str:
             f"round_even({bad} / count(*) * 100, 2) AS outlier_pct FROM {table}")
 
 
-def _profile() -> str:
-    raw_t = """
+_PROFILE_TABLES = """
 raw_p AS (SELECT emp_id AS "EMP_ID", treatment_id AS "OFFERING_ID", start_date AS "START_DATE",
   end_date AS "END_DATE", "Order Value", "Order Count", "% Open Orders", "ACCTBAL", "LIFETIME" FROM pop),
 raw_t AS (SELECT emp_id AS "EMP_ID", t0 AS "DATE_START_TREATMENT_TAKEN",
   t1 AS "DATE_END_TREATMENT_TAKEN", k.label AS "OFFERING_LABEL", treatment_id AS "OFFERING_ID",
   a AS "START_DATE", b AS "END_DATE" FROM taken k JOIN treatments USING (treatment_id)),
 raw_s AS (SELECT emp_id AS "EMP_ID", "MARKET", "NATION", "REGION" FROM seg),"""
+
+
+def _profile_select() -> str:
     columns = {
         "raw_p": ["EMP_ID", "OFFERING_ID", "START_DATE", "END_DATE", *KPI, "ACCTBAL", "LIFETIME"],
         "raw_t": ["EMP_ID", "DATE_START_TREATMENT_TAKEN", "DATE_END_TREATMENT_TAKEN",
@@ -417,7 +419,7 @@ raw_s AS (SELECT emp_id AS "EMP_ID", "MARKET", "NATION", "REGION" FROM seg),"""
     for c in ("ACCTBAL", "LIFETIME"):
         parts.append(f"SELECT 'population', column_name, 'outlier_pct', outlier_pct, "
                      f"(outlier_pct >= 5)::INT FROM ({_iqr('raw_p', c)})")
-    return query(STUDY, raw_t, select=" UNION ALL ".join(parts))
+    return " UNION ALL ".join(parts)
 
 
 def _validation() -> str:
@@ -642,6 +644,72 @@ scored AS (SELECT kl.*, a, b, a + b * x AS p FROM kl JOIN line USING ("KPI", tre
 """
 
 
+_FACTS = f"""
+tn AS (SELECT *, (w = predictions)::INT AS hit FROM scored),
+splitk AS (SELECT *, ({_EMP_HASH} < 0.33::DOUBLE * 4294967296)::INT AS is_test, "LIFETIME" AS x FROM scored),
+lk AS (SELECT treatment_id, regr_slope("{KPI[0]}", x) AS b, regr_intercept("{KPI[0]}", x) AS a FROM splitk
+  WHERE w = 1 AND is_test = 0 GROUP BY ALL),
+sk AS (SELECT stddev_pop(a) AS sa, stddev_pop(b * x) AS sb FROM splitk JOIN lk USING (treatment_id)
+  WHERE w = 1 AND "{KPI[0]}" IS NOT NULL),
+imp AS (SELECT 'treatment_id' AS feature, round_even(sa / (sa + sb), 2) AS importance FROM sk
+  UNION ALL SELECT 'LIFETIME', round_even(sb / (sa + sb), 2) FROM sk),
+facts AS (
+  SELECT 'confusion_pct' AS section, 'actual ' || a || ' predicted ' || p AS item,
+         round_even(count(*) FILTER (w = a AND predictions = p) / count(*) * 100, 2) AS value
+  FROM scored, (VALUES (0), (1)) v(a), (VALUES (0), (1)) u(p) GROUP BY a, p
+  UNION ALL SELECT 'accuracy', 'all rows', round_even(avg(hit), 2) FROM tn
+  UNION ALL SELECT 'f1', 'holdout', round_even(2 * count(*) FILTER (w = 1 AND predictions = 1)
+    / (2 * count(*) FILTER (w = 1 AND predictions = 1) + count(*) FILTER (hit = 0)), 2) FROM tn
+  UNION ALL {" UNION ALL ".join(f'''SELECT 'r2', '720 days {k}',
+    round_even(1 - sum(power("{k}" - "{k}_pre" / 2, 2)) / (var_pop("{k}") * count(*)), 2) FROM scored
+    WHERE "{k}" IS NOT NULL AND "{k}_pre" IS NOT NULL''' for k in KPI)}
+  UNION ALL SELECT 'top_feature', feature, importance FROM imp),
+"""
+
+
+def _insights() -> str:
+    n = fixed_number
+    whole = lambda x: n(f"round_even({x}, 0)")
+    return f"""
+profile AS ({_profile_select()}),
+ranked AS (SELECT *, rank() OVER (PARTITION BY treatment_label, seg_val ORDER BY ate DESC)
+  + (count(*) OVER (PARTITION BY treatment_label, seg_val, ate) - 1) / 2.0::DOUBLE AS rk FROM segs),
+top_ AS (SELECT * FROM ranked WHERE rk = 1 AND sig = 'Significant'
+  ORDER BY ate DESC, treatment_label, "KPI", seg_col, seg_val LIMIT 10),
+most AS (SELECT * FROM segs WHERE sig = 'Significant' AND ate > 1000 QUALIFY row_number() OVER (
+  PARTITION BY treatment_label, seg_col, "KPI"
+  ORDER BY ate DESC, se2 NULLS FIRST, ci NULLS FIRST, sig NULLS FIRST, seg_val) = 1),
+best_ AS (SELECT * FROM overall QUALIFY row_number() OVER (
+  PARTITION BY "KPI" ORDER BY ate DESC, treatment_label, sig NULLS FIRST) = 1),
+counts_ AS (SELECT "KPI", count(*) FILTER (ate <= 0) AS none,
+  coalesce(string_agg(treatment_label, ', ' ORDER BY treatment_label) FILTER (ate <= 0), '') AS none_names,
+  count(*) FILTER (sig = 'Significant') AS hits,
+  coalesce(string_agg(treatment_label, ', ' ORDER BY treatment_label) FILTER (sig = 'Significant'), '')
+    AS hit_names FROM overall GROUP BY "KPI"),
+said(c, s) AS (
+  SELECT 'Data_Quality_Insights', {n('value')} || '% ' || CASE metric WHEN 'null_pct' THEN 'missing values'
+    WHEN 'duplicate_pct' THEN 'duplicate rows' ELSE 'outliers' END || ' in ' || table_name
+    || CASE column_name WHEN '*' THEN '' ELSE ' ' || column_name END FROM profile WHERE flagged = 1
+  UNION ALL SELECT 'Classification_Model_insights', {n('value')} || '% of all rows are ' || item FROM facts
+    WHERE section = 'confusion_pct'
+  UNION ALL SELECT 'Classification_Model_insights', CASE section WHEN 'f1' THEN 'F1' ELSE section END || ' ('
+    || item || '): ' || coalesce({n('value')}, 'not known') FROM facts WHERE section IN ('accuracy', 'f1')
+  UNION ALL SELECT 'Regression_Model_insights', 'R2 at ' || item || ': ' || coalesce({n('value')}, 'not known')
+    FROM facts WHERE section = 'r2'
+  UNION ALL SELECT 'Feature_importance_insights', feature || ' has an importance of ' || {n('importance')} FROM imp
+  UNION ALL SELECT 'Matching_insights', treatment_label || ' has its best significant effect in ' || seg_col
+    || ' ' || seg_val || ': ' || {n('ate')} || ' on ' || "KPI" FROM top_
+  UNION ALL SELECT 'Matching_insights', 'For ' || treatment_label || ' the effect on ' || "KPI"
+    || ' is largest in ' || seg_col || ' ' || seg_val || ' (' || {n('ate')} || ')' FROM most
+  UNION ALL SELECT 'Matching_insights', treatment_label || ' has the best average effect on ' || "KPI" || ': '
+    || {whole('ate')} || ' (' || sig || ')' FROM best_
+  UNION ALL SELECT 'Matching_insights', none || ' treatments had no impact on ' || "KPI" || ': ' || none_names
+    FROM counts_
+  UNION ALL SELECT 'Matching_insights', hits || ' treatments had a significant effect on ' || "KPI" || ': '
+    || hit_names FROM counts_),
+"""
+
+
 _ROWS = (STUDY, SHAPED, ROWS)
 _POPULATION = """emp_id, treatment_id, start_date, end_date, "Order Value", "Order Count",
   "% Open Orders\""""
@@ -756,7 +824,7 @@ SELECT s_nationkey, NULL FROM supplier""",
         _duplicates("events", "user_id, event_type")]),
     "iqr_outliers": " UNION ALL ".join(
         _iqr("lineitem", c) for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")),
-    "quality_profile": _profile(),
+    "quality_profile": query(STUDY, _PROFILE_TABLES, select=_profile_select()),
     "validation_report": _validation(),
     "coarsen_quantile": query(select="""
 WITH c AS (SELECT quantile_cont(l_extendedprice, [0.2, 0.4, 0.6, 0.8]) AS p,
@@ -877,6 +945,13 @@ SELECT "KPI", count(*) FILTER (ate <= 0) AS no_impact,
     FILTER (sig = 'Significant'), '') AS significant_treatments
 FROM overall GROUP BY "KPI" """),
     "batch_outputs": _effect_by_treatment(),
+    "named_codes": query(SEGMENT_FIT, FINAL, select=f"""
+SELECT treatment_label, "KPI", {_PUB} FROM overall"""),
+    "segment_labels": query(SEGMENT_FIT, FINAL, select=f"""
+SELECT treatment_label, "KPI", {_PUB}, seg_col AS "Segment", seg_val AS "Segment_Name" FROM segs"""),
+    "model_report": query(*_ROWS, SCORED, _FACTS, select="SELECT section, item, value FROM facts"),
+    "insights": query(SEGMENT_FIT, SCORED, _FACTS, FINAL, _PROFILE_TABLES, _insights(),
+                      select='SELECT c AS "Category", s AS insights FROM said'),
     "csv_roundtrip": query(STUDY, select="""
 SELECT k.emp_id, k.t0 AS start_date_of_treatment_taken, k.t1 AS end_date_of_treatment_taken,
   k.label AS treatment_label_taken, treatment_id, a AS treatment_allocated_date,

@@ -645,6 +645,60 @@ def no_impact_counts(spark, sf):
     return report.impact_counts(report.overall_effects(_final(spark, sf)))
 
 
+def _coded_final(spark, sf):
+    """Final effects worked out on encoded treatments and segments, and the code tables."""
+    rows = _rows(spark, sf)
+    ids = cut_lineage(shape.label_codes(rows, ["treatment_id"]).select(
+        F.col("Segments").alias("treatment_id"), F.col("Segment").alias("mapped_value")))
+    coded, labels = features.label_encode(features.encode_ids(rows, ids), CFG.segments)
+    # codes are names, not numbers: matched exactly
+    coded = cut_lineage(coded.withColumns({c: F.col(c).cast("string") for c in CFG.segments}))
+    covariates, rules = _design(coded)
+    table = effects.as_effect_table(
+        effects.cem_effects(coded, KPIS, GROUP, covariates, rules, CFG.segments), "reason")
+    names = report.coded_names(_names(spark, sf), ids)
+    return report.finalize_effects(table.where("reason IS NULL"), names, CFG.project), labels
+
+
+def named_codes(spark, sf):
+    """Overall effects of encoded treatments under the names of the codes."""
+    final, _ = _coded_final(spark, sf)
+    return report.overall_effects(final.drop("raw_effect"))
+
+
+def segment_labels(spark, sf):
+    """Effects by encoded segment values under the names of the codes."""
+    final, labels = _coded_final(spark, sf)
+    return report.segment_effects(final.drop("raw_effect"), labels)
+
+
+def _model_facts(spark, sf):
+    rows = cut_lineage(_cell_rows(_scored(spark, sf)))
+    f1 = stats.class_scores(rows, GROUP, "predictions").first()["f1"]
+    long = rows.select(F.inline(F.array(*[
+        F.struct(F.lit(CFG.horizon).alias("days"), F.lit(k).alias("KPI"), q(k).alias("y"),
+                 (q(f"{k}_pre") / 2).alias("yhat")) for k in KPIS])))
+    scores = stats.r2(long, "y", "yhat", ["days", "KPI"])
+    _, _, model = linear.cell_kpi(rows, KPIS[0], linear.design(rows, ["LIFETIME"], within="treatment_id"),
+                                  key="emp_no")
+    used = rows.where((q(GROUP) == 1) & q(KPIS[0]).isNotNull())
+    importances = model.importance(used).withColumn("importance", F.bround("importance", 2))
+    return report.model_report(rows, GROUP, f1, scores, importances), importances
+
+
+def model_report(spark, sf):
+    """Confusion, accuracy, F1, R2 and the inputs that matter, of fixed scores and cell fits."""
+    return _model_facts(spark, sf)[0]
+
+
+def insights(spark, sf):
+    """All five categories of insights in words."""
+    model, importances = _model_facts(spark, sf)
+    final = _final(spark, sf).drop("raw_effect")
+    return report.insight_table(quality_profile(spark, sf), model, importances,
+                                report.overall_effects(final), report.segment_effects(final))
+
+
 def csv_roundtrip(spark, sf):
     path = f"{shared_dir(spark)}/csv-{uuid.uuid4().hex}"
     io.write_csv(source.raw_treatments(spark, sf), path)
@@ -703,6 +757,6 @@ QUERIES = {
         auc_rank_sum, outcome_fit_corr, propensity_scores, kpi_predictions, feature_importance,
         tuned_propensity, propensity_cells, kpi_cells, importance_cells,
         final_effects, rank_segments, top_insights, top_per_group, best_treatment_per_kpi,
-        no_impact_counts, csv_roundtrip, parquet_roundtrip, batch_outputs,
+        no_impact_counts, named_codes, segment_labels, model_report, insights, csv_roundtrip, parquet_roundtrip, batch_outputs,
     )
 }
