@@ -98,8 +98,8 @@ def daily_windows(
     post_days: Sequence[int],
     hot: HotKeys | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Daily form as (before, after): `daily_periods` by status."""
-    both = daily_periods(population, treatment, kpis, pre_days, post_days, hot)
+    """Daily form as (before, after): `daily_periods` by status, aggregated and written once."""
+    both = cut_lineage(daily_periods(population, treatment, kpis, pre_days, post_days, hot))
     return tuple(both.where(F.col("status") == s).drop("status") for s in ("pre", "post"))
 
 

@@ -125,8 +125,9 @@ def validation_report(
     types = {c: "timestamp" for c in cfg.treatment_columns.values() if "date" in c}
     typed = type_mismatches(raw_treatment, {c: t for c, t in types.items()
                                             if c in raw_treatment.columns})
+    dates = ["start_date", "end_date"] if "start_date" in population.columns else ["date"]
     lost = null_row_report(population, {"KPI values": list(cfg.kpis),
-                                        "keys and dates": ["emp_id", "start_date", "end_date"]})
+                                        "keys and dates": ["emp_id", *dates]})
     enough = sufficiency(pre, post, windows, cfg.pre_days, cfg.post_days)
     arms = eligible.agg(F.min(q(GROUP)).alias("lo"), F.max(q(GROUP)).alias("hi"))
     two = (F.col("lo") == 0) & (F.col("hi") == 1)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from liftlens.config import StudyConfig
 from liftlens.functions.columns import q
 from liftlens.operators import clean, effects, features, matching, models, periods, quality
-from liftlens.operators import report, shape
+from liftlens.operators import report, shape, stats
 from liftlens.operators.scale import HotKeys, cut_lineage, find_hot_keys
 from liftlens.sources.tables import write_csv, write_parquet
 
@@ -45,6 +45,15 @@ ROW = "__row"  # tells rows of one person apart
 EFFECT_KEYS = ["KPI", "treatment_id", "Segment_Name", "Segment"]
 
 
+def grain_of(cfg: StudyConfig, population: DataFrame) -> str:
+    """Whether a raw population holds days or periods: by its date columns, and where it has
+    both kinds, by the rows of a person and treatment."""
+    renamed = shape.rename_columns(population, cfg.population_columns)
+    if "date" not in renamed.columns:
+        return "agg"
+    return periods.detect_grain(renamed) if "start_date" in renamed.columns else "daily"
+
+
 def ingest(
     cfg: StudyConfig, population: DataFrame, treatment: DataFrame, segment: DataFrame,
     grain: str = "agg",
@@ -190,11 +199,24 @@ def forest_effects(
     return effects.residual_effect(long, by, "dy", "dw", "weights", "subclass").join(expected, by, "left")
 
 
+def model_inputs(frame: DataFrame, kpis: Sequence[str]) -> list[str]:
+    """The model inputs of a frame, without numeric ones that the others determine."""
+    inputs = models.kpi_features(frame.columns, kpis, GROUP)
+    numeric, _ = matching.split_covariates(frame, inputs)
+    kept = set(stats.vif_prune(frame, numeric)) if numeric else set()
+    return [c for c in inputs if c in kept or c not in numeric]
+
+
 def run(
     cfg: StudyConfig, population: DataFrame, treatment: DataFrame, segment: DataFrame, out: str,
+    grain: str | None = None, **search,
 ) -> dict[str, str]:
-    """The whole study: writes every result table below `out` and returns their paths."""
-    tables = ingest(cfg, population, treatment, segment)
+    """The whole study: writes every result table below `out` and returns their paths.
+
+    The grain of the population is found from its columns unless given. Inputs with inflated
+    variance leave before the fits. With `cfg.tune` the models come from a search, whose settings
+    are `search`, and its results are written too."""
+    tables = ingest(cfg, population, treatment, segment, grain or grain_of(cfg, population))
     s = shaped(cfg, tables)
     paths: dict[str, str] = {}
 
@@ -203,8 +225,13 @@ def run(
         write_parquet(df, paths[name], by)
 
     feature_table = cut_lineage(feature_rows(cfg, tables, s))
-    inputs = models.kpi_features(feature_table.columns, [], GROUP)
-    treated = models.propensity(feature_table, inputs)
+    inputs = model_inputs(feature_table, [])
+    searches = []
+    if cfg.tune:
+        results, treated = models.tuned_propensity(feature_table, inputs, **search)
+        searches.append(results.withColumn("model", F.lit("propensity")))
+    else:
+        treated = models.propensity(feature_table, inputs)
     save("classification_output", treated.predictions, ("treatment_id",))
     save("treatment_names", shape.treatment_names(s.treatment))
     save("eligibility", s.eligibility)
@@ -212,21 +239,28 @@ def run(
     save("validation_report", quality.validation_report(
         cfg, shape.rename_columns(treatment, cfg.treatment_columns), s.treatment,
         tables.population, s.pre, s.post, tables.windows, s.eligibility))
-    fits, skipped = [], []
+    fits, skipped, importances = [], [], []
     for days in cfg.post_days:
         rows = cut_lineage(outcome_rows(cfg, tables, s, days))
         if rows.isEmpty():
             skipped.append((f"regression {days} days", "no outcome rows"))
             continue
-        inputs_from = rows.columns
         # people may have several rows, so predictions come back by row
-        rows = wide = cut_lineage(rows.withColumn(ROW, F.monotonically_increasing_id()))
+        wide = rows = cut_lineage(rows.withColumn(ROW, F.monotonically_increasing_id()))
+        inputs = [c for c in model_inputs(rows, cfg.kpi_names) if c != ROW]
+        found = {}
         for kpi in cfg.kpi_names:
-            model_inputs = models.kpi_features(inputs_from, cfg.kpi_names, GROUP)
-            fit = models.kpi_model(rows, kpi, model_inputs)
-            fits.append((days, kpi, fit.score))
-            wide = wide.join(
-                fit.predictions.select(ROW, q(f"{kpi} predictions")), ROW)
+            if cfg.tune:
+                results, found[kpi] = models.tuned_kpi_model(rows, kpi, inputs, **search)
+                searches.append(results.withColumn("model", F.lit(f"{kpi} {days} days")))
+                wide = wide.join(found[kpi].predictions.select(ROW, q(f"{kpi} predictions")), ROW)
+            else:
+                found[kpi] = models.kpi_model(rows, kpi, inputs)
+            fits.append((days, kpi, found[kpi].score))
+        if not cfg.tune:
+            wide = models.with_predictions(rows, inputs, found)
+        importances += [fit.importance.withColumns({"days": F.lit(days), "KPI": F.lit(kpi)})
+                        for kpi, fit in found.items()]
         save(f"regression_output_{days}days", features.drop_all_null(wide.drop(ROW)),
              ("treatment_id",))
     spark = population.sparkSession
@@ -234,6 +268,10 @@ def run(
     if rows.isEmpty():
         skipped.append(("matching", "no outcome rows at the longest horizon"))
     save("skipped", spark.createDataFrame(skipped, "step string, reason string"))
+    if searches:
+        save("tuning", reduce(DataFrame.unionByName, searches))
+    if importances:
+        save("kpi_importances", reduce(DataFrame.unionByName, importances))
     if rows.isEmpty():
         return paths
     covariates = matching_covariates(cfg, rows)
@@ -257,11 +295,15 @@ def run(
     save("overall_effects", overall)
     save("segment_effects", by_segment)
     r2_rows = spark.createDataFrame(fits, "days int, KPI string, r2 double")
-    save("model_report", report.model_report(
+    facts = cut_lineage(report.model_report(
         treated.predictions, GROUP, treated.score, r2_rows, treated.importance))
+    save("model_report", facts)
     profiles = [quality.quality_profile(df, name) for name, df in (
         ("population", population), ("treatment", treatment), ("segment", segment))]
-    save("quality_profile", reduce(DataFrame.unionByName, profiles))
+    profile = cut_lineage(reduce(DataFrame.unionByName, profiles))
+    save("quality_profile", profile)
+    save("insight_table", report.insight_table(
+        profile, facts, treated.importance, overall, by_segment))
     paths["insights"] = f"{out}/insights"
     write_csv(report.insights(overall, by_segment), paths["insights"])
     return paths

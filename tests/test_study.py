@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 import inspect
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
-from liftlens.operators import clean, effects, features, models, periods, quality, shape, stats
+from liftlens.operators import clean, effects, features, matching, models, periods, quality
+from liftlens.operators import shape, stats
 from liftlens.operators.scale import cut_lineage
 from liftlens.plans import queries, study
 from liftlens.sources import customer_study as source
@@ -57,7 +59,7 @@ def test_label_codes_follow_sorted_order(spark):
         ("B", None), ("a", 0), ("b", 0), ("é", 1)]
 
 
-def test_horizon_needs_more_than_ten_rows(spark):
+def test_horizon_keeps_its_rows_however_few(spark):
     df = spark.range(11).select(F.lit(30).alias("date_diff"), "id")
     assert periods.at_horizon(df, 30).count() == 11
     assert periods.at_horizon(df.limit(10), 30).count() == 10
@@ -233,3 +235,55 @@ def test_report_of_missing_treatment_and_null_rows(spark):
     got = {r["step"]: r["rows_lost"] for r in
            clean.null_row_report(df, {"one": ["a"], "two": ["b", "c"]}).collect()}
     assert got == {"one": 1, "two": 2}
+
+
+def test_daily_study_with_search(spark, tmp_path):
+    """A daily population is recognised, models come from a search, and all tables are written."""
+    daily = cut_lineage(source.daily_population(spark, SF))
+    raw = [cut_lineage(f(spark, SF)) for f in (source.raw_treatments, source.raw_segments)]
+    cfg = replace(source.CONFIG, kpis={"Units": "sum", "Line Cents": "max"}, covariates=(),
+                  population_columns={}, pre_days=(720,), post_days=(720,), tune=True)
+    assert study.grain_of(cfg, daily) == "daily"
+    assert study.grain_of(source.CONFIG, source.raw_population(spark, SF)) == "agg"
+    paths = study.run(cfg, daily, *raw, str(tmp_path), draws=1,
+                      at_most={"maxIter": 10, "maxDepth": 4, "numTrees": 10})
+    read = lambda n: spark.read.parquet(paths[n])
+    checks = {r["check_id"] for r in read("validation_report").collect()}
+    assert "null_rows" in checks
+    families = read("tuning").groupBy("model").count().collect()
+    assert {r["model"] for r in families} >= {"propensity", "Units 720 days"}
+    assert all(r["count"] == 3 for r in families)
+    rows = read("regression_output_720days")
+    assert rows.where("`Units predictions` IS NULL").isEmpty() and rows.count() > 0
+    assert {r[0] for r in read("kpi_importances").select("KPI").distinct().collect()} == set(cfg.kpis)
+    assert {r[0] for r in read("insight_table").select("Category").distinct().collect()} >= {
+        "Classification_Model_insights", "Regression_Model_insights", "Matching_insights"}
+
+
+def test_chained_predictions_equal_those_of_each_fit(spark):
+    df = cut_lineage(spark.range(300).select(
+        F.col("id").cast("string").alias("emp_id"), (F.col("id") % 2).cast("int").alias(shape.GROUP),
+        (F.col("id") % 30).alias("x"), F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("s"),
+        (F.col("id") % 30 + 1.0).alias("y.1"), (F.col("id") % 7 + 1.0).alias("z")))
+    fits = {k: models.kpi_model(df, k, ["x", "s"], maxIter=3) for k in ("y.1", "z")}
+    wide = models.with_predictions(df, ["x", "s"], {**fits, "none": models.Fit(df, None, df, None)})
+    assert wide.columns == [*df.columns, "y.1 predictions", "z predictions", "none predictions"]
+    got = {r["emp_id"]: r for r in wide.collect()}
+    for k, fit in fits.items():
+        for r in fit.predictions.collect():
+            assert abs(r[f"{k} predictions"] - got[r["emp_id"]][f"{k} predictions"]) < 1e-9
+    text = wide._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in text
+
+
+def test_designs_repeat_combinations_of_bins_not_rows(spark, monkeypatch):
+    written = []
+    real = matching.cut_lineage
+    monkeypatch.setattr(matching, "cut_lineage", lambda df: written.append(real(df)) or written[-1])
+    df = cut_lineage(spark.range(5000).select(
+        (F.col("id") % 2).cast("int").alias("t"), (F.col("id") % 3).cast("double").alias("x"),
+        F.when(F.col("id") % 5 == 0, "a").otherwise("b").alias("c")))
+    search = matching.designs(df, ["x", "c"])
+    parts = matching.design_strata(df, "t", ["x", "c"], {d.number: d.rules for d in search})
+    assert parts.agg(F.sum("__t")).first()[0] == 2500 * len(search)
+    assert written[-1].count() == 6  # three values of x with two of c
