@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.ml.feature import OneHotEncoder, StringIndexer
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from liftlens.functions.columns import q
 from liftlens.operators.clean import first_by
@@ -15,7 +18,6 @@ from liftlens.operators.scale import HotKeys, cut_lineage, lookup_join, skew_joi
 from liftlens.operators.shape import GROUP, label_codes
 
 KEYS = ["emp_id", "treatment_id"]
-MAX_LEVELS = 1000
 
 
 def label_encode(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -38,16 +40,16 @@ def encode_ids(df: DataFrame, codes: DataFrame, column: str = "treatment_id") ->
     )
 
 
-def one_hot(df: DataFrame, columns: Sequence[str], max_levels: int = MAX_LEVELS) -> DataFrame:
-    """0/1 columns `<column>_<level>` for every level that occurs. Levels become columns, so
-    their number is checked; `one_hot_vector` has no such limit."""
+def one_hot(df: DataFrame, columns: Sequence[str], max_levels: int | None = None) -> DataFrame:
+    """0/1 columns `<column>_<level>` for every level that occurs. Levels become columns, so a
+    caller may state how many are too many; `one_hot_vector` suits any number."""
     pairs = F.array(*[F.struct(F.lit(c).alias("c"), q(c).cast("string").alias("v"))
                       for c in columns])
     found = (
         df.select(F.inline(pairs)).where(F.col("v").isNotNull()).distinct()
-        .limit(max_levels + 1).collect()
     )
-    if len(found) > max_levels:
+    found = (found if max_levels is None else found.limit(max_levels + 1)).collect()
+    if max_levels is not None and len(found) > max_levels:
         raise ValueError(f"more than {max_levels} levels; use one_hot_vector")
     levels = sorted((columns.index(r["c"]), r["v"]) for r in found)
     dummies = [
@@ -59,13 +61,38 @@ def one_hot(df: DataFrame, columns: Sequence[str], max_levels: int = MAX_LEVELS)
 
 
 def one_hot_vector(df: DataFrame, columns: Sequence[str], output: str) -> DataFrame:
-    """Sparse one-hot vectors, for factors with any number of levels."""
-    indexed = [f"__{i}_index" for i in range(len(columns))]
-    encoded = [f"{output}_{c}" for c in columns]
-    df = StringIndexer(inputCols=list(columns), outputCols=indexed, handleInvalid="keep").fit(
-        df).transform(df)
-    hot = OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=False)
-    return hot.fit(df).transform(df).drop(*indexed)
+    """Sparse one-hot vectors `<output>_<column>`, for factors with any number of levels.
+
+    Levels are numbered in sorted order by a distributed ranking and meet the rows in a join; the
+    driver sees their number only. A missing value has a vector without entries."""
+    codes = cut_lineage(label_codes(df, columns))
+    sizes = {r["Segment_Name"]: r["count"] for r in codes.groupBy("Segment_Name").count().collect()}
+    kept = df.columns
+    for i, c in enumerate(columns):
+        one = codes.where(F.col("Segment_Name") == c).select(
+            F.col("Segments").alias(f"__level{i}"), F.col("Segment").alias(f"__code{i}"))
+        df = lookup_join(df.withColumn(f"__level{i}", q(c).cast("string")), one, [f"__level{i}"])
+    df = df.select(*[q(c) for c in kept], *[F.col(f"__code{i}") for i in range(len(columns))])
+
+    def vectors(codes: pa.Array, size: int) -> pa.Array:
+        known = codes.is_valid().to_numpy(zero_copy_only=False)
+        ends = np.concatenate([[0], np.cumsum(known)]).astype(np.int32)
+        index = codes.drop_null().cast(pa.int32())
+        return pa.StructArray.from_arrays(
+            [pa.array(np.zeros(len(codes), np.int8)), pa.array(np.full(len(codes), size, np.int32)),
+             pa.ListArray.from_arrays(ends, index),
+             pa.ListArray.from_arrays(ends, pa.array(np.ones(len(index))))],
+            names=["type", "size", "indices", "values"])  # the stored form of a sparse vector
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [*kept, *[f"{output}_{c}" for c in columns]]
+        for batch in batches:
+            made = [vectors(batch.column(len(kept) + i), sizes.get(c, 0)) for i, c in enumerate(columns)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(kept)], *made], names=names)
+
+    schema = T.StructType([*df.schema.fields[:len(kept)],
+                           *[T.StructField(f"{output}_{c}", VectorUDT()) for c in columns]])
+    return df.mapInArrow(run, schema)
 
 
 def constant_columns(df: DataFrame, columns: Sequence[str] | None = None) -> list[str]:

@@ -26,8 +26,10 @@ from liftlens.operators.scale import (
 )
 
 # A rule is "q5" (5 quantile bins), "w3" (3 equal widths), "sturges" (the default),
-# "log0.6" (geometric grid with that step) or a tuple of explicit cuts.
+# "log0.6" (geometric grid with that step; "log0.6:50" keeps cuts from 50 on instead of from
+# LEAST_WIDTH) or a tuple of explicit cuts.
 Rule = str | tuple
+LEAST_WIDTH = 1000.0  # least cut of a geometric grid after its first
 
 
 @dataclass(frozen=True)
@@ -53,7 +55,7 @@ def _log_grid(lo: float, hi: float, any_zero: bool, constant: float, min_width:
 
 
 def log_cutpoints(
-    df: DataFrame, columns: Sequence[str], constant: float = 0.3, min_width: float = 1000
+    df: DataFrame, columns: Sequence[str], constant: float = 0.3, min_width: float = LEAST_WIDTH
 ) -> DataFrame:
     """(column_name, cut_no, cut) of the geometric grid; ranges from one aggregate, the grid
     expanded from it."""
@@ -110,7 +112,8 @@ def cutpoints(df: DataFrame, rules: Mapping[str, Sequence[Rule]]) -> dict[tuple,
                 k = int(rule[1:])
                 cuts = [by_prob[c][j / k] for j in range(1, k)]
             elif rule.startswith("log"):
-                cuts = _log_grid(lo, hi, bool(row[f"z{i}"]), float(rule[3:]), 1000)
+                step, _, width = rule[3:].partition(":")
+                cuts = _log_grid(lo, hi, bool(row[f"z{i}"]), float(step), float(width or LEAST_WIDTH))
             else:
                 k = int(rule[1:]) if rule != "sturges" else (row["n"] - 1).bit_length() + 1
                 cuts = [lo + (hi - lo) * j / k for j in range(1, k)]
@@ -212,20 +215,23 @@ def _hot_strata(counted: DataFrame, keys: Sequence[str], min_rows: int = 100_000
     return hot
 
 
-def designs(df: DataFrame, covariates: Sequence[str]) -> list[Design]:
+def designs(df: DataFrame, covariates: Sequence[str], least_width: float | None = None
+            ) -> list[Design]:
     """The designs to search: quantile fifths on all; thirds on one covariate at a time; the
     0.6 geometric grid on one numeric covariate at a time; the 0.5 grid on the first numeric
     one, else fifths, one at a time; and 2 to 5 quantile or width bins on all. Covariates
-    without a stated rule take the default. 9 + 3p designs for p covariates."""
+    without a stated rule take the default. 9 + 3p designs for p covariates. `least_width` is the
+    least cut of the grids after their first, for KPIs of another size."""
     numeric, _ = split_covariates(df, covariates)
+    width = "" if least_width is None else f":{least_width:g}"
     out = [("match_result1", "q5", {c: "q5" for c in numeric})]
     for c in covariates:
         out.append(("match_result2", f"{c}_q3", {c: "q3"}))
     for c in covariates:
-        out.append(("match_result3", f"{c}_log0.6", {c: "log0.6"}))
+        out.append(("match_result3", f"{c}_log0.6", {c: f"log0.6{width}"}))
     for c in covariates:
         rule = "log0.5" if numeric and c == numeric[0] else "q5"
-        out.append(("match_result4", f"{c}_{rule}", {c: rule}))
+        out.append(("match_result4", f"{c}_{rule}", {c: rule + width * (rule != "q5")}))
     for kind in ("q", "w"):
         for k in range(2, 6):
             out.append(("match_result5", f"{kind}_{k}", {c: f"{kind}{k}" for c in numeric}))

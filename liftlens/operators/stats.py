@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from liftlens.functions.columns import q
-from liftlens.operators.scale import cut_lineage, exact_quantiles, running_sum
+from liftlens.operators.scale import cut_lineage, grouped_quantiles, lookup_join, running_sum
 
 HASH_RANGE = 4294967296
 
@@ -82,27 +82,24 @@ def holdout_split(
     keeps all rows of one key together. Text keys are hashed first.
 
     With `stratify` the cut is the exact hash quantile of each class, so that every class
-    gives the same share; classes are the few values of a label.
+    gives the same share; there may be any number of classes, and null is one.
     """
     numeric = dict(df.dtypes)[key] in ("tinyint", "smallint", "int", "bigint")
     base = q(key) if numeric else F.crc32(F.concat_ws(":", q(key), F.lit(seed)))
     if numeric and seed:
         base = base + F.lit(seed)
+    names = [q(c) for c in df.columns]
     df = df.withColumn("__h", key_hash(base))
     if stratify is None:
         return df.withColumn(
             "is_test", (F.col("__h") < F.lit(frac * HASH_RANGE)).cast("int")).drop("__h")
-    classes = [r[0] for r in df.select(q(stratify)).distinct().limit(101).collect()]
-    if len(classes) > 100:
-        raise ValueError("stratify needs a label with few classes")
-    per_class = df.select(*[F.when(q(stratify).eqNullSafe(F.lit(c)), F.col("__h")).alias(f"h{i}")
-                            for i, c in enumerate(classes)])
-    cuts = exact_quantiles(per_class, {f"h{i}": [frac] for i in range(len(classes))})
-    is_test = F.lit(0)
-    for i, c in enumerate(classes):
-        is_test = F.when(q(stratify).eqNullSafe(F.lit(c)),
-                         (F.col("__h") < F.lit(cuts[f"h{i}"][0])).cast("int")).otherwise(is_test)
-    return df.withColumn("is_test", is_test).drop("__h")
+    # the class as two columns that join without nulls
+    df = df.withColumns({"__class": F.coalesce(q(stratify).cast("string"), F.lit("")),
+                         "__none": q(stratify).isNull()})
+    cuts = grouped_quantiles(df.select("__class", "__none", F.col("__h").alias("__cut")),
+                             ["__class", "__none"], {"__cut": frac})
+    split = lookup_join(df, cut_lineage(cuts), ["__class", "__none"])
+    return split.select(*names, (F.col("__h") < F.col("__cut")).cast("int").alias("is_test"))
 
 
 def _grouped(df: DataFrame, by: Sequence[str]):

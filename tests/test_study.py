@@ -96,6 +96,35 @@ def test_one_hot_checks_the_number_of_levels(spark):
     assert vector.toArray().sum() == 1
 
 
+def test_one_hot_vectors_of_a_million_levels(spark):
+    n = 1_000_000
+    df = spark.range(n + 1).select("id", F.when(F.col("id") < n, F.format_string("%07d", F.col("id"))).alias("f"),
+                                   (F.col("id") % 3).alias("g"))
+    hot = cut_lineage(features.one_hot_vector(df, ["f", "g"], "hot"))
+    rows = {r["id"]: (r["hot_f"], r["hot_g"]) for r in hot.where("id IN (0, 5, 999999, 1000000)").collect()}
+    assert hot.count() == n + 1
+    for i in (0, 5, 999_999):
+        assert rows[i][0].size == n and rows[i][0].indices.tolist() == [i]
+        assert rows[i][1].size == 3 and rows[i][1].indices.tolist() == [i % 3]
+    assert rows[n][0].size == n and len(rows[n][0].indices) == 0
+
+
+def test_least_width_of_grids_is_an_argument(spark):
+    df = spark.createDataFrame([(i % 2, float(i)) for i in range(1, 200)], "t int, x double")
+    cuts = matching.cutpoints(df, {"x": ["log0.6", "log0.6:0"]})
+    assert len(cuts["x", "log0.6"]) == 1 and len(cuts["x", "log0.6:0"]) > 8
+    rules = [d.rules["x"] for d in matching.designs(df, ["x"], least_width=10)]
+    assert "log0.6:10" in rules and "log0.5:10" in rules
+
+
+def test_many_classes_are_split_alike(spark):
+    df = spark.range(30_000).select("id", (F.col("id") % 300).alias("c"))
+    split = stats.holdout_split(df, "id", 0.33, "c")
+    assert split.columns == ["id", "c", "is_test"]
+    shares = [r[0] for r in split.groupBy("c").agg(F.avg("is_test")).select("avg(is_test)").collect()]
+    assert len(shares) == 300 and all(abs(x - 0.33) < 0.02 for x in shares)
+
+
 def test_split_is_stable_and_keeps_keys_together(spark):
     df = spark.range(3000).select((F.col("id") % 1000).alias("k"), "id",
                                   (F.col("id") % 1000 < 100).cast("int").alias("y"))
