@@ -215,6 +215,16 @@ def test_suffix_tree_scores(spark, odd):
     assert {r["train_tokens"] for r in got} == {total}
 
 
+def test_a_control_character_is_a_word_of_its_own(spark):
+    """U+0004 as a word must not count as the end of a text."""
+    docs = spark.createDataFrame([(i, "a \u0004 b \u0004") for i in range(30)], "doc_id long, text string")
+    rows = suffix_tree_lm.scores(docs).collect()
+    total = rows[0]["train_tokens"]
+    texts = total // 5
+    want = sum(math.log10((c * texts + 1) / (total + 5)) for c in (1, 2, 1, 2, 1))
+    assert all(abs(r["base_score"] - want) < 1e-6 and r["n_tokens"] == 5 for r in rows)
+
+
 def test_tree_distributions_sum_to_one():
     rng = np.random.default_rng(0)
     tree = suffix_tree_lm.Tree(rng.integers(1, 50, 12).astype(float))
