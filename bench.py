@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -31,6 +32,7 @@ def session(cpus: str) -> SparkSession:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "12g"))
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="liftlens-bench-"))
         # the inputs are small: keep one task per core instead of merging down to one task
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
