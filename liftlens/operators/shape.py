@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from liftlens.config import Treatment
 from liftlens.functions.columns import parse_timestamp, q, treated_flag
-from liftlens.operators.scale import running_sum
+from liftlens.operators.scale import cut_lineage, running_sum
 
 TREATMENT_COLUMNS = [
     "emp_id",
@@ -162,6 +162,7 @@ def label_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         .distinct()
         .withColumn("one", F.lit(1))
     )
-    ranked = running_sum(values, ["Segment_Name"], "Segments", ["one"])
+    # written, as the ranking reads it twice
+    ranked = running_sum(cut_lineage(values), ["Segment_Name"], "Segments", ["one"])
     return ranked.select("Segments", F.col("before_one").cast("int").alias("Segment"),
                          "Segment_Name")
