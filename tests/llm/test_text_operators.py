@@ -265,6 +265,62 @@ def test_near_duplicates(spark, odd):
     assert near_dedup.classes(odd.limit(0)).count() == 0
 
 
+def test_families_around_a_centre_and_repeated_rows(spark):
+    """Texts that are all near one centre, but below 0.8 of it and of each other, with some similar
+    pairs among them; and 200 equal rows of each of two similar texts."""
+    rng = np.random.default_rng(11)
+    base = [f"b{i}" for i in range(220)]
+
+    def changed(words, n):
+        out = list(words)
+        for i in rng.choice(len(out), n, replace=False):
+            out[i] = f"c{rng.integers(10**9)}"
+        return out
+
+    family = [base] + [changed(base, 7) for _ in range(120)]
+    family += [changed(family[i], 2) for i in range(1, 40, 3)]
+    rows = [(i, " ".join(w)) for i, w in enumerate(family)]
+    twin = [f"t{i}" for i in range(100)]
+    rows += [(1000, " ".join(twin))] * 200 + [(1001, " ".join([*twin, "more"]))] * 200
+    sets = {i: shingles(t) for i, t in rows}
+    root = {i: i for i in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in itertools.combinations(sorted(sets), 2):
+        both = len(sets[a] & sets[b])
+        if both * 5 >= 4 * len(sets[a] | sets[b]):
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+    got = near_dedup.classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert len(got) == len(rows)
+    assert all(r["class_id"] == find(r["doc_id"]) for r in got)
+    size = Counter(find(i) for i, _ in rows)
+    assert all(r["class_size"] == size[r["class_id"]] for r in got)
+    assert len(size) > 100 and size[1000] == 400
+
+
+def test_bitmaps_bound_what_sets_share(spark):
+    rng = np.random.default_rng(12)
+    rows, shared = [], []
+    for n in (5, 300, 4000):
+        x = rng.integers(0, 2**63, n)
+        for keep in (0, n // 2, n):
+            y = np.concatenate([x[:keep], rng.integers(0, 2**63, n - keep)])
+            bits = near_dedup.bitmaps([x, y]).tolist()
+            rows.append((len(shared), n, bits[0], n, bits[1]))
+            shared.append((keep, n))
+    df = spark.createDataFrame(rows, "i int, n int, x array<long>, m int, y array<long>").selectExpr(
+        "i", "struct(n, x AS bits) AS x", "struct(m AS n, y AS bits) AS y")
+    for r in df.select("i", near_dedup.most_shared("x", "y").alias("bound")).collect():
+        keep, n = shared[r["i"]]
+        assert keep <= r["bound"] <= n
+        assert n > 300 or r["bound"] <= keep + 0.4 * n  # useful, too
+
+
 def test_signatures_estimate_weighted_similarity():
     rng = np.random.default_rng(3)
     elements = rng.integers(0, 2**63, 300).astype(np.uint64)
