@@ -41,45 +41,86 @@ def tokens(text: str | None) -> list[bytes]:
     return text.encode().translate(PLAIN).split() if text else []
 
 
-def common_runs(a: np.ndarray, b: np.ndarray, free_a: np.ndarray, free_b: np.ndarray,
-                n: int) -> list[tuple[int, int]]:
-    """Starts (i, j) of equal runs of n words that are free in both: equal hashes of n words
-    (Karp-Rabin), confirmed word by word."""
-
-    def starts(x, free):
-        ok = np.convolve(free, np.ones(n, int), "valid") == n
-        return np.flatnonzero(ok), grams(x, n)
-
-    ia, ha = starts(a, free_a)
-    ib, hb = starts(b, free_b)
-    where = defaultdict(list)
-    for i in ia:
-        where[ha[i]].append(i)
-    return [(i, j) for j in ib for i in where.get(hb[j], ())
-            if np.array_equal(a[i:i + n], b[j:j + n])]
+class Rolling:
+    """Karp-Rabin hashes, modulo 2^64, of the runs of any number of words of a text: differences of
+    its prefix sums, which are worked out once."""
+
+    BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse
+
+    def __init__(self, words: np.ndarray):
+        n = len(words)
+        self.words, self.free = words, np.ones(n, bool)
+        power = lambda base: np.cumprod(np.concatenate(
+            [np.ones(1, np.uint64), np.full(n, base, np.uint64)]))
+        self.powers = power(self.BASE)
+        down = power(pow(self.BASE, -1, 1 << 64))
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * down[:n])])
+
+    def runs(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Starts of the runs of n free words, and their hashes."""
+        taken = np.concatenate([[0], np.cumsum(~self.free)])
+        at = np.flatnonzero(taken[n:] == taken[:-n])
+        return at, (self.sums[at + n] - self.sums[at]) * self.powers[at]
+
+
+def common_runs(a: Rolling, b: Rolling, n: int) -> tuple[list[int], dict[int, list[int]]]:
+    """The runs of n words that are free in both texts: starts in `a`, and for each of them the
+    starts in `b` by order, one list for equal runs. Hashes are confirmed word by word, by the first
+    run of each."""
+    (ia, ha), (ib, hb) = a.runs(n), b.runs(n)
+    ib, hb = (x[np.isin(hb, ha)] for x in (ib, hb))
+    where: dict[int, list[int]] = {}
+    for j, h in zip(ib.tolist(), hb.tolist()):
+        where.setdefault(h, []).append(j)
+    starts, of = [], {}
+    ok: dict[int, bool] = {}
+    for i, h in zip(ia.tolist(), ha.tolist()):
+        if h in where:
+            if h not in ok:
+                j = where[h][0]
+                ok[h] = np.array_equal(a.words[i:i + n], b.words[j:j + n])
+            if ok[h]:
+                starts.append(i)
+                of[i] = where[h]
+    return starts, of
 
 
 def tile(a: np.ndarray, b: np.ndarray, least: int) -> list[tuple[int, int, int]]:
-    """Greedy tiles (start in a, start in b, length), longest first, then first in a and b."""
-    free_a, free_b, tiles = np.ones(len(a), int), np.ones(len(b), int), []
+    """Greedy tiles (start in a, start in b, length), longest first, then first in a and b.
+
+    Of one length, all tiles are taken in one pass: a run of `b` found marked stays so, and as
+    all marks of the pass have this length, a run is free if its first and last words are. Then
+    no common run of the length is left. So time grows with the lengths of both texts for each
+    different length of tiles, also where one word repeats throughout."""
+    x, y, tiles = Rolling(a), Rolling(b), []
     n = min(len(a), len(b))
-    # the longest free run: doubling, then bisection on its length
     while n >= least:
-        low, high = least - 1, n
+        low, high = least - 1, n  # the longest common run, by bisection on its length
         while low < high:
             mid = (low + high + 1) // 2
-            if common_runs(a, b, free_a, free_b, mid):
+            if common_runs(x, y, mid)[0]:
                 low = mid
             else:
                 high = mid - 1
         n = low
         if n < least:
             break
-        for i, j in sorted(common_runs(a, b, free_a, free_b, n)):
-            if free_a[i:i + n].all() and free_b[j:j + n].all():
-                tiles.append((int(i), int(j), n))
-                free_a[i:i + n] = 0
-                free_b[j:j + n] = 0
+        starts, of = common_runs(x, y, n)
+        passed: dict[int, int] = {}  # by list of equal runs, how many of it are marked
+        for i in starts:
+            if not (x.free[i] and x.free[i + n - 1]):
+                continue
+            places = of[i]
+            at = passed.get(id(places), 0)
+            while at < len(places) and not (y.free[places[at]] and y.free[places[at] + n - 1]):
+                at += 1
+            passed[id(places)] = at
+            if at < len(places):
+                j = places[at]
+                tiles.append((i, j, n))
+                x.free[i:i + n] = False
+                y.free[j:j + n] = False
+        n -= 1
     return tiles
 
 

@@ -166,10 +166,13 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS,
 
 
 def words_taken(mixed: DataFrame) -> DataFrame:
-    """Per document the words that the mixture takes of it."""
-    taken = F.sum(F.when(F.col("slot").isNotNull(), F.col("words")).otherwise(0))
+    """Per document the words that the mixture takes of it, in how many pieces, and the first slot of
+    the schedule that holds one of them (null: none does)."""
+    held = F.col("slot").isNotNull()
     return mixed.groupBy("sid", "part", "row").agg(
         F.first("doc_id").alias("doc_id"), F.first("source").alias("source"),
         F.first("size").alias("size"), F.first("source_size").alias("source_size"),
-        F.first("target").alias("target"), taken.alias("taken"),
+        F.first("target").alias("target"),
+        F.sum(F.when(held, F.col("words")).otherwise(0)).alias("taken"),
+        F.count("slot").alias("n_pieces"), F.min("slot").alias("first_slot"),
     ).drop("sid", "part", "row")

@@ -88,7 +88,7 @@ QUERIES = {f.__name__: f for f in (
 ORACLE = {
     "op1_mix_sources": r"""
 WITH sized AS (
-  SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+  SELECT row_number() OVER () AS rid, doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
          CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
   FROM documents),
 per AS (
@@ -111,20 +111,36 @@ shared AS (
   SELECT words_left AS share_left, open_w AS share_w FROM tested WHERE NOT is_capped
   ORDER BY source_size / w, sid LIMIT 1),
 aimed AS (
-  SELECT t.source, t.source_size,
+  SELECT t.sid, t.source, t.source_size,
          CASE WHEN is_capped THEN source_size * 2.0::DOUBLE
               ELSE (w * share_left)::DOUBLE / (share_w * 2.0::DOUBLE) END AS target
   FROM tested t LEFT JOIN shared ON true),
 placed AS (
-  SELECT d.*, a.source_size, a.target, CAST(floor(a.target) AS BIGINT) AS quota,
+  SELECT d.*, a.sid, a.source_size, a.target, CAST(floor(a.target) AS BIGINT) AS quota,
          CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY h, doc_id, d.size
               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) - d.size AS begun
-  FROM sized d JOIN aimed a ON d.source IS NOT DISTINCT FROM a.source)
-SELECT doc_id, source, size, source_size, target,
-       CAST(greatest(0, least(quota, begun + size) - begun)
-            + greatest(0, least(quota, begun + source_size + size) - (begun + source_size)) AS BIGINT)
-       AS taken
-FROM placed""",
+  FROM sized d JOIN aimed a ON d.source IS NOT DISTINCT FROM a.source),
+grid AS (
+  SELECT sid, slots, CAST(sum(slots) OVER (ORDER BY sid) AS BIGINT) - slots AS first_cell,
+         CAST(greatest(1, ceil(log2(greatest(1, sum(slots) OVER ())))) AS INTEGER) AS bits
+  FROM (SELECT sid, (CAST(floor(target) AS BIGINT) + 1023) // 1024 AS slots FROM aimed)),
+slotted AS (
+  SELECT sid, slot, row_number() OVER (PARTITION BY sid ORDER BY slot) - 1 AS rank FROM (
+    SELECT sid, CAST(list_sum(list_transform(range(bits), lambda i:
+             ((cell >> i) & 1) << (bits - 1 - i))) AS BIGINT) AS slot
+    FROM (SELECT sid, bits, unnest(range(first_cell, first_cell + slots)) AS cell FROM grid))),
+pieces AS (
+  SELECT rid, sid, start, stop, unnest(range(start // 1024, (stop - 1) // 1024 + 1)) AS rank FROM (
+    SELECT rid, sid, begun + c * source_size AS start, least(quota, begun + c * source_size + size) AS stop
+    FROM placed, (VALUES (0), (1)) AS copies(c))
+  WHERE stop > start),
+held AS (
+  SELECT rid, CAST(sum(least(stop, (rank + 1) * 1024) - greatest(start, rank * 1024)) AS BIGINT) AS taken,
+         count(*) AS n_pieces, min(slot) AS first_slot
+  FROM pieces JOIN slotted USING (sid, rank) GROUP BY rid)
+SELECT doc_id, source, size, source_size, target, coalesce(taken, 0) AS taken,
+       coalesce(n_pieces, 0) AS n_pieces, first_slot
+FROM placed LEFT JOIN held USING (rid)""",
     "op11_importance_sample": r"""
 WITH crc0 AS (
   SELECT list(c ORDER BY i) AS tbl FROM (

@@ -2,15 +2,21 @@
 
 Base kinds: an assignment to a secret's name (assign), an access key id (access), a long
 hexadecimal run (hex). The method adds:
-- token: three base64url parts joined by dots, the first a JSON object with "alg" and the
-  second a JSON object (a signed token);
-- key: a base64 or hex run, also one broken over lines between BEGIN and END marks, whose
-  bytes parse as a key: DER whose nested lengths fit to the last byte and whose fields are those
-  of a PKCS#1, PKCS#8, SEC 1 or public key, or an SSH key whose length-prefixed fields do.
-
-Defined results: a null or empty text has no spans; matches that fail stay consumed, as
-leftmost non-overlapping matching demands; rows are scanned one by one, so equal rows give
-equal results and an empty table gives none; columns other than doc_id and text are not read.
+- token: three base64url parts joined by dots, the first a JSON object whose "alg" is a text (a
+  signed token; five parts if it has "enc"). The header decides: the other parts may be
+  any bytes, and one of them may be empty;
+- key: a base64 or hex run whose bytes parse as a key: DER whose nested lengths fit to the last
+  byte and whose fields are those of a PKCS#1, DSA, PKCS#8, SEC 1 or public key, or an SSH key whose
+  length-prefixed fields do. A base64 run may be broken over lines (line breaks may be escaped): between
+  BEGIN and END marks, where header lines may come first, or without marks, where the outermost DER
+  length, of at most two bytes, tells the line on which it ends. Under headers that name a cipher, a
+  body of whole cipher blocks is a key.
+
+Defined results: a null or empty text has no spans; of the base kinds, matches that fail stay
+consumed, as leftmost non-overlapping matching demands, and a failed token is searched again from its
+second part; very long texts are scanned whole, in time that grows with their length; rows are
+scanned one by one, so equal rows give equal results and an empty table gives none; columns other
+than doc_id and text are not read.
 """
 
 from __future__ import annotations
@@ -20,6 +26,8 @@ import binascii
 import hashlib
 import json
 import re
+from bisect import bisect_left, bisect_right
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -37,10 +45,16 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")  # a run is maximal, so a short one has no longer part
 _HEX = re.compile(r"[0-9a-f]{16,}")
 _TOKEN = re.compile(
-    r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.[A-Za-z0-9_-]*")
+    r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]*)\.([A-Za-z0-9_-]*)")
+_MORE_PARTS = re.compile(r"(?:\.[A-Za-z0-9_-]*){2}")
 _RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{32,}={0,2}")
-_ARMOR = re.compile(
-    r"-----BEGIN ([A-Z0-9 ]{0,40})KEY-----([A-Za-z0-9+/=\s]{1,65536})-----END \1KEY-----")
+_BEGIN = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40})KEY-----")
+_BREAK = r"(?:\r?\n|(?:\\r)?\\n)[\x20\t]*"  # as itself or escaped
+_BREAKS = re.compile(r"\\[rnt]|\s")
+_LINES = re.compile(
+    rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{32,}}(?:{_BREAK}[A-Za-z0-9+/_-]+)+={{0,2}}")
+_LINE = re.compile(r"(?:(?<=\\n)|(?<![A-Za-z0-9+/_\\-]))[A-Za-z0-9+/_-]+")
+_CIPHER = re.compile(r"DEK-Info:[^,\n]*,\s*((?:[0-9A-Fa-f]{16}){1,2})\s*$", re.MULTILINE)
 _HEXRUN = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{64,}(?![0-9A-Fa-f])")
 
 
@@ -103,7 +117,7 @@ def is_der_key(data: bytes) -> bool:
         return False
     fields = top[0][1]
     tags = [t for t, _ in fields]
-    if tags == [2, 2] or len(tags) >= 9 and set(tags) == {2}:  # PKCS#1 public, private
+    if set(tags) == {2} and (len(tags) in (2, 6) or len(tags) >= 9):  # PKCS#1 public, DSA, private
         return len(fields[1 if len(tags) > 2 else 0][1]) >= 32
     if tags[:2] == [2, 4] and set(tags[2:]) <= {0xA0, 0xA1}:  # SEC 1
         return fields[0][1] == b"\x01" and len(fields[1][1]) >= 16
@@ -144,6 +158,74 @@ def is_key(data: bytes | None) -> bool:
     return bool(data) and (is_der_key(data) or is_ssh_key(data))
 
 
+def armored(text: str):
+    """(start, end) of the keys between marks. A body holds no five dashes, so every mark is
+    looked at once or twice."""
+    for m in _BEGIN.finditer(text):
+        stop = text.find("-----", m.end())
+        end = f"-----END {m[1]}KEY-----"
+        if stop < 0 or not text.startswith(end, stop):
+            continue
+        lines = [x.strip() for x in re.split(r"\r?\n|(?:\\r)?\\n", text[m.end():stop])]
+        n = max((i for i, x in enumerate(lines) if ":" in x), default=-1) + 1
+        # the last header line may go on up to an empty line
+        later = next((i for i in range(n, len(lines)) if n and not lines[i]), n)
+        cipher = _CIPHER.search("\n".join(lines[:n]))
+        for begin in sorted({n, later}):
+            data = decoded(_BREAKS.sub("", "".join(lines[begin:])))
+            if is_key(data) or cipher and data and len(data) % (len(cipher[1]) // 2) == 0:
+                yield m.start(), stop + len(end)
+                break
+
+
+def der_length(head: str) -> int | None:
+    """The bytes of a DER sequence, its own head included, from its first eight base64 characters."""
+    data = decoded(head)
+    if not data or data[0] != 0x30:
+        return None
+    if data[1] < 0x80:
+        return 2 + data[1]
+    more = data[1] & 0x7F
+    return 2 + more + int.from_bytes(data[2:2 + more], "big") if 1 <= more <= 2 else None
+
+
+def wrapped(text: str):
+    """(start, end) of the DER keys broken over lines without marks: whole lines whose base64 has as
+    many characters as the outermost length asks for."""
+    for block in _LINES.finditer(text):
+        lines = [m.span() for m in _LINE.finditer(text, block.start(), block.end())]
+        ends = list(accumulate(b - a for a, b in lines))
+        whole = None
+        for i, (a, b) in enumerate(lines):
+            if text[a] != "M" or b - a < 32:  # the first six bits of a sequence
+                continue
+            length = der_length(text[a:a + 8])
+            if length is None:
+                continue
+            before = ends[i] - (b - a)
+            want = before + (length * 8 + 5) // 6
+            last = bisect_left(ends, want)
+            if last == len(ends) or ends[last] != want:
+                continue
+            if whole is None:
+                whole = "".join(text[x:y] for x, y in lines)
+            if is_key(decoded(whole[before:want])):
+                yield a, block.end() if last == len(ends) - 1 else lines[last][1]
+
+
+def tokens(text: str):
+    """(start, end) of signed tokens."""
+    at = 0
+    while m := _TOKEN.search(text, at):
+        header = json_object(m[1])
+        if header and isinstance(header.get("alg"), str) and (m[2] or m[3]):
+            more = _MORE_PARTS.match(text, m.end()) if "enc" in header else None
+            at = more.end() if more else m.end()
+            yield m.start(), at
+        else:
+            at = m.end(1)
+
+
 def spans(text: str | None) -> list[tuple[str, int, int]]:
     """(kind, start, end) by start, then kind; code points, end exclusive."""
     if not text:
@@ -152,17 +234,17 @@ def spans(text: str | None) -> list[tuple[str, int, int]]:
     found += [("access", *m.span()) for m in _ACCESS.finditer(text)]
     found += [("hex", *m.span()) for m in _HEX.finditer(text)]
     if "." in text:
-        for m in _TOKEN.finditer(text):
-            header = json_object(m[1])
-            if header and "alg" in header and json_object(m[2]) is not None:
-                found.append(("token", *m.span()))
-    keys = []
-    if "-----BEGIN " in text:
-        keys += [m.span() for m in _ARMOR.finditer(text) if is_key(decoded(m[2]))]
-    armored = list(keys)
-    for m in _RUN.finditer(text):
-        if not any(a <= m.start() < b for a, b in armored) and is_key(decoded(m[0])):
-            keys.append(m.span())
+        found += [("token", *s) for s in tokens(text)]
+    keys = list(armored(text)) if "-----BEGIN " in text else []
+    marked = [*keys]
+    starts = [a for a, _ in marked]
+
+    def outside(at: int) -> bool:
+        i = bisect_right(starts, at) - 1
+        return i < 0 or at >= marked[i][1]
+
+    keys += [m.span() for m in _RUN.finditer(text) if outside(m.start()) and is_key(decoded(m[0]))]
+    keys += [s for s in wrapped(text) if outside(s[0])]
     keys += [m.span() for m in _HEXRUN.finditer(text)
              if len(m[0]) % 2 == 0 and is_key(bytes.fromhex(m[0]))]
     found += [("key", *s) for s in sorted(set(keys))]
