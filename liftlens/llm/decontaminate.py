@@ -12,8 +12,9 @@ documents are not shuffled, and a task holds one batch of them.
 
 Defined results: null and empty texts match nothing; an item with fewer words than the least
 tile must occur whole; items without words never match; repeated items and documents give
-repeated pairs, one for each row; an empty table on either side gives no rows; columns other than
-item_id, doc_id and text are not read.
+repeated pairs, one for each row; very long texts are tiled whole, in time that grows with their length
+for each different length of tiles; an empty table on either side gives no rows (and the filter keeps
+every document if the benchmark is empty); columns other than item_id, doc_id and text are not read.
 """
 
 from __future__ import annotations

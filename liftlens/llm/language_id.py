@@ -6,8 +6,9 @@ document. The network is trained in numpy by backpropagation through time on win
 `PER_LANGUAGE` documents of each language, chosen by a hash; every byte of every text is labelled.
 
 Defined results: `und` with score 0 where the text is null, empty or has no letter, and for every
-text if nothing can be learned; among equal probabilities the first language by code point; equal
-rows give equal results; columns other than doc_id, text and (to learn from) lang are not read.
+text if nothing can be learned; among equal probabilities the first language by code point; very long
+texts are labelled whole, some thousand windows at a time; equal rows give equal results; an empty
+table gives no rows; columns other than doc_id, text and (to learn from) lang are not read.
 """
 
 from __future__ import annotations
@@ -20,15 +21,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from liftlens.llm.common import fold
+from liftlens.llm.common import fold, slices
 
 FOLDS, HELD_OUT = 5, 0
 PER_LANGUAGE = 400  # documents to learn from
 WINDOW = 96  # bytes
 PER_DOCUMENT = 6  # windows to learn from
-HIDDEN = 8
-STEPS, BATCH, RATE = 350, 96, 0.02
+HIDDEN = 12
+STEPS, BATCH, RATE = 500, 96, 0.02
 LANES = 2048  # windows that are read together
+PART = 1 << 20  # bytes of texts that are labelled together
 PAD = 256
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -205,14 +207,12 @@ def identify(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(net)
 
     def run(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                found = predictions(shared.value, part.column(2).to_pylist())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array([x for x, _ in found], pa.string()),
-                     pa.array([s for _, s in found], pa.float64())],
-                    names=["doc_id", "held_out", "lang_pred", "score"])
+        for part in slices(batches, 2, PART):
+            found = predictions(shared.value, part.column(2).to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), part.column(1), pa.array([x for x, _ in found], pa.string()),
+                 pa.array([s for _, s in found], pa.float64())],
+                names=["doc_id", "held_out", "lang_pred", "score"])
 
     rows = docs.select("doc_id", (fold("doc_id", FOLDS) == HELD_OUT).alias("held_out"), "text")
     return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")

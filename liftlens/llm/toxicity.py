@@ -13,8 +13,9 @@ has a bounded size and is broadcast. Every whole text is scored, without a shuff
 
 Defined results: null and empty texts have no evidence and get the score of zero evidence; labels
 without a toxic value are ignored, several labels of a document count as their largest; without
-labelled documents of both classes every score is 0; equal rows give equal results; columns other
-than doc_id and text (labels: doc_id, toxic) are not read.
+labelled documents of both classes every score is 0; very long texts are scored whole; equal rows give
+equal results; an empty table gives no rows; columns other than doc_id and text (labels: doc_id,
+toxic) are not read.
 """
 
 from __future__ import annotations

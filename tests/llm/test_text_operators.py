@@ -615,14 +615,42 @@ def test_nearest_vectors_recall_with_default_blocks(spark):
     assert recall(several, 400)[0] >= 0.95
 
 
-def test_language(spark, odd, monkeypatch):
-    monkeypatch.setattr(language_id, "STEPS", 200)
+def test_empty_tables(spark, odd):
+    none, labels = odd.limit(0), spark.read.parquet(f"{SF}/labels.parquet")
+    assert token_counts.count(none).count() == 0 == suffix_tree_lm.scores(none).count()
+    assert language_id.identify(none).count() == 0 == toxicity.scores(none, labels).count()
+    rows = toxicity.scores(odd, labels.limit(0)).collect()
+    assert len(rows) == odd.count() and {r["score"] for r in rows} == {0.0}
+
+
+def test_stages_of_the_pipeline_on_odd_rows(spark, odd):
+    """Nulls, empty and long texts, equal rows and clashing columns go through every stage; all but the
+    last keep the columns."""
+    docs, none = odd, odd.limit(0)
+    score = toxicity.scores(odd, spark.read.parquet(f"{SF}/labels.parquet"))
+    plain = {str(r["doc_id"]) for r in score.where("predicted = 0").collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs, none = (stage(spark, x, SF) for x in (docs, none))
+        docs = spark.createDataFrame(docs.collect(), odd.schema)
+        assert docs.columns == odd.columns and none.count() == 0, name
+    kept = [str(r["doc_id"]) for r in docs.collect()]
+    assert set(kept) == plain - {"2", "3", "8"} and len(set(kept) - {"None"}) == len(kept) - kept.count("None")
+    assert {"1", "4", "5", "6"} <= set(kept)
+    last = corpus_pipeline.STAGES[-1][1]
+    assert last(spark, docs, SF).count() == docs.count() and last(spark, none, SF).count() == 0
+
+
+def test_language(spark, odd):
+    """With the production network: held-out accuracy; texts without a letter, null and empty ones."""
     docs = documents(spark)
     rows = language_id.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").collect()
     held = [r for r in rows if r["held_out"]]
     assert sum(r["lang"] == r["lang_pred"] for r in held) >= 0.9 * len(held)
     assert all(0 <= r["score"] <= 1 for r in rows)
     assert language_id.predictions(None, ["a", None]) == [("und", 0.0)] * 2
+    net = language_id.train([(b"a few plain words", "en"), (b"ein paar Worte", "de")])
+    got = language_id.predictions(net, [None, "", "12 _ 3!", "words", "\u4e2d"])
+    assert [x for x, _ in got[:3]] == ["und"] * 3 and {x for x, _ in got[3:]} <= {"en", "de"}
     assert language_id.identify(odd.withColumn("lang", F.lit(None).cast("string"))).where(
         "lang_pred = 'und'").count() == odd.count()
 
