@@ -4,6 +4,10 @@ documents that hold benchmark items go, secrets are masked, and the sources are
 Each stage takes (spark, docs, sf_dir), works on every row of its predecessor and returns the
 columns of `documents`; the last returns one row per document with the words that the mixture
 takes of it. Between stages the rows are written as Parquet and read again.
+
+Defined results: a null or empty text is judged for toxicity as one without evidence, is neither a
+near-duplicate nor a leak, and takes no words; of equal rows and rows with equal texts one stays; very long texts are worked on whole; extra
+columns, whatever their names, are kept up to the mixture; an empty table gives no rows.
 """
 
 from __future__ import annotations
