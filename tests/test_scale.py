@@ -108,3 +108,15 @@ def test_winsorize_clips_to_both_bounds(skewed):
     got = clean.winsorize(skewed, ["x"]).toPandas()["x"]
     assert np.isclose(got.min(), lo) and np.isclose(got.max(), hi)
     assert np.isclose(got.sum(), np.clip(x, lo, hi).sum())
+
+
+def test_spread_gives_each_core_its_rows(spark):
+    """A small file with much work per row is not left to one task; a few rows are."""
+    one = scale.cut_lineage(spark.range(50_000).coalesce(1))
+    cores = spark.sparkContext.defaultParallelism
+    assert one.rdd.getNumPartitions() == 1
+    out = scale.spread(one, 1000)
+    assert out.rdd.getNumPartitions() == cores and out.distinct().count() == 50_000
+    assert scale.cut_lineage(out).rdd.getNumPartitions() >= cores // 2
+    assert scale.spread(one, 50_000).rdd.getNumPartitions() == 1
+    assert scale.spread(one.limit(0), 1000).count() == 0
