@@ -10,7 +10,7 @@ import math
 import re
 import time
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -472,6 +472,65 @@ def test_tree_distributions_sum_to_one():
         assert abs(p.sum() - 1) < 1e-9
 
 
+def tree_by_hand(docs, symbols):
+    """Scores of the symbols, from all contexts and next symbols in plain dictionaries."""
+    m, start = suffix_tree_lm, suffix_tree_lm.START
+    texts = {i: [symbols(w) for w in m.tokens(t)] for i, t in docs.items()}
+    counts = {0: Counter(), 1: defaultdict(Counter), 2: defaultdict(Counter)}
+    for i, x in texts.items():
+        if zlib.crc32(str(i).encode()) % 7 != 2:
+            for b, a, s in zip([start, start, *x], [start, *x], x):
+                counts[0][s] += 1
+                counts[1][a][s] += 1
+                counts[2][a, b][s] += 1
+    total = sum(counts[0].values())
+    root = lambda s: (counts[0][s] + 1) / (total + symbols.size)
+    smooth = lambda c, p, s: (c[s] + m.STRENGTH * p) / (c.total() + m.STRENGTH)
+
+    def kept(c, below):
+        return c.total() >= 2 and sum(
+            n * math.log(smooth(c, below(s), s) / below(s)) for s, n in c.items()) > m.DIVERGENCE
+
+    one = {a for a, c in counts[1].items() if kept(c, root)}
+    first = lambda a: lambda s: smooth(counts[1][a], root(s), s) if a in one else root(s)
+    two = {(a, b) for (a, b), c in counts[2].items() if a in one and kept(c, first(a))}
+    second = lambda a, b, s: (smooth(counts[2][a, b], first(a)(s), s) if (a, b) in two
+                              else first(a)(s))
+    return one, two, {i: sum(math.log10(second(a, b, s)) for b, a, s in zip(
+        [start, start, *x], [start, *x], x)) for i, x in texts.items()}
+
+
+@pytest.mark.parametrize("hot", [1 / 512, 1.0])
+def test_tree_holds_rare_contexts_and_next_symbols(spark, monkeypatch, hot):
+    """Contexts and next symbols far below fixed shares of all tokens count like all others, however
+    texts are dealt into chunks and symbols into parts."""
+    monkeypatch.setattr(suffix_tree_lm, "HOT_SHARE", hot)
+    monkeypatch.setattr(suffix_tree_lm, "CHUNK", 3000)
+    monkeypatch.setattr(suffix_tree_lm, "BYTES", 9000)
+    rng = np.random.default_rng(3)
+    vocabulary = [f"w{i}" for i in range(300)]
+    chance = 1 / np.arange(1, 301)
+    text = lambda n: " ".join(rng.choice(vocabulary, n, p=chance / chance.sum()))
+    docs = {i: text(int(rng.integers(0, 400))) for i in range(1500)}
+    docs.update({2000: "w280 w290 w299", 2001: "w280 w290 w299", 2002: "w280 w290 w299 w270", 2003: ""})
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(5)
+    counts = suffix_tree_lm.word_counts(df)
+    total = counts.agg(F.sum("n")).first()[0]
+    assert total > 200_000  # so that 1e-5 of it is over two
+    symbols = suffix_tree_lm.symbols_of(counts, total)
+    one, two, want = tree_by_hand(docs, symbols)
+    assert len(one) > 50 and len(two) > 5
+    chunks = suffix_tree_lm.cut_lineage(suffix_tree_lm.coded(df, spark.sparkContext.broadcast(symbols)))
+    assert chunks.count() > 20
+    inside = {r["doc_id"]: r["score"] for r in chunks.select(
+        F.explode(F.arrays_zip("doc_id", "score")).alias("d")).select("d.*").collect()}
+    got = {r["doc_id"]: r["score"] for r in suffix_tree_lm.scores(df).collect()}
+    assert got.keys() == want.keys()
+    for i, score in got.items():  # every word is common, so no class adds to the score
+        assert inside[i] == 0 or abs(inside[i]) < 1e-9
+        assert abs(score - want[i]) < 1e-5 * max(1, abs(want[i]))
+
+
 def shingles(text):
     w = WORD.findall(text or "")
     return {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
