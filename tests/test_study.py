@@ -247,6 +247,18 @@ def test_tuned_propensity_searches_in_full(spark, monkeypatch):
     assert not {"draws", "folds", "at_most"} & set(asked)
 
 
+def test_insights_write_inputs_and_rows_once(spark, monkeypatch):
+    """All insights come from one derived population and one table of rows, published effects too."""
+    calls = []
+    for module, name in ((source, "raw_population"), (study, "shaped"), (study, "outcome_rows")):
+        real = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda *a, f=real, n=name, **k: calls.append(n) or f(*a, **k))
+    for query in (queries.insights, queries.final_effects, queries.named_codes):
+        calls.clear()
+        assert query(spark, SF).count() > 0
+        assert sorted(calls) == ["outcome_rows", "raw_population", "shaped"]
+
+
 def test_group_with_one_fit_stays_if_asked(spark):
     schema = ("g string, Average_treatment_effect double, Standard_Error double, auc double, "
               "n_rows long")
