@@ -531,6 +531,44 @@ def test_tree_holds_rare_contexts_and_next_symbols(spark, monkeypatch, hot):
         assert abs(score - want[i]) < 1e-5 * max(1, abs(want[i]))
 
 
+@pytest.mark.parametrize("hot", [1 / 30, 1.0])
+def test_rare_words_are_symbols_of_their_own(spark, monkeypatch, hot):
+    """Words far below a share of all tokens, also such with equal last bytes, words seen once and words
+    that only held-out texts have are scored as a tree over all words by hand scores them."""
+    m = suffix_tree_lm
+    monkeypatch.setattr(m, "COMMON_SHARE", 1 / 40)
+    monkeypatch.setattr(m, "HOT_SHARE", hot)
+    monkeypatch.setattr(m, "CHUNK", 500)
+    monkeypatch.setattr(m, "BYTES", 2000)
+    rng = np.random.default_rng(5)
+    often, few = [f"o{i}" for i in range(8)], [f"{i}rare" for i in range(400)]
+    pick = lambda: str(rng.choice(often if rng.random() < 0.6 else few))
+    docs = {i: " ".join(pick() for _ in range(int(rng.integers(0, 40)))) for i in range(300)}
+    docs.update({i: f"o1 1rare 2rare o{i % 3} 3rare once{i}rare o1 once{i}rare" for i in range(300, 360)})
+    docs.update({i: "o2 once301rare 2rare unseen once301rare o1" for i in range(360, 380)})
+    docs[400] = None
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(3)
+    train = lambda i: zlib.crc32(str(i).encode()) % 7 != 2
+    words = sorted({w for i, t in docs.items() if train(i) for w in m.tokens(t)})
+    number = {w: i for i, w in enumerate(words, m.OTHER + 1)}
+
+    class every:
+        size = len(words) + 1
+
+        def __call__(self, word):
+            return number.get(word, m.OTHER)
+
+    symbols = m.symbols_of(counts := m.word_counts(df), counts.agg(F.sum("n")).first()[0])
+    assert 5 < len(symbols.common) < 15 and symbols.size == every.size > 400
+    one, two, want = tree_by_hand(docs, every())
+    rare = {number[w] for w in words if w not in symbols.common}
+    assert one & rare and {a for a, _ in two} & rare and {b for _, b in two} & rare
+    got = {r["doc_id"]: r["score"] for r in m.scores(df).collect()}
+    assert got.keys() == want.keys()
+    for i, score in got.items():
+        assert abs(score - want[i]) < 1e-5 * max(1, abs(want[i]))
+
+
 def shingles(text):
     w = WORD.findall(text or "")
     return {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
